@@ -40,24 +40,40 @@ def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
 # ---- per-row term counts ------------------------------------------------------
 
 
+def let(value: Column, body) -> Column:
+    """Evaluate ``value`` once and pass it to ``body`` (a column lambda).
+
+    Column objects are expression trees, so a Python variable used twice is
+    computed twice; binding through a one-element ``transform`` avoids that.
+    """
+    return F.transform(F.array(value), body)[0]
+
+
 def term_counts(tokens: Column) -> Column:
     """array<struct<term string, tf int>>: distinct terms of a token array
-    with their counts, in term order. Runs entirely in the row."""
-    s = F.array_sort(tokens)
-    n = F.size(s)
-    # 1-based positions where a run of equal terms ends
-    ends = F.filter(
-        F.sequence(F.lit(1), F.greatest(n, F.lit(1))),
-        lambda i: (i == n) | (F.element_at(s, i) != F.element_at(s, i + 1)),
-    )
-    runs = F.transform(
-        ends,
-        lambda e, j: F.struct(
-            F.element_at(s, e).alias("term"),
-            (e - F.when(j == 0, F.lit(0)).otherwise(F.element_at(ends, j))).cast("int").alias("tf"),
-        ),
-    )
-    return F.when(n > 0, runs).otherwise(F.array().cast("array<struct<term:string,tf:int>>"))
+    with their counts, in term order. Runs entirely in the row: sort, then cut
+    the sorted array where the term changes (O(n log n) per row)."""
+
+    def runs(s):
+        n = F.size(s)
+        # 1-based positions where a run of equal terms ends
+        ends = F.filter(
+            F.sequence(F.lit(1), F.greatest(n, F.lit(1))),
+            lambda i: (i == n) | (F.element_at(s, i) != F.element_at(s, i + 1)),
+        )
+        return let(
+            ends,
+            lambda e_arr: F.transform(
+                e_arr,
+                lambda e, j: F.struct(
+                    F.element_at(s, e).alias("term"),
+                    (e - F.when(j == 0, F.lit(0)).otherwise(F.element_at(e_arr, j))).cast("int").alias("tf"),
+                ),
+            ),
+        )
+
+    empty = F.array().cast("array<struct<term:string,tf:int>>")
+    return let(F.array_sort(tokens), lambda s: F.when(F.size(s) > 0, runs(s)).otherwise(empty))
 
 
 def term_frequency(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -112,11 +128,13 @@ def hashed_index(tokens: Column, dim: int = EMBED_DIM) -> Column:
     """Per token: bucket = first 8 hex digits of md5 mod ``dim``; sign + when
     the ninth hex digit is below 8. Encoded as +-(bucket + 1), array<int>."""
 
-    def one(t):
-        h = F.md5(t)
+    def signed(h):
         b = (F.conv(F.substring(h, 1, 8), 16, 10).cast("long") % F.lit(dim)).cast("int") + 1
         return F.when(F.substring(h, 9, 1) < F.lit("8"), b).otherwise(-b)
 
+    def one(t):
+        return let(F.md5(t), signed)
+
     return F.transform(tokens, one)
 
 
