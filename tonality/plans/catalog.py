@@ -329,7 +329,7 @@ def q_score_stream(spark, sf):
     model = sentiment_model(spark, sf)
     sink = scratch_path(spark, "score-stream-out")
     ckpt = scratch_path(spark, "score-stream-ckpt")
-    run_available(model, spark, f"{sf.rstrip('/')}/conversations.parquet", sink, ckpt)
+    run_available(model, spark, sf, sink, ckpt, pattern="conversations*.parquet")
     return spark.read.parquet(sink).select(*OUTPUT_COLUMNS)
 
 

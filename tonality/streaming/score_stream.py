@@ -17,27 +17,44 @@ from ..schema import CONVERSATIONS
 OUTPUT_COLUMNS = ["conv_id", "turn", "role", "processed_comment", "prediction", "sentiment"]
 
 
-def text_stream(spark: SparkSession, path: str, schema: StructType = CONVERSATIONS, max_files: int | None = None) -> DataFrame:
-    """Streaming DataFrame over parquet files arriving under ``path``; the
-    schema is declared because streams cannot infer it."""
+def text_stream(
+    spark: SparkSession,
+    directory: str,
+    pattern: str | None = None,
+    schema: StructType = CONVERSATIONS,
+    max_files: int | None = None,
+) -> DataFrame:
+    """Streaming DataFrame over parquet files arriving in ``directory``
+    (only names matching ``pattern`` if given). The schema is declared
+    because streams cannot infer it."""
     reader = spark.readStream.schema(schema)
+    if pattern:
+        reader = reader.option("pathGlobFilter", pattern)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.parquet(path)
+    return reader.parquet(directory)
 
 
 def scored_stream(model, stream: DataFrame, text_col: str = "text") -> DataFrame:
     return score_texts(model, drop_blank(stream, text_col), text_col).select(*OUTPUT_COLUMNS)
 
 
-def run_available(model, spark: SparkSession, source: str, sink: str, checkpoint: str, text_col: str = "text"):
+def run_available(
+    model,
+    spark: SparkSession,
+    directory: str,
+    sink: str,
+    checkpoint: str,
+    pattern: str | None = None,
+    text_col: str = "text",
+):
     """Process everything available now, then stop (``trigger(availableNow)``).
 
     Returns the finished query handle. Running it again with the same
     checkpoint adds only files that arrived since.
     """
     query = (
-        scored_stream(model, text_stream(spark, source), text_col)
+        scored_stream(model, text_stream(spark, directory, pattern), text_col)
         .writeStream.format("parquet")
         .outputMode("append")
         .option("path", sink)
