@@ -18,13 +18,17 @@ Scale notes
 
 from __future__ import annotations
 
-import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from ..functions.text import ml_tokens
+from ..functions import kernels
+from ..functions.text import let, ml_tokens
+
+# Ship the kernel with the UDF instead of requiring this package on workers.
+cloudpickle.register_pickle_by_value(kernels)
 
 DEFAULT_VOCAB_SIZE = 5000
 EMBED_DIM = 384
@@ -40,15 +44,6 @@ def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
 # ---- per-row term counts ------------------------------------------------------
 
 
-def let(value: Column, body) -> Column:
-    """Evaluate ``value`` once and pass it to ``body`` (a column lambda).
-
-    Column objects are expression trees, so a Python variable used twice is
-    computed twice; binding through a one-element ``transform`` avoids that.
-    """
-    return F.transform(F.array(value), body)[0]
-
-
 def term_counts(tokens: Column) -> Column:
     """array<struct<term string, tf int>>: distinct terms of a token array
     with their counts, in term order. Runs entirely in the row: sort, then cut
@@ -138,25 +133,12 @@ def hashed_index(tokens: Column, dim: int = EMBED_DIM) -> Column:
     return F.transform(tokens, one)
 
 
-def _bincount_unit(indices: pa.Array, dim: int) -> pa.Array:
-    lists = indices.cast(pa.list_(pa.int32())) if indices.type != pa.list_(pa.int32()) else indices
-    n = len(lists)
-    offsets = lists.offsets.to_numpy()
-    flat = lists.flatten().to_numpy(zero_copy_only=False)
-    # rows of null lists have equal offsets, so they get no entries
-    rows = np.repeat(np.arange(n, dtype=np.int64), np.diff(offsets))
-    pos = rows * dim + (np.abs(flat).astype(np.int64) - 1)
-    dense = np.bincount(pos, weights=np.sign(flat).astype(np.float64), minlength=n * dim).reshape(n, dim)
-    norm = np.sqrt(np.einsum("ij,ij->i", dense, dense))
-    np.divide(dense, norm[:, None], out=dense, where=norm[:, None] > 0)
-    values = pa.array(dense.reshape(-1), type=pa.float64())
-    return pa.ListArray.from_arrays(pa.array(np.arange(0, n * dim + 1, dim, dtype=np.int32)), values)
-
-
 def _make_bincount(dim: int):
+    kernel = kernels.signed_bincount_unit
+
     @arrow_udf("array<double>")
     def bincount_unit(indices: pa.Array) -> pa.Array:
-        return _bincount_unit(indices, dim)
+        return kernel(indices, dim)
 
     return bincount_unit
 

@@ -27,7 +27,7 @@ from ..operators.preprocess import preprocess
 from ..operators.scoring import embed_texts, score_texts
 from ..operators.split import exact_sample, train_test_split, with_split
 from ..session import scratch_path
-from ..sources.comments import conversation_texts, labelled_comments, table
+from ..sources.comments import conversation_texts, labelled_comments, spread, table
 from ..streaming.score_stream import OUTPUT_COLUMNS, run_available
 
 SEED = 42
@@ -45,7 +45,7 @@ def r6(c):
 
 def all_documents(spark: SparkSession, sf: str) -> DataFrame:
     """Every document, preprocessed (no label)."""
-    docs = table(spark, sf, "documents").select("doc_id", F.col("text").alias("Comment"))
+    docs = spread(table(spark, sf, "documents"), "doc_id").select("doc_id", F.col("text").alias("Comment"))
     return preprocess(docs, sentiment_col=None)
 
 
