@@ -23,7 +23,9 @@ def signed_bincount_unit(indices: pa.Array, dim: int) -> pa.Array:
     flat = lists.flatten().to_numpy(zero_copy_only=False)
     rows = np.repeat(np.arange(n, dtype=np.int64), np.diff(offsets))
     pos = rows * dim + (np.abs(flat).astype(np.int64) - 1)
-    dense = np.bincount(pos, weights=np.sign(flat).astype(np.float64), minlength=n * dim).reshape(n, dim)
+    dense = np.bincount(pos, weights=np.sign(flat).astype(np.float64), minlength=n * dim)
+    # an empty batch gives an integer result; the output is always float64
+    dense = dense.astype(np.float64, copy=False).reshape(n, dim)
     norm = np.sqrt(np.einsum("ij,ij->i", dense, dense))
     np.divide(dense, norm[:, None], out=dense, where=norm[:, None] > 0)
     values = pa.array(dense.reshape(-1), type=pa.float64())

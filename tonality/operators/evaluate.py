@@ -1,9 +1,9 @@
 """Report aggregates over labelled or scored rows.
 
 Every report is a small DataFrame; the rows behind it stay on the cluster.
-Per-class figures come from a partial + final hash aggregate (one row per
-class per task crosses the shuffle) and are joined to the three-row class
-dimension, which is broadcast because its size is fixed.
+Per-class figures come from one aggregate with a conditional count per class
+(partial per task, so one row per task crosses the shuffle); the class
+domain is fixed, so zero-count classes are produced without a join.
 """
 
 from __future__ import annotations
@@ -12,30 +12,31 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.labels import decode_label, known_class
-from ..schema import CLASSES, class_dimension
+from ..schema import CLASSES
 
 
 def class_counts(df: DataFrame, class_col: str = "prediction") -> DataFrame:
     """Rows per class, all three classes present (zero when absent), ordered
-    Positive, Neutral, Negative. Values outside the classes are left out."""
-    spark = df.sparkSession
-    counts = (
-        df.where(known_class(F.col(class_col)))
-        .groupBy(F.col(class_col).cast("int").alias("label"))
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    dim = class_dimension(spark).select("label", "sentiment", "display_order")
-    return (
-        F.broadcast(dim)
-        .join(counts, "label", "left")
-        .select(
-            "label",
-            "sentiment",
-            "display_order",
-            F.coalesce(F.col("n"), F.lit(0)).cast("long").alias("n"),
-        )
-        .orderBy("display_order")
+    Positive, Neutral, Negative. Values outside the classes are left out.
+
+    The class domain is fixed, so this is one global aggregate of three
+    conditional counts (partial per task, one row per task to the final
+    step), unfolded into the three class rows: no join, no broadcast.
+    """
+    c = F.col(class_col)
+    counts = df.agg(*[F.count_if(c == F.lit(row[0])).alias(f"n_{row[0]}") for row in CLASSES])
+    rows = F.array(
+        *[
+            F.struct(
+                F.lit(row[0]).alias("label"),
+                F.lit(row[1]).alias("sentiment"),
+                F.lit(row[5]).alias("display_order"),
+                F.col(f"n_{row[0]}").alias("n"),
+            )
+            for row in sorted(CLASSES, key=lambda r: r[5])
+        ]
     )
+    return counts.select(F.inline(rows))
 
 
 def value_counts(df: DataFrame, col: str) -> DataFrame:
@@ -53,35 +54,30 @@ def confusion_matrix(
 ) -> DataFrame:
     """Always 3 x 3: rows are true classes, columns predicted classes.
 
-    One aggregation with the predicted class pivoted over its three known
-    values (no extra job to discover them), then joined to the dimension so
-    that classes absent from the data still get a row of zeros.
+    One global aggregate of the nine conditional counts (the class domain is
+    fixed), unfolded into three rows; classes absent from the data get a row
+    of zeros. No join and no extra job to discover the classes.
     """
-    spark = df.sparkSession
-    labels = [row[0] for row in CLASSES]
+    lab, pred = F.col(label_col), F.col(prediction_col)
     names = {row[0]: row[1].lower() for row in CLASSES}
-    pivoted = (
-        df.where(known_class(F.col(label_col)) & known_class(F.col(prediction_col)))
-        .groupBy(F.col(label_col).cast("int").alias("label"))
-        .pivot(prediction_col, [float(v) for v in labels])
-        .agg(F.count(F.lit(1)))
-    )
-    # pivot names its columns after the values ("0.0", ...), whatever the type
-    renamed = pivoted.select(
-        "label",
-        *[F.col(f"`{c}`").alias(f"pred_{names[int(float(c))]}") for c in pivoted.columns if c != "label"],
+    cells = df.agg(
+        *[
+            F.count_if((lab == F.lit(t)) & (pred == F.lit(p))).alias(f"c_{t}_{p}")
+            for t in names
+            for p in names
+        ]
     )
-    dim = class_dimension(spark).select("label", F.col("sentiment").alias("true_sentiment"))
-    return (
-        F.broadcast(dim)
-        .join(renamed, "label", "left")
-        .select(
-            F.col("label").alias("true_label"),
-            "true_sentiment",
-            *[F.coalesce(F.col(f"pred_{names[v]}"), F.lit(0)).cast("long").alias(f"pred_{names[v]}") for v in labels],
-        )
-        .orderBy("true_label")
+    rows = F.array(
+        *[
+            F.struct(
+                F.lit(t).alias("true_label"),
+                F.lit(row[1]).alias("true_sentiment"),
+                *[F.col(f"c_{t}_{p}").alias(f"pred_{names[p]}") for p in names],
+            )
+            for t, row in ((r[0], r) for r in CLASSES)
+        ]
     )
+    return cells.select(F.inline(rows))
 
 
 def accuracy(df: DataFrame, label_col: str = "label", prediction_col: str = "prediction") -> DataFrame:
