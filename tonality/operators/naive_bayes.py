@@ -21,6 +21,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -55,6 +56,10 @@ def fit(
 ) -> NaiveBayesTables:
     lam = float(smoothing)
     tf = _doc_terms(train, id_col, text_col, [label_col])
+    if materialize:
+        # two passes read the term rows (vocabulary, class sums); keep them
+        # instead of re-running the text pipeline. A lost block is recomputed.
+        tf = tf.persist(StorageLevel.MEMORY_AND_DISK)
     vocab = vocabulary(tf, id_col, vocab_size)
     n_docs = train.agg(F.count(F.lit(1))).scalar()
     vocab = vocab.withColumn(
@@ -94,6 +99,9 @@ def fit(
     if materialize:
         classes = classes.checkpoint(eager=True)
 
+    if materialize:
+        tf.unpersist()
+
     denom = {c: classes.where(F.col("label") == c).select("log_denom").scalar() for c in CLASS_IDS}
     theta_terms = terms.select(
         "term",
