@@ -3,8 +3,9 @@
 ``randomSplit`` and ``sample`` depend on how rows fall into partitions, so
 they change with the cluster and the file layout. Here the decision for a
 row is a function of (seed, id) alone: an md5 bucket. No shuffle is needed
-for the split; the sample is a top-k on the hash, which Spark runs as a
-per-partition top-k followed by one merge of at most ``k`` rows per task.
+for the split; the sample is a top-k on the hash after a threshold filter
+that lets only about ``k`` rows through, so the final merge stays small
+however many partitions the input has.
 """
 
 from __future__ import annotations
@@ -40,18 +41,31 @@ def train_test_split(df: DataFrame, id_col: str, train_pct: int = 80, seed: int
     return df.where(b < F.lit(train_pct)), df.where(b >= F.lit(train_pct))
 
 
-def exact_sample(df: DataFrame, id_col: str, n: int = 3000, seed: int = 42) -> DataFrame:
-    """Exactly ``min(N, n)`` rows without replacement, the same on any layout.
+def exact_sample(df: DataFrame, id_col: str, n: int = 3000, seed: int = 42, margin: float = 1.5) -> DataFrame:
+    """Exactly ``min(N, n)`` rows without replacement, the same on any layout:
+    the ``n`` rows with the smallest hash of (seed, id), ties broken by id.
 
-    The limit is the feature here (a fixed-size sample for a chart), so it is
-    kept; ties on the hash are broken by the id.
+    A plain ``orderBy(hash).limit(n)`` sends ``n`` rows from *every* partition
+    to one task, which grows with the partition count. The hash prefix is
+    uniform, so rows are first kept only below a threshold expected to pass
+    about ``margin * n`` rows; if fewer than ``n`` pass (rare), the threshold
+    is raised. Only the survivors reach the final top-k, so the result is
+    still exactly the global top-k. Costs one count of the input (parquet
+    answers it from footers) and one count of the survivors.
     """
-    return (
-        df.withColumn("_sample_key", hash_key(F.col(id_col), seed))
-        .orderBy("_sample_key", id_col)
-        .limit(n)
-        .drop("_sample_key")
-    )
+    keyed = df.withColumn("_sample_key", hash_key(F.col(id_col), seed))
+    total = df.count()
+    if total > n:
+        prefix = F.conv(F.substring(F.col("_sample_key"), 1, 8), 16, 10).cast("long")
+        space = 1 << 32
+        frac = min(1.0, margin * n / total)
+        while frac < 1.0:
+            candidate = keyed.where(prefix < F.lit(int(frac * space)))
+            if candidate.count() >= n:
+                keyed = candidate
+                break
+            frac = min(1.0, frac * 2)
+    return keyed.orderBy("_sample_key", id_col).limit(n).drop("_sample_key")
 
 
 # ---- SQL text (DuckDB dialect) ------------------------------------------------

@@ -142,6 +142,22 @@ def q_class_slice(spark, sf):
     )
 
 
+def q_csv_ingest(spark, sf):
+    """Labelled comments written as CSV to the shared folder, read back in
+    strict mode, and audited: rows and characters per sentiment and label."""
+    from ..sources.comments import read_comments_csv
+    from ..sources.sinks import write_comments_csv
+
+    path = scratch_path(spark, "csv-ingest")
+    write_comments_csv(labelled_comments(spark, sf).select("Comment", "Sentiment"), path)
+    back = read_comments_csv(spark, path, "strict").drop("_corrupt_record")
+    return (
+        back.withColumn("label", encode_label(F.col("Sentiment")))
+        .groupBy("Sentiment", "label")
+        .agg(F.count(F.lit(1)).alias("n"), F.sum(F.length(F.coalesce(F.col("Comment"), F.lit("")))).alias("chars"))
+    )
+
+
 # ---- split and sample --------------------------------------------------------------
 
 
@@ -286,12 +302,16 @@ def q_embedding_report(spark, sf):
 
 def q_hover_text(spark, sf):
     """Hover labels of the 3-D chart: the sample's first three components as
-    coordinates, its class as prediction, the document's label as truth."""
+    coordinates, its class as prediction, the document's label as truth.
+
+    The sample is bounded (``SAMPLE_N`` rows), so it is broadcast and joined
+    to the raw labelled comments first; only the matching documents are then
+    cleaned and tokenized.
+    """
     pts = embedding_sample(spark, sf).withColumnRenamed("vec_id", "doc_id")
-    docs = labelled_documents(spark, sf).select(
-        "doc_id", "processed_comment", F.col("label").alias("true_label")
-    )
-    joined = pts.join(docs, "doc_id", "inner").withColumn("pred_name", decode_label(F.col("label")))
+    raw = labelled_comments(spark, sf).join(F.broadcast(pts.select("doc_id")), "doc_id", "left_semi")
+    docs = preprocess(raw).select("doc_id", "processed_comment", F.col("label").alias("true_label"))
+    joined = docs.join(F.broadcast(pts), "doc_id", "inner").withColumn("pred_name", decode_label(F.col("label")))
     sized = evaluate.with_class_size(joined, "pred_name")
     return sized.select(
         "doc_id",
@@ -339,6 +359,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "label_encode": q_label_encode,
     "label_audit": q_label_audit,
     "label_decode": q_label_decode,
+    "csv_ingest": q_csv_ingest,
     "sentiment_distribution": q_sentiment_distribution,
     "class_slice": q_class_slice,
     "train_test_split": q_train_test_split,

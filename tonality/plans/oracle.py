@@ -132,6 +132,12 @@ def oracle_sql() -> dict[str, str]:
         f"SELECT doc_id, label, {sql_decode('label', 1)} AS sentiment, {sql_decode('label', 2)} AS emoji, "
         f"{sql_decode('label', 3)} AS style, {sql_decode('label', 4)} AS color FROM ({enc})"
     )
+    q["csv_ingest"] = (
+        f"SELECT Sentiment, {sql_encode_label('Sentiment')} AS label, count(*) AS n, "
+        "CAST(sum(length(coalesce(Comment, ''))) AS BIGINT) AS chars FROM ("
+        f"SELECT d.text AS Comment, {sql_sentiment_from_flags('l.toxic', 'l.quality')} AS Sentiment "
+        "FROM documents d JOIN labels l ON d.doc_id = l.doc_id) GROUP BY ALL"
+    )
     q["sentiment_distribution"] = (
         f"WITH {_labelled_cte()}, cnt AS (SELECT label, count(*) AS n FROM lab GROUP BY label) "
         f"SELECT dim.label, dim.sentiment, dim.display_order, coalesce(cnt.n, 0) AS n "

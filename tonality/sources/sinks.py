@@ -26,6 +26,21 @@ def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = Non
     writer.parquet(path)
 
 
+def write_comments_csv(df: DataFrame, path: str) -> None:
+    """Comments as RFC-4180 CSV with a header: fields with a quote, comma or
+    line break are quoted and quotes doubled, and surrounding whitespace is
+    kept (Spark's CSV writer trims it by default). ``read_comments_csv(...,
+    mode="strict")`` reads it back unchanged."""
+    (
+        df.write.mode("overwrite")
+        .option("header", True)
+        .option("escape", '"')
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
+        .csv(path)
+    )
+
+
 def write_report(df: DataFrame, path: str, fmt: str = "json") -> None:
     """Report tables are tiny; one file each keeps them easy to pick up."""
     df.coalesce(1).write.mode("overwrite").format(fmt).save(path)
