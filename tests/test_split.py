@@ -26,3 +26,10 @@ def test_sample_exact_and_layout_free(spark):
         assert len(s1) == min(k, e.count())
         assert sorted(s1) == sorted(s2)
         assert len(set(s1)) == len(s1)
+
+
+def test_random_split_option_is_a_partition(spark):
+    docs = spark.read.parquet(f"{SF01}/documents.parquet").select("doc_id")
+    train, test = train_test_split(docs, "doc_id", method="random")
+    assert train.count() + test.count() == docs.count()
+    assert train.join(test, "doc_id").count() == 0

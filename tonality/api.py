@@ -9,6 +9,7 @@ from .operators.evaluate import class_counts, confusion_matrix  # noqa: F401
 from .operators.features import hashed_vector as embed_tokens  # noqa: F401
 from .operators.models import train_forest, train_logreg  # noqa: F401
 from .operators.preprocess import preprocess  # noqa: F401
+from .operators.report import build_reports, write_reports  # noqa: F401
 from .operators.projection import embedding_report, pca_3d as project, planar  # noqa: F401
 from .operators.scoring import embed_texts as embed, score_texts as score  # noqa: F401
 from .operators.split import train_test_split as split  # noqa: F401
@@ -34,3 +35,8 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, test = labelled_split(spark, sf_dir)
     scored = model.transform(embed(test.select("doc_id", "Comment", "label"), "Comment"))
     return cm(scored)
+
+
+def report(scored: DataFrame, id_col: str, path: str, **kwargs) -> list[str]:
+    """Build the report tables of ``scored`` and write them under ``path``."""
+    return write_reports(build_reports(scored, id_col, **kwargs), path)

@@ -107,7 +107,7 @@ def grid_search(
     features_col: str = "features",
     grid: dict | None = None,
     folds: int = GRID_FOLDS,
-    parallelism: int = 4,
+    parallelism: int | None = None,
     seed: int = SEED,
 ):
     """Cross-validated grid over logistic regression.
@@ -117,6 +117,10 @@ def grid_search(
     fold accuracy with ties kept in grid order.
     """
     grid = grid or GRID
+    if parallelism is None:
+        # each fit is a chain of small jobs; run as many fits at once as there
+        # are cores (up to 16 driver threads)
+        parallelism = max(1, min(16, spark.sparkContext.defaultParallelism, grid_size(grid)))
     lr = LogisticRegression(labelCol=label_col, featuresCol=features_col)
     builder = ParamGridBuilder()
     for name, values in grid.items():

@@ -35,8 +35,19 @@ def with_split(df: DataFrame, id_col: str, train_pct: int = 80, seed: int = 42)
     return df.withColumn("split", split_column(F.col(id_col), train_pct, seed))
 
 
-def train_test_split(df: DataFrame, id_col: str, train_pct: int = 80, seed: int = 42):
-    """(train, test): disjoint, together the whole input, stable under repartition."""
+def train_test_split(df: DataFrame, id_col: str, train_pct: int = 80, seed: int = 42, method: str = "hash"):
+    """(train, test): disjoint and together the whole input.
+
+    ``method="hash"`` (default) keys the decision on (seed, id), so it is
+    stable under any repartitioning. ``method="random"`` is Spark's
+    ``randomSplit``, as the original pipeline used; its result depends on the
+    partitioning of ``df``.
+    """
+    if method == "random":
+        train, test = df.randomSplit([train_pct / 100.0, 1 - train_pct / 100.0], seed=seed)
+        return train, test
+    if method != "hash":
+        raise ValueError(f"method must be 'hash' or 'random', got {method!r}")
     b = bucket(F.col(id_col), seed)
     return df.where(b < F.lit(train_pct)), df.where(b >= F.lit(train_pct))
 
