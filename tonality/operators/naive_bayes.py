@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import ml_tokens
 from ..schema import CLASSES
+from ..session import shared_dir
 from .features import DEFAULT_VOCAB_SIZE, bounded_broadcast, term_counts, vocabulary
 
 CLASS_IDS = [row[0] for row in CLASSES]
@@ -55,6 +56,8 @@ def fit(
     materialize: bool = True,
 ) -> NaiveBayesTables:
     lam = float(smoothing)
+    if materialize:
+        shared_dir(train.sparkSession)  # checkpoints go to the shared folder
     tf = _doc_terms(train, id_col, text_col, [label_col])
     if materialize:
         # two passes read the term rows (vocabulary, class sums); keep them
