@@ -36,6 +36,9 @@ def build_reports(
     }
     if {"x", "y", "z"} <= set(scored.columns):
         sample = exact_sample(scored, id_col, sample_n, seed)
+        out["sample_class_counts"] = evaluate.value_counts(
+            sample.withColumn("sentiment", decode_label(F.col(prediction_col))), "sentiment"
+        )
         out["planar_projection"] = projection.planar(sample, id_col, prediction_col)
         out["embedding_report"] = projection.embedding_report(sample, prediction_col)
         if text_col:
