@@ -197,7 +197,7 @@ def oracle_sql() -> dict[str, str]:
         "SELECT vec_id, sentiment, 'YZ', round(y, 6), round(z, 6) FROM s"
     )
     counts = ", ".join(
-        f"count_if(sentiment = '{c[1]}') AS {c[1].lower()}_count" for c in CLASSES
+        f"CAST(count_if(sentiment = '{c[1]}') AS BIGINT) AS {c[1].lower()}_count" for c in CLASSES
     )
     q["embedding_report"] = (
         f"WITH {_sample_cte()}, s AS (SELECT {sql_decode('label')} AS sentiment, x, y, z FROM smp) "
