@@ -30,9 +30,6 @@ HOVER_PRED = "<b>Предсказание:</b> "
 HOVER_COORDS = "<b>Координаты:</b> "
 # -----------------------------------------------------------------------------
 
-_STATE = "struct<lines:array<string>,cur:string,done:boolean>"
-
-
 def wrap_text(text: Column, limit: int, width: int, max_lines: int) -> Column:
     words = F.filter(F.split(text, SPLIT_JAVA), lambda w: w != F.lit(""))
     init = F.struct(
@@ -133,5 +130,7 @@ def sql_strip(expr: str) -> str:
 
 
 def sql_preview_source(expr: str) -> str:
-    return f"translate({sql_strip(f'coalesce({expr}, ' + chr(39) + 'None' + chr(39) + ')')}, chr(10) || chr(13), '  ')"
+    """Stripped, newline and carriage return to spaces (null reads ``None``)."""
+    stripped = sql_strip(f"coalesce({expr}, 'None')")
+    return f"translate({stripped}, chr(10) || chr(13), '  ')"
 

@@ -21,7 +21,7 @@ from ..functions.labels import (
     sentiment_from_flags,
 )
 from ..functions.preview import hover_3d, preview_2d, preview_3d
-from ..functions.text import content_tokens, preview_source
+from ..functions.text import content_tokens, is_empty, preview_source
 from ..operators import evaluate, features, models, naive_bayes, projection
 from ..operators.preprocess import preprocess
 from ..operators.scoring import embed_texts, score_texts
@@ -92,7 +92,7 @@ def q_tokenize_stop(spark, sf):
         F.when(F.col("processed_comment") == "", F.lit(0))
         .otherwise(F.size(F.split("processed_comment", " ")))
         .alias("n_tokens"),
-        (F.col("processed_comment") == "").alias("is_empty"),
+        is_empty(F.col("processed_comment")).alias("is_empty"),
     )
 
 
