@@ -309,9 +309,18 @@ def q_hover_text(spark, sf):
     cleaned and tokenized.
     """
     pts = embedding_sample(spark, sf).withColumnRenamed("vec_id", "doc_id")
-    raw = labelled_comments(spark, sf).join(F.broadcast(pts.select("doc_id")), "doc_id", "left_semi")
-    docs = preprocess(raw).select("doc_id", "processed_comment", F.col("label").alias("true_label"))
-    joined = docs.join(F.broadcast(pts), "doc_id", "inner").withColumn("pred_name", decode_label(F.col("label")))
+    raw = labelled_comments(spark, sf).join(F.broadcast(pts), "doc_id", "inner")
+    # the sample's ``label`` is the predicted class; preprocess adds the true one
+    docs = preprocess(raw.withColumnRenamed("label", "pred_label"))
+    joined = docs.select(
+        "doc_id",
+        "processed_comment",
+        F.col("label").alias("true_label"),
+        decode_label(F.col("pred_label")).alias("pred_name"),
+        "x",
+        "y",
+        "z",
+    )
     sized = evaluate.with_class_size(joined, "pred_name")
     return sized.select(
         "doc_id",
