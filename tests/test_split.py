@@ -33,3 +33,22 @@ def test_random_split_option_is_a_partition(spark):
     train, test = train_test_split(docs, "doc_id", method="random")
     assert train.count() + test.count() == docs.count()
     assert train.join(test, "doc_id").count() == 0
+
+
+def test_threshold_sample_equals_plain_top_k(spark):
+    from tonality.operators.split import hash_key
+
+    e = spark.read.parquet(f"{SF01}/embeddings.parquet").select("vec_id")
+    for k in (1, 10, 100):
+        fast = sorted(r[0] for r in exact_sample(e, "vec_id", k).collect())
+        plain = e.withColumn("h", hash_key(F.col("vec_id"), 42)).orderBy("h", "vec_id").limit(k)
+        assert fast == sorted(r[0] for r in plain.collect())
+
+
+def test_spread_is_noop_with_enough_splits(spark):
+    from tonality.sources.comments import spread
+
+    many = spark.range(0, 1000, numPartitions=spark.sparkContext.defaultParallelism * 2)
+    assert "Exchange" not in spread(many, "id")._jdf.queryExecution().executedPlan().toString()
+    one = spark.range(0, 1000, numPartitions=1)
+    assert spread(one, "id").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
