@@ -69,3 +69,11 @@ def test_hover_format_matches_python_rendering(spark):
     df = spark.createDataFrame(rows, "p string, n long, c string, t string, x double, y double, z double")
     got = [r[0] for r in df.select(hover_3d(F.col("p"), F.col("n"), preview_3d(F.col("c")), F.col("t"), F.col("x"), F.col("y"), F.col("z"))).collect()]
     assert got == [py_hover(*r) for r in rows]
+
+
+def test_long_documents_only_first_words_matter(spark):
+    rng = random.Random(11)
+    texts = [" ".join("y" * rng.randint(1, 3) for _ in range(rng.randint(50, 3000))) for _ in range(50)]
+    texts += [" ".join(["z" * 50] + ["a"] * 200), "a " * 61 + "b" * 100]
+    for settings in [(120, 40, 3), (80, 35, 2)]:
+        assert run(spark, texts, settings) == [py_wrap(t, *settings) for t in texts]

@@ -30,8 +30,19 @@ HOVER_PRED = "<b>Предсказание:</b> "
 HOVER_COORDS = "<b>Координаты:</b> "
 # -----------------------------------------------------------------------------
 
+def words_needed(width: int, max_lines: int) -> int:
+    """Upper bound on the words the wrap can look at: a line holds at most
+    (width + 1) // 2 words, and the word that would open line K + 1 ends it."""
+    return max_lines * ((width + 1) // 2) + 1
+
+
 def wrap_text(text: Column, limit: int, width: int, max_lines: int) -> Column:
-    words = F.filter(F.split(text, SPLIT_JAVA), lambda w: w != F.lit(""))
+    # Only the first ``n`` words can matter, so the split stops there (the
+    # last array entry holds the unsplit rest and is cut off): the cost per
+    # row is bounded whatever the document length.
+    n = words_needed(width, max_lines)
+    parts = F.split(text, SPLIT_JAVA, n + 2)
+    words = F.slice(F.filter(parts, lambda w: w != F.lit("")), 1, n)
     init = F.struct(
         F.array().cast("array<string>").alias("lines"),
         F.lit("").alias("cur"),

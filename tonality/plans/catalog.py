@@ -97,10 +97,10 @@ def q_tokenize_stop(spark, sf):
 
 
 def q_preview_text(spark, sf):
-    src = preview_source(F.col("processed_comment"))
-    return all_documents(spark, sf).select(
-        "doc_id", preview_3d(src).alias("preview_3d"), preview_2d(src).alias("preview_2d")
-    )
+    # the source text is a column of its own, so both previews share it
+    d = all_documents(spark, sf).withColumn("_src", preview_source(F.col("processed_comment")))
+    src = F.col("_src")
+    return d.select("doc_id", preview_3d(src).alias("preview_3d"), preview_2d(src).alias("preview_2d"))
 
 
 # ---- labels ----------------------------------------------------------------------
