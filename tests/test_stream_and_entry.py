@@ -36,3 +36,28 @@ def test_entry_contract(spark):
     qs, sql = E.queries(), E.oracle_sql()
     assert set(sql) <= set(qs)
     assert len(qs) >= 30
+
+
+def test_stream_picks_up_only_new_files(spark, tmp_dir):
+    src = os.path.join(tmp_dir, "in")
+    os.makedirs(src)
+    conv = spark.read.parquet(f"{SF001}/conversations.parquet")
+    first = conv.where("conv_id % 2 = 0")
+    second = conv.where("conv_id % 2 = 1")
+    first.coalesce(1).write.parquet(os.path.join(src, "batch-1"))
+    model = sentiment_model(spark, SF001)
+    sink, ckpt = os.path.join(tmp_dir, "out"), os.path.join(tmp_dir, "ckpt")
+    from tonality.streaming.score_stream import run_available as run
+
+    run(model, spark, os.path.join(src, "batch-1"), sink, ckpt)
+    n1 = spark.read.parquet(sink).count()
+    # a new file arrives in the watched directory
+    second.coalesce(1).write.mode("overwrite").parquet(os.path.join(tmp_dir, "staging"))
+    staged = [f for f in os.listdir(os.path.join(tmp_dir, "staging")) if f.endswith(".parquet")]
+    shutil.copy(os.path.join(tmp_dir, "staging", staged[0]), os.path.join(src, "batch-1", "part-new.parquet"))
+    run(model, spark, os.path.join(src, "batch-1"), sink, ckpt)
+    out = spark.read.parquet(sink)
+    blank = drop_blank(conv).count()
+    assert n1 == drop_blank(first).count()
+    assert out.count() == blank
+    assert out.select("conv_id", "turn").distinct().count() == blank
