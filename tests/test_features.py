@@ -53,3 +53,22 @@ def test_relational_nb_equals_spark_ml(spark):
     ml_pred = {r["doc_id"]: r["prediction"] for r in ml.select("doc_id", "prediction").collect()}
     assert rel == ml_pred
     assert len(rel) > 50
+
+
+def test_relational_nb_parameters_equal_spark_ml(spark):
+    train, _ = labelled_split(spark, SF01)
+    vocab = 1 << 20
+    model = naive_bayes.fit(train, "doc_id", vocab_size=vocab)
+    fitted = nb_pipeline(vocab_size=vocab).fit(train)
+    cv, nb = fitted.stages[1], fitted.stages[3]
+    terms = cv.vocabulary
+    pi = nb.pi.toArray()
+    theta = nb.theta.toArray()
+    priors = {r["label"]: r["prior"] for r in model.classes.collect()}
+    assert max(abs(priors[c] - pi[c]) for c in range(len(pi))) < 1e-9
+    rel = {r["term"]: r for r in model.terms.collect()}
+    worst = 0.0
+    for j, term in enumerate(terms):
+        for c in range(theta.shape[0]):
+            worst = max(worst, abs(rel[term][f"theta_{c}"] - theta[c, j]))
+    assert worst < 1e-9
