@@ -10,6 +10,13 @@ from pyspark.sql import functions as F
 from .common import table
 
 
+def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .minhash import near_duplicates
+
+    classes, _ = near_duplicates(table(spark, sf_dir, "documents"))
+    return classes.withColumn("kept", F.col("doc_id") == F.col("class_id"))
+
+
 def op3_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .sharding import shard
 
@@ -19,6 +26,13 @@ def op3_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .substring import remove_repeats
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return remove_repeats(docs).select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op9_quality_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .quality import quality_report
 
@@ -26,6 +40,8 @@ def op9_quality_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_minhash_dedup": op1_minhash_dedup,
     "op3_feistel_shards": op3_feistel_shards,
+    "op4_substring_dedup": op4_substring_dedup,
     "op9_quality_ledger": op9_quality_ledger,
 }

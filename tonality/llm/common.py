@@ -50,3 +50,10 @@ def without(df: DataFrame, *names: str) -> DataFrame:
     add, so that inputs with clashing extra columns don't give ambiguous names."""
     taken = {n.lower() for n in names}
     return df.select(*[c for c in df.columns if c.lower() not in taken])
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Keep the Arrow batches sent to Python small in bytes, whatever the
+    texts' lengths (a single longer row is a batch of its own)."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "4m")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4096")

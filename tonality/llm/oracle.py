@@ -39,4 +39,23 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_upper, n_lines, n_dup_lines, n_
 FROM judged
 """
 
-ORACLE_SQL: dict[str, str] = {"op9_quality_ledger": OP9}
+OP4 = rf"""
+WITH base AS (
+  SELECT row_number() OVER () AS k, doc_id, {_WORDS} AS w FROM documents
+), windows AS (
+  SELECT k, doc_id, i, array_to_string(w[i:i + 49], ' ') AS v FROM base, unnest(range(1, len(w) - 48)) AS r(i)
+), repeated AS (
+  SELECT k, i FROM windows QUALIFY doc_id > min(doc_id) OVER (PARTITION BY v)
+), covered AS (
+  SELECT DISTINCT k, i + j AS i FROM repeated, unnest(range(50)) AS r(j)
+), gone AS (
+  SELECT k, list(i) AS g FROM covered GROUP BY k
+), kept AS (
+  SELECT doc_id, len(w) AS n_words, coalesce(len(g), 0) AS n_removed,
+         list_filter(w, lambda x, i: g IS NULL OR NOT list_contains(g, i)) AS rest
+  FROM base LEFT JOIN gone USING (k)
+)
+SELECT doc_id, n_words, n_removed, sha256(array_to_string(rest, ' ')) AS kept_sha256 FROM kept
+"""
+
+ORACLE_SQL: dict[str, str] = {"op4_substring_dedup": OP4, "op9_quality_ledger": OP9}
