@@ -17,6 +17,15 @@ def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classes.withColumn("kept", F.col("doc_id") == F.col("class_id"))
 
 
+def op2_hilbert_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .packing import pack
+
+    pieces = pack(table(spark, sf_dir, "documents"))
+    return pieces.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "curve"
+    )
+
+
 def op3_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .sharding import shard
 
@@ -33,6 +42,19 @@ def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(docs).select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .packing import tokenizer_path
+    from .token_counts import count_tokens
+
+    return count_tokens(table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer_path())
+
+
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .licenses import scan_licenses
+
+    return scan_licenses(table(spark, sf_dir, "documents")).drop("bad_expressions")
+
+
 def op9_quality_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .quality import quality_report
 
@@ -41,7 +63,10 @@ def op9_quality_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_dedup": op1_minhash_dedup,
+    "op2_hilbert_packing": op2_hilbert_packing,
     "op3_feistel_shards": op3_feistel_shards,
     "op4_substring_dedup": op4_substring_dedup,
+    "op5_token_counts": op5_token_counts,
+    "op7_license_scan": op7_license_scan,
     "op9_quality_ledger": op9_quality_ledger,
 }
