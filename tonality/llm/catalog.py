@@ -61,6 +61,13 @@ def op9_quality_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_report(table(spark, sf_dir, "documents"))
 
 
+def op10_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .neighbours import near_vectors
+
+    result, _, _ = near_vectors(table(spark, sf_dir, "embeddings"))
+    return result.withColumn("kept", F.col("vec_id") == F.col("component_id"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_dedup": op1_minhash_dedup,
     "op2_hilbert_packing": op2_hilbert_packing,
@@ -69,4 +76,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_token_counts": op5_token_counts,
     "op7_license_scan": op7_license_scan,
     "op9_quality_ledger": op9_quality_ledger,
+    "op10_nn_descent": op10_nn_descent,
 }

@@ -58,4 +58,26 @@ WITH base AS (
 SELECT doc_id, n_words, n_removed, sha256(array_to_string(rest, ' ')) AS kept_sha256 FROM kept
 """
 
-ORACLE_SQL: dict[str, str] = {"op4_substring_dedup": OP4, "op9_quality_ledger": OP9}
+OP10 = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e,
+         sqrt(list_dot_product(CAST(embedding AS DOUBLE[]), CAST(embedding AS DOUBLE[]))) AS n
+  FROM embeddings WHERE label IS NOT NULL
+), links AS MATERIALIZED (
+  SELECT a.vec_id AS u, b.vec_id AS v FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
+  WHERE a.n > 0 AND b.n > 0 AND list_dot_product(a.e, b.e) / (a.n * b.n) >= 0.93
+), reach AS (
+  SELECT u AS node, u AS root FROM links
+  UNION
+  SELECT l.v, r.root FROM reach r JOIN links l ON l.u = r.node
+), part AS (
+  SELECT node, min(root) AS component_id FROM reach GROUP BY node
+), degree AS (
+  SELECT u AS node, count(*) AS n_links FROM links GROUP BY u
+)
+SELECT vec_id, coalesce(n_links, 0) AS n_links, coalesce(component_id, vec_id) AS component_id,
+       coalesce(component_id, vec_id) = vec_id AS kept
+FROM embeddings LEFT JOIN part ON part.node = vec_id LEFT JOIN degree ON degree.node = vec_id
+"""
+
+ORACLE_SQL: dict[str, str] = {"op4_substring_dedup": OP4, "op9_quality_ledger": OP9, "op10_nn_descent": OP10}
