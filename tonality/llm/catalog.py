@@ -49,12 +49,26 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer_path())
 
 
+def op6_soft_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .mixing import mix
+
+    shares = {"clean": 0.9, "low": 0.1, "toxic": 0.0}
+    return mix(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), shares)
+
+
 def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .licenses import scan_licenses
 
     return scan_licenses(table(spark, sf_dir, "documents")).drop("bad_expressions")
 
 
+def op8_attention_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .lm import score
+    from .packing import tokenizer_path
+
+    return score(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
 def op9_quality_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .quality import quality_report
 
@@ -74,7 +88,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_feistel_shards": op3_feistel_shards,
     "op4_substring_dedup": op4_substring_dedup,
     "op5_token_counts": op5_token_counts,
+    "op6_soft_mixing": op6_soft_mixing,
     "op7_license_scan": op7_license_scan,
+    "op8_attention_scores": op8_attention_scores,
     "op9_quality_ledger": op9_quality_ledger,
     "op10_nn_descent": op10_nn_descent,
 }

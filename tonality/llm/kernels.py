@@ -144,3 +144,26 @@ def runs_of(keys: np.ndarray, first: np.ndarray, width: int, odd: int) -> tuple[
             else:
                 out[has] = out[has] * np.uint64(odd) + keys[start[has] + k]
         return mix(out + length.astype(np.uint64)), before
+
+
+def key_runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    """Consecutive rows with equal keys, as tables, from sorted batches."""
+    held: list[pa.RecordBatch] = []
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        cut = np.zeros(batch.num_rows, bool)
+        for c in keys:
+            code = batch.column(c).to_numpy(zero_copy_only=False)
+            cut[1:] |= code[1:] != code[:-1]
+        at = [0, *np.flatnonzero(cut).tolist(), batch.num_rows]
+        for a, b in zip(at[:-1], at[1:], strict=True):
+            key = tuple(batch.column(c)[a].as_py() for c in keys)
+            if held and key != last:
+                yield pa.Table.from_batches(held)
+                held = []
+            held.append(batch.slice(a, b - a))
+            last = key
+    if held:
+        yield pa.Table.from_batches(held)

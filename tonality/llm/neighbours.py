@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from .common import materialise
 from .components import components
-from .kernels import mix
+from .kernels import key_runs, mix
 
 THRESHOLD = 0.93
 K = 10
@@ -78,29 +78,6 @@ def _best(node: np.ndarray, gram: np.ndarray, k: int, threshold: float, floor: n
     return node[u], node[v], gram[u, v]
 
 
-def _runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
-    """Consecutive rows with equal keys, as tables, from sorted batches."""
-    held: list[pa.RecordBatch] = []
-    last = None
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        cut = np.zeros(batch.num_rows, bool)
-        for c in keys:
-            code = batch.column(c).to_numpy(zero_copy_only=False)
-            cut[1:] |= code[1:] != code[:-1]
-        at = [0, *np.flatnonzero(cut).tolist(), batch.num_rows]
-        for a, b in zip(at[:-1], at[1:], strict=True):
-            key = tuple(batch.column(c)[a].as_py() for c in keys)
-            if held and key != last:
-                yield pa.Table.from_batches(held)
-                held = []
-            held.append(batch.slice(a, b - a))
-            last = key
-    if held:
-        yield pa.Table.from_batches(held)
-
-
 def _sign_keys(first: int, tables: int, dim_seed: int = 7):
     """(table, domain, key, node, vector) for each sort order of each node."""
 
@@ -127,7 +104,7 @@ def _sign_keys(first: int, tables: int, dim_seed: int = 7):
     return run
 
 
-def _compare_runs(k: int, threshold: float):
+def _comparekey_runs(k: int, threshold: float):
     """Blocks of BLOCK consecutive rows of one order and domain, each starting
     half-way through the one before."""
 
@@ -149,7 +126,7 @@ def _compare_runs(k: int, threshold: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, held = None, None
         for batch in batches:
-            for part in _runs(iter([batch]), ["order", "domain"]):
+            for part in key_runs(iter([batch]), ["order", "domain"]):
                 now = (part.column("order")[0].as_py(), part.column("domain")[0].as_py())
                 if held is not None and now != key:
                     yield from map(compare, blocks(held, True)[0])
@@ -168,14 +145,14 @@ def _first_lists(nodes: DataFrame, first: int, tables: int, threshold: float) ->
     schema = "order int, domain string, key long, node long, vec " + nodes.schema["vec"].dataType.simpleString()
     keyed = materialise(nodes.select("node", "domain", "vec").mapInArrow(_sign_keys(first, tables), schema), "orders")
     ordered = keyed.repartitionByRange("order", "domain", "key", "node").sortWithinPartitions("order", "domain", "key", "node")
-    return ordered.mapInArrow(_compare_runs(K, threshold), EDGE_SCHEMA)
+    return ordered.mapInArrow(_comparekey_runs(K, threshold), EDGE_SCHEMA)
 
 
 def _local_join(threshold: float):
     """Members of one block of a node's neighbourhood, against each other."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in _runs(batches, ["w", "block"]):
+        for rows in key_runs(batches, ["w", "block"]):
             if rows.num_rows < 2:
                 continue
             node = rows.column("node").to_numpy()
@@ -258,7 +235,7 @@ def _count_block(threshold: float):
     node the weight of its links and its smallest link."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in _runs(batches, ["component", "low", "high"]):
+        for rows in key_runs(batches, ["component", "low", "high"]):
             low, high, side = (rows.column(c).to_numpy() for c in ("low", "high", "own"))
             node, weight, x = rows.column("node").to_numpy(), rows.column("weight").to_numpy(), _unit(rows.column("vec"))
             a, b = np.flatnonzero(side == low[0]), np.flatnonzero(side == high[0])

@@ -37,7 +37,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 
 from .common import bounded_batches, materialise, text_or_empty
 from .kernels import Powers, Words, is_word_byte_table, mix, slices, sums_before
@@ -214,9 +214,12 @@ def repeats(docs: DataFrame, min_words: int = MIN_WORDS, text: str = "text") ->
     return alike.unionByName(again).unionByName(extended)
 
 
-CUT_FIELDS = StructType.fromDDL(
-    "n_words long, n_removed long, kept_text string, removed array<struct<start:int,end:int>>"
-).fields
+CUT_FIELDS = [
+    StructField("n_words", LongType()),
+    StructField("n_removed", LongType()),
+    StructField("kept_text", StringType()),
+    StructField("removed", ArrayType(StructType([StructField("start", IntegerType()), StructField("end", IntegerType())]))),
+]
 
 
 def _cut(texts: pa.Array, lists: pa.Array, min_words: int) -> tuple[list, list, list, list]:
