@@ -1,29 +1,11 @@
-"""Word-wrapped previews (V1-V3) against a plain Python model of the rule."""
+"""Word-wrapped previews: literal expectations and properties of the rule."""
 
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
-from tonality.functions.preview import wrap_text
-
-
-def py_wrap(text, limit, width, max_lines):
-    if len(text) <= limit:
-        return text
-    lines, cur = [], ""
-    for w in text.split():
-        if len(cur + " " + w) <= width:
-            cur += (" " + w) if cur else w
-        else:
-            if cur:
-                lines.append(cur)
-            cur = w
-            if len(lines) >= max_lines:
-                lines.append("...")
-                break
-    if cur and len(lines) < max_lines:
-        lines.append(cur)
-    return "<br>".join(lines)
+from tonality.functions.preview import hover_2d, hover_3d, preview_2d, preview_3d, wrap_text
 
 
 def run(spark, texts, settings):
@@ -31,49 +13,75 @@ def run(spark, texts, settings):
     return [r[0] for r in df.orderBy("id").select(wrap_text(F.col("t"), *settings)).collect()]
 
 
+# limit 12, width 6, 2 lines
+LITERAL = [
+    ("", ""),
+    ("twelve chars", "twelve chars"),
+    ("aa bb cc dd ee", "aa bb<br>cc dd<br>..."),
+    ("aa bb cc dd e", "aa bb<br>cc dd<br>..."),
+    ("aaaaaaaaaaaaaaa", "aaaaaaaaaaaaaaa"),
+    ("aaaaaaaaaaaaaaa b", "aaaaaaaaaaaaaaa<br>b"),
+    ("a bbbbbbbbbbbbbb c", "a<br>bbbbbbbbbbbbbb<br>..."),
+    ("aaa  bbb \t cc dd ", "aaa<br>bbb cc<br>..."),
+    ("   aaaaaa    bbbbbb", "aaaaaa<br>bbbbbb"),
+    ("                    ", ""),
+]
+
+
+def test_literal_cases(spark):
+    assert run(spark, [t for t, _ in LITERAL], (12, 6, 2)) == [w for _, w in LITERAL]
+
+
 def test_fixtures(spark):
-    v1 = "short text"
-    v2 = " ".join(["a" * 39, "b" * 50, "c" * 40])
-    v3 = " ".join(["word"] * 60)
-    got = run(spark, [v1, v2, v3], (120, 40, 3))
-    assert got[0] == v1
-    assert got[1] == "<br>".join(["a" * 39, "b" * 50, "c" * 40])
-    assert got[2].endswith("<br>...") and got[2].count("<br>") == 3
+    a, b, c = "a" * 39, "b" * 50, "c" * 40
+    line = "word word word word word word word word"
+    got = run(spark, ["short text", f"{a} {b} {c}", "word " * 60], (120, 40, 3))
+    assert got == ["short text", f"{a}<br>{b}<br>{c}", f"{line}<br>{line}<br>{line}<br>..."]
 
 
-def test_random_against_python(spark):
+@pytest.mark.parametrize("limit, width, lines", [(120, 40, 3), (80, 35, 2)])
+def test_properties_of_the_rule(spark, limit, width, lines):
     rng = random.Random(3)
-    texts = []
-    for _ in range(400):
-        words = ["x" * rng.randint(1, 45) for _ in range(rng.randint(0, 40))]
-        texts.append(" ".join(words))
-    for settings in [(120, 40, 3), (80, 35, 2)]:
-        assert run(spark, texts, settings) == [py_wrap(t, *settings) for t in texts]
-
-
-def test_hover_format_matches_python_rendering(spark):
-    from tonality.functions.preview import hover_3d, preview_3d
-
-    def py_hover(pred, size, comment, true, x, y, z):
-        wrapped = py_wrap(comment, 120, 40, 3)
-        return (
-            f"<b>{pred} ({size} точек)</b><br>"
-            f"<b>Комментарий:</b><br>{wrapped}<br>"
-            f"{'─' * 29}<br>"
-            f"<b>Истинная метка:</b> {true}<br>"
-            f"<b>Предсказание:</b> {pred}<br>"
-            f"<b>Координаты:</b> ({x:.2f}, {y:.2f}, {z:.2f})"
-        )
-
-    rows = [("Positive", 12, "great video " * 20, "Neutral", 1.234, -0.5, 10.0), ("Negative", 3, "bad", "Negative", 0.0, 2.71828, -3.14159)]
-    df = spark.createDataFrame(rows, "p string, n long, c string, t string, x double, y double, z double")
-    got = [r[0] for r in df.select(hover_3d(F.col("p"), F.col("n"), preview_3d(F.col("c")), F.col("t"), F.col("x"), F.col("y"), F.col("z"))).collect()]
-    assert got == [py_hover(*r) for r in rows]
-
-
-def test_long_documents_only_first_words_matter(spark):
-    rng = random.Random(11)
-    texts = [" ".join("y" * rng.randint(1, 3) for _ in range(rng.randint(50, 3000))) for _ in range(50)]
-    texts += [" ".join(["z" * 50] + ["a"] * 200), "a " * 61 + "b" * 100]
-    for settings in [(120, 40, 3), (80, 35, 2)]:
-        assert run(spark, texts, settings) == [py_wrap(t, *settings) for t in texts]
+    texts = [" ".join("x" * rng.randint(1, 45) for _ in range(rng.randint(0, 40))) for _ in range(300)]
+    texts += [" ".join("y" * rng.randint(1, 3) for _ in range(rng.randint(50, 3000))) for _ in range(30)]
+    for text, wrapped in zip(texts, run(spark, texts, (limit, width, lines)), strict=True):
+        if len(text) <= limit:
+            assert wrapped == text
+            continue
+        words, out = text.split(), wrapped.split("<br>")
+        dropped = out[-1] == "..."
+        out = out[:-1] if dropped else out
+        shown = [w for row in out for w in row.split()]
+        assert len(out) <= lines
+        assert words[: len(shown)] == shown and dropped == (len(shown) < len(words))
+        for i, row in enumerate(out):
+            assert len(row) <= width or " " not in row
+            after = len([w for r in out[: i + 1] for w in r.split()])
+            if after < len(words):  # the next word would not have fitted
+                assert len(row) + 1 + len(words[after]) > width
+
+
+HOVERS = [
+    (
+        ("Positive", 12, "bad", "Neutral", 1.234, -0.5, 10.0),
+        "<b>Positive (12 точек)</b><br><b>Комментарий:</b><br>bad<br>─────────────────────────────<br>"
+        "<b>Истинная метка:</b> Neutral<br><b>Предсказание:</b> Positive<br><b>Координаты:</b> (1.23, -0.50, 10.00)",
+        "<b>Positive</b><br><b>Комментарий:</b><br>bad<br><b>Истинная метка:</b> Neutral<br><b>Предсказание:</b> Positive",
+    ),
+    (
+        ("Negative", 3, "one two three four five six seven eight nine ten eleven twelve", "Unknown", 0.0, 2.71828, -3.14159),
+        "<b>Negative (3 точек)</b><br><b>Комментарий:</b><br>one two three four five six seven eight nine ten eleven twelve<br>"
+        "─────────────────────────────<br><b>Истинная метка:</b> Unknown<br><b>Предсказание:</b> Negative<br>"
+        "<b>Координаты:</b> (0.00, 2.72, -3.14)",
+        "<b>Negative</b><br><b>Комментарий:</b><br>one two three four five six seven eight nine ten eleven twelve<br>"
+        "<b>Истинная метка:</b> Unknown<br><b>Предсказание:</b> Negative",
+    ),
+]
+
+
+def test_hover_texts(spark):
+    rows = [h[0] for h in HOVERS]
+    df = spark.createDataFrame(rows, "p string, n long, c string, t string, x double, y double, z double").coalesce(1)
+    p, n, c, t, x, y, z = (F.col(k) for k in "pnctxyz")
+    got = df.select(hover_3d(p, n, preview_3d(c), t, x, y, z), hover_2d(p, preview_2d(c), t)).collect()
+    assert [tuple(r) for r in got] == [h[1:] for h in HOVERS]

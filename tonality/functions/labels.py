@@ -50,11 +50,6 @@ def decode_color(value: Column) -> Column:
     return _decode(value, 4, UNKNOWN_CLASS[3])
 
 
-def known_class(value: Column) -> Column:
-    """True for the three real classes; reports leave Unknown out."""
-    return value.isin([row[0] for row in CLASSES])
-
-
 def sentiment_from_flags(toxic: Column, quality: Column) -> Column:
     """Stand-in for the raw ``Sentiment`` column on the test tables:
     toxic -> negative, else quality -> positive, else neutral."""

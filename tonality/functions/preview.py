@@ -24,7 +24,7 @@ ELLIPSIS = "..."
 LINE_BREAK = "<br>"
 HOVER_POINTS = "точек"
 HOVER_COMMENT = "<b>Комментарий:</b><br>"
-HOVER_RULE = "─" * 29 + "<br>"
+HOVER_RULE = "─────────────────────────────<br>"
 HOVER_TRUE = "<b>Истинная метка:</b> "
 HOVER_PRED = "<b>Предсказание:</b> "
 HOVER_COORDS = "<b>Координаты:</b> "

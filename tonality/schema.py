@@ -1,8 +1,7 @@
-"""Declared schemas of the five shapes a comment takes, and the class dimension."""
+"""Declared schemas of raw comments and stream input, and the class dimension."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 # R1: raw comments as they arrive in CSV.
@@ -19,26 +18,6 @@ RAW_COMMENTS_STRICT = T.StructType(
     RAW_COMMENTS.fields + [T.StructField(CORRUPT_COLUMN, T.StringType(), True)]
 )
 
-# R2: processed comments.
-PROCESSED_COMMENTS = T.StructType(
-    RAW_COMMENTS.fields
-    + [
-        T.StructField("cleaned_comment", T.StringType(), True),
-        T.StructField("processed_comment", T.StringType(), True),
-        T.StructField("label", T.IntegerType(), True),
-    ]
-)
-
-# R3/R4 at rest: the feature vector is stored as array<float>; ML stages see
-# a VectorUDT made from it with array_to_vector.
-FEATURED_COMMENTS = T.StructType(
-    [
-        T.StructField("processed_comment", T.StringType(), True),
-        T.StructField("label", T.IntegerType(), True),
-        T.StructField("features", T.ArrayType(T.FloatType()), True),
-    ]
-)
-
 # Stream input (conversations table shape).
 CONVERSATIONS = T.StructType(
     [
@@ -53,27 +32,9 @@ CONVERSATIONS = T.StructType(
 # label, name, emoji, console style, chart colour, position in the
 # distribution chart (Positive, Neutral, Negative).
 CLASSES = [
-    (0, "Negative", "\U0001F621", "bold red", "#DC143C", 3),
-    (1, "Neutral", "\U0001F610", "bold yellow", "#4169E1", 2),
-    (2, "Positive", "\U0001F603", "bold green", "#2E8B57", 1),
+    (0, "Negative", "😡", "bold red", "#DC143C", 3),
+    (1, "Neutral", "😐", "bold yellow", "#4169E1", 2),
+    (2, "Positive", "😃", "bold green", "#2E8B57", 1),
 ]
 UNKNOWN_CLASS = ("Unknown", "❓", "bold white", None)
 # ---------------------------------------------------------------------------
-
-NUM_CLASSES = len(CLASSES)
-
-CLASS_DIM_SCHEMA = T.StructType(
-    [
-        T.StructField("label", T.IntegerType(), False),
-        T.StructField("sentiment", T.StringType(), False),
-        T.StructField("emoji", T.StringType(), False),
-        T.StructField("style", T.StringType(), False),
-        T.StructField("color", T.StringType(), True),
-        T.StructField("display_order", T.IntegerType(), False),
-    ]
-)
-
-
-def class_dimension(spark: SparkSession) -> DataFrame:
-    """Three-row class dimension; small and fixed, so always safe to broadcast."""
-    return spark.createDataFrame(CLASSES, CLASS_DIM_SCHEMA)
