@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -101,5 +102,24 @@ def test_no_python_worker_in_preprocess(spark):
 
 @pytest.mark.parametrize("text,expected", [("  a b  ", "a b"), ("\n\r", "")])
 def test_strip_unicode(spark, text, expected):
-    got = spark.createDataFrame([(text,)], "t string").select(TX.strip_unicode(F.col("t"))).first()[0]
+    got = spark.createDataFrame([(text,)], "t string").select(TX.TX.strip_unicode(F.col("t"))).first()[0]
     assert got == expected
+
+
+def test_blank_test_and_strip_are_linear(spark):
+    gap = " " * 100_000
+    rows = [("a" + gap + "b",), (gap,), ("",), (None,), ("\u2007\u3000\x1c",), (gap + "x",)]
+    df = spark.createDataFrame(rows, "t string").cache()
+    df.count()
+    start = time.time()
+    kept = df.where(TX.has_text(F.col("t"))).count()
+    stripped = df.select(F.length(TX.strip_unicode(F.col("t"))).alias("n")).collect()
+    assert time.time() - start < 3
+    assert kept == 2
+    assert [r["n"] for r in stripped] == [100_002, 0, 0, None, 0, 1]
+
+
+def test_text_is_cleaned_once_for_both_columns(spark):
+    df = preprocess(spark.range(3).select(F.col("id").cast("string").alias("Comment")), sentiment_col=None)
+    plan = df.select("cleaned_comment", "processed_comment")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_replace") == 1

@@ -124,11 +124,6 @@ def split_contractions(tokens: Column) -> Column:
     )
 
 
-def word_tokens(cleaned: Column) -> Column:
-    """Whitespace tokens of cleaned text, contractions split (array<string>)."""
-    return F.filter(split_contractions(raw_tokens(cleaned)), lambda w: w != F.lit(""))
-
-
 def content_tokens(cleaned: Column, stop_words=None) -> Column:
     """Word tokens without empty strings and stop words, in one array filter."""
     stop = list(STOP_WORDS if stop_words is None else stop_words)
@@ -149,8 +144,16 @@ def ml_tokens(text: Column) -> Column:
 
 
 def strip_unicode(text: Column) -> Column:
-    """Strip leading and trailing whitespace of any kind (``str.strip``)."""
-    return F.regexp_replace(text, f"^[{WS_JAVA}]+|[{WS_JAVA}]+\\z", "")
+    """Strip leading and trailing whitespace of any kind (``str.strip``).
+
+    A character-set trim looks at each end once; a regular expression anchored
+    at the end would start over at every space inside the text."""
+    return F.btrim(text, F.lit(" " + WS_OTHER))
+
+
+def has_text(text: Column) -> Column:
+    """Is there a character that isn't whitespace? Stops at the first one."""
+    return F.coalesce(text.rlike(f"[^{WS_JAVA}]"), F.lit(False))
 
 
 def preview_source(text: Column) -> Column:

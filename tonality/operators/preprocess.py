@@ -1,7 +1,7 @@
 """Preprocessing: raw comments -> cleaned text, processed text, integer label.
 
-All three derived columns are native expressions in one projection, so the
-whole step runs inside the scan's stage with no Python worker and no shuffle.
+All derived columns are native expressions, so the whole step runs inside the
+scan's stage with no Python worker and no shuffle.
 """
 
 from __future__ import annotations
@@ -21,13 +21,11 @@ def preprocess(
 ) -> DataFrame:
     """Add ``cleaned_comment``, ``processed_comment`` and (if a sentiment
     column is given) ``label``."""
-    cleaned = clean_text(F.col(text_col))
-    cols = {
-        "cleaned_comment": cleaned,
-        # Reuses the cleaned expression; Catalyst evaluates it once per row
-        # inside the generated code of the projection.
-        "processed_comment": process_text(cleaned, stop_words),
-    }
+    # Two projections: the second reads the cleaned text as a column. Spark
+    # does not merge them where both columns are used (the cleaning would run
+    # twice), and drops or merges the first where only one is.
+    out = df.withColumn("cleaned_comment", clean_text(F.col(text_col)))
+    out = out.withColumn("processed_comment", process_text(F.col("cleaned_comment"), stop_words))
     if sentiment_col is not None:
-        cols["label"] = encode_label(F.col(sentiment_col))
-    return df.withColumns(cols)
+        out = out.withColumn("label", encode_label(F.col(sentiment_col)))
+    return out
