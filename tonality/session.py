@@ -6,7 +6,9 @@ builder below is for local runs and tests.
 
 from __future__ import annotations
 
-import os
+import atexit
+import re
+import shutil
 import tempfile
 import uuid
 
@@ -47,17 +49,26 @@ def build_session(
     return spark
 
 
+def is_local(master: str) -> bool:
+    """Do all tasks run in the driver's process? (``local-cluster`` does not.)"""
+    return re.fullmatch(r"local(\[[^\]]*\])?", master) is not None
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster it is set by the launcher and points to storage every
-    executor can reach. Only when it is unset (local runs, tests) is a fresh
-    local folder created and registered.
+    executor can reach; without it this raises. Only in local mode, where all
+    tasks run in this process, is a fresh local folder made (and removed when
+    the process ends).
     """
     sc = spark.sparkContext
     path = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not is_local(sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         path = tempfile.mkdtemp(prefix="tonality-ckpt-")
+        atexit.register(shutil.rmtree, path, ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", path)
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(path)
@@ -67,7 +78,4 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique sub-path of the shared folder (for sinks and stream checkpoints)."""
     base = shared_dir(spark)
-    sub = f"{base}/{name}-{uuid.uuid4().hex[:12]}"
-    if "://" not in sub:
-        os.makedirs(sub, exist_ok=True)
-    return sub
+    return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
