@@ -1,6 +1,7 @@
 """TF-IDF parity with Spark ML, encoders, schema preview."""
 
 import numpy as np
+import pytest
 from pyspark.ml.feature import IDF, CountVectorizer, Tokenizer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
@@ -16,9 +17,9 @@ def test_relational_tfidf_equals_spark_ml(spark):
     docs = all_documents(spark, SF001).select("doc_id", "processed_comment")
     vocab_size = 1 << 20  # untruncated: no ties at the cut-off
     tf = features.term_frequency(docs, "doc_id", "processed_comment")
-    vocab = features.vocabulary(tf, "doc_id", vocab_size)
-    idf = features.idf(tf, vocab, docs.count(), vocab_size)
-    rel = {(r["doc_id"], r["term"]): r["tfidf"] for r in features.tfidf(tf, idf, vocab_size).collect()}
+    vocab = features.vocabulary(tf, vocab_size)
+    idf = features.idf(vocab, docs.count())
+    rel = {(r["doc_id"], r["term"]): r["tfidf"] for r in features.tfidf(tf, idf).collect()}
 
     words = Tokenizer(inputCol="processed_comment", outputCol="w").transform(docs)
     cv = CountVectorizer(inputCol="w", outputCol="tf", vocabSize=vocab_size).fit(words)
@@ -36,7 +37,7 @@ def test_relational_tfidf_equals_spark_ml(spark):
 
 def test_word2vec_encoder(spark):
     df = spark.createDataFrame([(["good", "video"],), (["bad", "video"],), ([],)], "toks array<string>")
-    out = features.word2vec_vectors(df, "toks", dim=8)
+    out = features.word2vec_vectors(df, "toks", dim=8, min_count=1)
     rows = out.select(vector_to_array("features").alias("v")).collect()
     assert all(len(r["v"]) == 8 for r in rows)
 
@@ -50,8 +51,10 @@ def test_batch_encoder_hook(spark):
 
     enc = features.batch_encoder(make_predict_fn, dim=4, batch_size=2)
     df = spark.createDataFrame([("ab",), ("abcd",), ("",)], "t string")
-    got = [r[0] for r in df.select(enc("t")).collect()]
+    got = [r[0] for r in df.select(enc(F.col("t"))).collect()]
     assert got == [[2.0] * 4, [4.0] * 4, [0.0] * 4]
+    with pytest.raises(Exception, match="must have 5 components"):
+        df.select(features.batch_encoder(make_predict_fn, dim=5)(F.col("t"))).collect()
 
 
 def test_schema_preview(spark):

@@ -64,11 +64,51 @@ def test_relational_nb_parameters_equal_spark_ml(spark):
     terms = cv.vocabulary
     pi = nb.pi.toArray()
     theta = nb.theta.toArray()
-    priors = {r["label"]: r["prior"] for r in model.classes.collect()}
-    assert max(abs(priors[c] - pi[c]) for c in range(len(pi))) < 1e-9
+    assert model.classes == list(range(len(pi)))
+    assert max(abs(p - q) for p, q in zip(model.priors, pi, strict=True)) < 1e-9
     rel = {r["term"]: r for r in model.terms.collect()}
     worst = 0.0
     for j, term in enumerate(terms):
         for c in range(theta.shape[0]):
-            worst = max(worst, abs(rel[term][f"theta_{c}"] - theta[c, j]))
+            worst = max(worst, abs(rel[term]["theta"][c] - theta[c, j]))
     assert worst < 1e-9
+
+
+def test_nb_takes_the_classes_of_the_data(spark):
+    import numpy as np
+    import pytest
+
+    texts = [("a b", 0), ("b c", 1), ("c d", 2), ("d e e", 3), ("a a", 0), ("e", 3), ("", 1)] * 3
+    df = spark.createDataFrame([(i, t, c) for i, (t, c) in enumerate(texts)], "id int, processed_comment string, label int")
+    for lam in (1.0, 0.5, 0.0):
+        model = naive_bayes.fit(df, "id", smoothing=lam)
+        assert model.classes == [0, 1, 2, 3] and model.smoothing == lam
+        rows = naive_bayes.score(model, df, "id", keep=["label"]).collect()
+        assert len(rows) == len(texts)
+        if lam:
+            fitted = nb_pipeline(smoothing=lam).fit(df)
+            assert np.allclose(model.priors, fitted.stages[3].pi.toArray())
+            ml = {r["id"]: r["prediction"] for r in fitted.transform(df).collect()}
+            assert {r["id"]: r["prediction"] for r in rows} == ml
+    with pytest.raises(ValueError):
+        naive_bayes.fit(df.withColumn("label", F.lit(-1)), "id")
+    with pytest.raises(ValueError):
+        naive_bayes.fit(df.limit(0), "id")
+
+
+def test_zero_is_a_smoothing_and_a_vocabulary_can_be_given(spark):
+    assert nb_pipeline(smoothing=0.0).getStages()[3].getSmoothing() == 0.0
+    stage = nb_pipeline(vocabulary=["b", "a", "c"], vocab_size=2).getStages()[1]
+    assert stage.vocabulary == ["b", "a"]
+
+
+def test_measured_broadcast_looks_at_the_size(spark):
+    small = spark.createDataFrame([("a", 1.0)], "term string, idf double")
+    plan = lambda df: features.measured_broadcast(df)._jdf.queryExecution().logical().toString()
+    assert "broadcast" in plan(small)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10")
+    try:
+        assert "broadcast" not in plan(small)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)

@@ -32,11 +32,18 @@ def test_forest_is_reproducible(spark):
 def test_small_grid_ranks(spark):
     train, test = embedding_split(spark, SF01)
     grid = {"regParam": [0.01, 1.0], "elasticNetParam": [0.0], "maxIter": [10]}
-    ranked, best, acc, secs = models.grid_search(spark, train, test, grid=grid, folds=2, parallelism=2)
+    ranked, best, summary, secs = models.grid_search(spark, train, test, "vec_id", grid=grid, folds=2, parallelism=2)
     rows = ranked.orderBy("rank").collect()
     assert [r["rank"] for r in rows] == [1, 2]
     assert rows[0]["accuracy"] >= rows[1]["accuracy"]
-    assert 0.0 <= acc.first()["accuracy"] <= 1.0
+    top = summary.first()
+    assert 0.0 <= top["test_accuracy"] <= 1.0 and top["test_n"] == test.count()
+    assert (top["regParam"], top["cv_accuracy"]) == (rows[0]["regParam"], rows[0]["accuracy"])
+    # the folds depend on the ids, not on the layout
+    again, _, _, _ = models.grid_search(spark, train.repartition(7), test, "vec_id", grid=grid, folds=2, parallelism=2)
+    other = again.orderBy("rank").collect()
+    assert [r["regParam"] for r in other] == [r["regParam"] for r in rows]
+    assert np.allclose([r["accuracy"] for r in other], [r["accuracy"] for r in rows], atol=0.01)
 
 
 def test_pca_projection_shape(spark):
@@ -45,3 +52,22 @@ def test_pca_projection_shape(spark):
     assert p.count() == e.count()
     assert {"x", "y", "z"} <= set(p.columns)
     assert p.where(F.col("x").isNull()).count() == 0
+
+
+def test_pca_axes_have_a_fixed_sign_and_match_numpy(spark):
+    e = embedding_rows(spark, SF01)
+    rows = projection.pca_3d(e).select("embedding", "x", "y", "z").collect()
+    data = np.array([r["embedding"] for r in rows], float)
+    _, vectors = np.linalg.eigh(np.cov(data.T))
+    top = vectors[:, ::-1][:, :3]
+    top = top * np.sign(top[np.abs(top).argmax(axis=0), range(3)])
+    assert np.allclose(data @ top, [[r["x"], r["y"], r["z"]] for r in rows], atol=1e-6)
+
+
+def test_covariance_equals_numpy(spark):
+    data = np.random.default_rng(0).normal(size=(30, 4))
+    df = spark.createDataFrame([([float(v) for v in r],) for r in data], "e array<double>")
+    got = {(r["i"], r["j"]): r["cov"] for r in projection.covariance(df, "e").collect()}
+    cov = np.cov(data.T)
+    assert set(got) == {(i, j) for i in range(4) for j in range(i, 4)}
+    assert all(abs(v - cov[k]) < 1e-12 for k, v in got.items())

@@ -35,3 +35,25 @@ def test_class_size_matches_window(spark):
     df = spark.createDataFrame([(i, i % 3) for i in range(30)] + [(99, 1)], "id int, prediction int")
     got = {r["id"]: r["class_size"] for r in evaluate.class_slice(df).collect()}
     assert got[99] == 11 and got[0] == 10
+
+
+def test_one_pass_reports_equal_the_single_ones(spark):
+    df = spark.createDataFrame(
+        [(0, 0.0), (0, 2.0), (2, 2.0), (1, 1.0), (5, 2.0), (None, 1.0), (2, 9.0), (7, 7.0)], "label int, prediction double"
+    )
+    reports = evaluate.class_reports(evaluate.summary_counts(df))
+    assert reports["confusion_matrix"].collect() == evaluate.confusion_matrix(df).collect()
+    assert reports["sentiment_distribution"].collect() == evaluate.class_counts(df).collect()
+    row = reports["accuracy"].first()
+    matrix = evaluate.confusion_matrix(df).selectExpr("sum(pred_negative + pred_neutral + pred_positive) AS n").first()["n"]
+    assert (row["n"], row["left_out"]) == (8, 4) and matrix + row["left_out"] == row["n"]
+    assert row["accuracy"] == 4 / 8
+    assert evaluate.class_reports(evaluate.summary_counts(df.limit(0)))["accuracy"].first()["accuracy"] is None
+
+
+def test_one_class_and_value_counts(spark):
+    df = spark.createDataFrame([(i, i % 3) for i in range(9)] + [(99, 1)], "id int, prediction int")
+    rows = evaluate.class_slice(df, name="Neutral").collect()
+    assert sorted(r["id"] for r in rows) == [1, 4, 7, 99] and {r["class_size"] for r in rows} == {4}
+    tied = spark.createDataFrame([("b",), ("a",), ("b",), ("a",), ("c",), (None,)], "s string")
+    assert [tuple(r) for r in evaluate.value_counts(tied, "s").collect()] == [("a", 2), ("b", 2), ("c", 1)]

@@ -45,10 +45,16 @@ def test_threshold_sample_equals_plain_top_k(spark):
         assert fast == sorted(r[0] for r in plain.collect())
 
 
-def test_spread_is_noop_with_enough_splits(spark):
-    from tonality.sources.comments import spread
-
-    many = spark.range(0, 1000, numPartitions=spark.sparkContext.defaultParallelism * 2)
-    assert "Exchange" not in spread(many, "id")._jdf.queryExecution().executedPlan().toString()
-    one = spark.range(0, 1000, numPartitions=1)
-    assert spread(one, "id").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+def test_copies_are_dealt_row_by_row(spark):
+    """Half of the rows are one comment: by row id its share in the sample and
+    the split is that of all rows; by content id it stays together."""
+    rows = spark.range(0, 20000, numPartitions=8).select(
+        F.col("id").alias("row_id"), F.when(F.col("id") % 2 == 0, F.lit(7)).otherwise(F.col("id") + 100).alias("content_id")
+    )
+    copies = exact_sample(rows, "row_id", 3000).where("content_id = 7").count()
+    assert abs(copies - 1500) < 4 * (3000 * 0.25) ** 0.5
+    train, test = train_test_split(rows, "row_id")
+    assert abs(train.count() - 16000) < 300
+    assert abs(train.where("content_id = 7").count() - 8000) < 200
+    train, test = train_test_split(rows, "content_id")
+    assert 0 in (train.where("content_id = 7").count(), test.where("content_id = 7").count())

@@ -11,8 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.labels import decode_label, known_class
-from ..schema import CLASSES
+from ..functions.labels import decode_label
+from ..schema import CLASSES, UNKNOWN_CLASS
 
 
 def class_counts(df: DataFrame, class_col: str = "prediction") -> DataFrame:
@@ -25,6 +25,10 @@ def class_counts(df: DataFrame, class_col: str = "prediction") -> DataFrame:
     """
     c = F.col(class_col)
     counts = df.agg(*[F.count_if(c == F.lit(row[0])).alias(f"n_{row[0]}") for row in CLASSES])
+    return _class_rows(counts)
+
+
+def _class_rows(counts: DataFrame) -> DataFrame:
     rows = F.array(
         *[
             F.struct(
@@ -59,14 +63,16 @@ def confusion_matrix(
     of zeros. No join and no extra job to discover the classes.
     """
     lab, pred = F.col(label_col), F.col(prediction_col)
+    return _confusion_rows(df.agg(*_cells(lab, pred)))
+
+
+def _cells(lab, pred) -> list:
+    ids = [row[0] for row in CLASSES]
+    return [F.count_if((lab == F.lit(t)) & (pred == F.lit(p))).alias(f"c_{t}_{p}") for t in ids for p in ids]
+
+
+def _confusion_rows(cells: DataFrame) -> DataFrame:
     names = {row[0]: row[1].lower() for row in CLASSES}
-    cells = df.agg(
-        *[
-            F.count_if((lab == F.lit(t)) & (pred == F.lit(p))).alias(f"c_{t}_{p}")
-            for t in names
-            for p in names
-        ]
-    )
     rows = F.array(
         *[
             F.struct(
@@ -80,6 +86,31 @@ def confusion_matrix(
     return cells.select(F.inline(rows))
 
 
+def summary_counts(df: DataFrame, label_col: str = "label", prediction_col: str = "prediction") -> DataFrame:
+    """One row with everything the class reports need, from one pass: ``n``,
+    ``hits``, the nine cells, the rows per predicted class, and the rows left
+    out of the matrix because a value is none of the classes."""
+    lab, pred = F.col(label_col), F.col(prediction_col)
+    known = [row[0] for row in CLASSES]
+    outside = ~F.coalesce(lab.isin(known) & pred.isin(known), F.lit(False))
+    return df.agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_if(lab.cast("double") == pred.cast("double")).alias("hits"),
+        F.count_if(outside).alias("left_out"),
+        *[F.count_if(pred == F.lit(c)).alias(f"n_{c}") for c in known],
+        *_cells(lab, pred),
+    )
+
+
+def class_reports(counts: DataFrame) -> dict[str, DataFrame]:
+    """Distribution, confusion matrix and accuracy from ``summary_counts``."""
+    return {
+        "sentiment_distribution": _class_rows(counts),
+        "confusion_matrix": _confusion_rows(counts),
+        "accuracy": counts.select("n", (F.col("hits") / F.nullif("n", F.lit(0))).alias("accuracy"), "left_out"),
+    }
+
+
 def accuracy(df: DataFrame, label_col: str = "label", prediction_col: str = "prediction") -> DataFrame:
     """One row: ``n`` and ``accuracy`` = share of rows with label == prediction."""
     hit = (F.col(label_col).cast("double") == F.col(prediction_col).cast("double")).cast("double")
@@ -106,10 +137,12 @@ def with_class_size(df: DataFrame, class_col: str, out_col: str = "class_size")
     This is a window by meaning (``count(*) over (partition by class)``), but a
     window partitioned by a three-valued column would put a whole class -- a
     third of the data or more -- into one task. The sizes are instead computed
-    by a partial aggregate and broadcast back; the broadcast side has at most
-    one row per distinct class value.
+    by a partial aggregate and joined back. ``class_col`` holds class names,
+    so the sizes are at most four rows and are broadcast. The input is read
+    twice: give a narrow or materialised one.
     """
-    sizes = df.groupBy(class_col).agg(F.count(F.lit(1)).alias(out_col))
+    names = [row[1] for row in CLASSES] + [UNKNOWN_CLASS[0]]
+    sizes = df.where(F.col(class_col).isin(names)).groupBy(class_col).agg(F.count(F.lit(1)).alias(out_col))
     return df.join(F.broadcast(sizes), class_col, "left")
 
 
@@ -127,8 +160,3 @@ def report_counts_columns(class_col: str = "sentiment") -> list:
     return [F.count(F.lit(1)).alias("total_points")] + [
         F.count_if(F.col(class_col) == F.lit(n)).alias(f"{n.lower()}_count") for n in names
     ]
-
-
-def report_counts(df: DataFrame, class_col: str = "sentiment") -> DataFrame:
-    """Total and per-class counts in one aggregate row."""
-    return df.agg(*report_counts_columns(class_col))

@@ -8,9 +8,8 @@ Scale notes
   count) aggregate across rows, and they do so with a map-side partial
   aggregate, so a very frequent term costs one row per task, not one per
   occurrence.
-* The vocabulary is a top-k (``vocab_size`` rows). Everything joined against
-  it is bounded by that parameter, so it is broadcast when ``vocab_size``
-  is at most ``BROADCAST_MAX_ROWS``, else left to a shuffle join.
+* The vocabulary is a top-k (``vocab_size`` rows). It is materialised, its
+  size is measured, and it is broadcast if that is below the session's limit.
 * The hashed encoder computes token hashes with native expressions and only
   hands an int array per row to an Arrow UDF that bin-counts the whole batch
   with numpy: no shuffle, no per-row Python loop.
@@ -20,7 +19,7 @@ from __future__ import annotations
 
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
@@ -32,13 +31,20 @@ cloudpickle.register_pickle_by_value(kernels)
 
 DEFAULT_VOCAB_SIZE = 5000
 EMBED_DIM = 384
-# Largest top-k table we broadcast (terms x a few columns: a few MB).
-BROADCAST_MAX_ROWS = 1_000_000
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast ``df`` if its row count is bounded by a parameter below the cap."""
-    return F.broadcast(df) if max_rows <= BROADCAST_MAX_ROWS else df
+def broadcast_limit(spark: SparkSession) -> int:
+    """The session's own limit for broadcast tables, in bytes (-1: never)."""
+    return spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+
+
+def measured_broadcast(df: DataFrame, term_col: str = "term") -> DataFrame:
+    """Broadcast a materialised term table if its measured size is below the
+    session's broadcast limit; else leave the join to Spark (a shuffle with
+    skew handling). Both give the same rows."""
+    numbers = 8 * (len(df.columns) - 1) + 32
+    size = df.agg(F.coalesce(F.sum(F.octet_length(term_col) + numbers), F.lit(0)).alias("b")).first()["b"]
+    return F.broadcast(df) if size <= broadcast_limit(df.sparkSession) else df
 
 
 # ---- per-row term counts ------------------------------------------------------
@@ -68,7 +74,7 @@ def term_counts(tokens: Column) -> Column:
         )
 
     empty = F.array().cast("array<struct<term:string,tf:int>>")
-    return let(F.array_sort(tokens), lambda s: F.when(F.size(s) > 0, runs(s)).otherwise(empty))
+    return let(F.sort_array(tokens), lambda s: F.when(F.size(s) > 0, runs(s)).otherwise(empty))
 
 
 def term_frequency(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -78,7 +84,7 @@ def term_frequency(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     )
 
 
-def vocabulary(tf: DataFrame, id_col: str, vocab_size: int = DEFAULT_VOCAB_SIZE, min_df: int = 1) -> DataFrame:
+def vocabulary(tf: DataFrame, vocab_size: int = DEFAULT_VOCAB_SIZE, min_df: int = 1) -> DataFrame:
     """Top ``vocab_size`` terms by corpus count (ties by term): term, n, df, rank.
 
     ``rank`` is 0-based, like the index ``CountVectorizer`` gives a term. The
@@ -95,7 +101,7 @@ def vocabulary(tf: DataFrame, id_col: str, vocab_size: int = DEFAULT_VOCAB_SIZE,
     )
 
 
-def idf(tf: DataFrame, vocab: DataFrame, n_docs: Column | int, vocab_size: int) -> DataFrame:
+def idf(vocab: DataFrame, n_docs: Column | int) -> DataFrame:
     """(term, df, idf) with smoothed idf = ln((m + 1) / (df + 1)).
 
     ``df`` is already in the vocabulary table; ``n_docs`` is the number of
@@ -109,9 +115,10 @@ def idf(tf: DataFrame, vocab: DataFrame, n_docs: Column | int, vocab_size: int)
     )
 
 
-def tfidf(tf: DataFrame, idf_table: DataFrame, vocab_size: int) -> DataFrame:
-    """(id, term, tf, tfidf) for vocabulary terms only."""
-    return tf.join(bounded_broadcast(idf_table.select("term", "idf"), vocab_size), "term", "inner").withColumn(
+def tfidf(tf: DataFrame, idf_table: DataFrame) -> DataFrame:
+    """(id, term, tf, tfidf) for vocabulary terms only. ``idf_table`` is read
+    twice (its size, the join): give a materialised one."""
+    return tf.join(measured_broadcast(idf_table.select("term", "idf")), "term", "inner").withColumn(
         "tfidf", F.col("tf") * F.col("idf")
     )
 
@@ -162,11 +169,15 @@ def sparse_entries(dense: Column) -> Column:
     )
 
 
-def word2vec_vectors(df: DataFrame, tokens_col: str, dim: int = EMBED_DIM, seed: int = 42, out_col: str = "features"):
-    """Alternative encoder: Spark ML Word2Vec averaged over a row's tokens."""
+def word2vec_vectors(
+    df: DataFrame, tokens_col: str, dim: int = EMBED_DIM, seed: int = 42, out_col: str = "features", min_count: int = 5
+):
+    """Alternative encoder: Spark ML Word2Vec averaged over a row's tokens. Its
+    vocabulary lives on the driver (terms x dim floats): raise ``min_count``
+    with the corpus."""
     from pyspark.ml.feature import Word2Vec
 
-    w2v = Word2Vec(vectorSize=dim, minCount=1, inputCol=tokens_col, outputCol=out_col, seed=seed)
+    w2v = Word2Vec(vectorSize=dim, minCount=min_count, inputCol=tokens_col, outputCol=out_col, seed=seed)
     model = w2v.fit(df)
     return model.transform(df)
 
@@ -174,8 +185,16 @@ def word2vec_vectors(df: DataFrame, tokens_col: str, dim: int = EMBED_DIM, seed:
 def batch_encoder(make_predict_fn, dim: int, batch_size: int = 256):
     """Hook for an external sentence encoder, loaded once per Python worker and
     fed Arrow batches (``predict_batch_udf``). ``make_predict_fn`` returns a
-    function from a numpy array of strings to an (n, dim) float array."""
+    function from a numpy array of strings to an (n, dim) float array. The
+    result is an encoder for ``embed_texts`` and ``score_texts``; a vector of
+    another length than ``dim`` is an error."""
     from pyspark.ml.functions import predict_batch_udf
     from pyspark.sql.types import ArrayType, FloatType
 
-    return predict_batch_udf(make_predict_fn, return_type=ArrayType(FloatType()), batch_size=batch_size)
+    udf = predict_batch_udf(make_predict_fn, return_type=ArrayType(FloatType()), batch_size=batch_size)
+
+    def encode(text) -> Column:
+        wrong = F.raise_error(F.lit(f"the encoder's vectors must have {dim} components"))
+        return let(udf(text), lambda v: F.when(F.size(v) == dim, v).otherwise(wrong.cast("array<float>")))
+
+    return encode

@@ -20,12 +20,14 @@ from pyspark.ml.classification import (
     RandomForestClassifier,
 )
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-from pyspark.ml.feature import IDF, CountVectorizer, Tokenizer
+from pyspark.ml.feature import IDF, CountVectorizer, CountVectorizerModel, Tokenizer
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from .evaluate import accuracy
+from .split import bucket
 
 # --- fixed values: model settings of the pipeline being re-expressed -----------
 LR_PARAMS = {"maxIter": 20, "regParam": 0.01}
@@ -39,7 +41,8 @@ SEED = 42
 
 
 def as_vector(df: DataFrame, array_col: str, out_col: str = "features") -> DataFrame:
-    """array<float|double> -> ML dense vector (native expression)."""
+    """array<float|double> -> ML dense vector (native expression). The array
+    column stays; a plan that doesn't use it drops it."""
     return df.withColumn(out_col, array_to_vector(F.col(array_col).cast("array<double>")))
 
 
@@ -68,30 +71,40 @@ def train_forest(train: DataFrame, label_col: str = "label", features_col: str =
     return rf.fit(train)
 
 
-def nb_pipeline(text_col: str = "processed_comment", label_col: str = "label", vocab_size: int | None = None, smoothing: float | None = None) -> Pipeline:
-    """Tokenizer -> CountVectorizer -> IDF -> NaiveBayes(multinomial)."""
+def nb_pipeline(
+    text_col: str = "processed_comment",
+    label_col: str = "label",
+    vocab_size: int | None = None,
+    smoothing: float | None = None,
+    vocabulary: list[str] | None = None,
+) -> Pipeline:
+    """Tokenizer -> CountVectorizer -> IDF -> NaiveBayes(multinomial).
+
+    ``CountVectorizer`` leaves open which of the terms tied at the last place
+    of the vocabulary it keeps; a given ``vocabulary`` (at most ``vocab_size``
+    terms, in order) settles it."""
+    size = NB_PIPELINE["vocabSize"] if vocab_size is None else vocab_size
+    if vocabulary is None:
+        counts = CountVectorizer(inputCol="words", outputCol="tf", vocabSize=size, minDF=1.0, minTF=1.0)
+    else:
+        counts = CountVectorizerModel.from_vocabulary(vocabulary[:size], "words", "tf", minTF=1.0)
+    lam = NB_PIPELINE["smoothing"] if smoothing is None else smoothing
     return Pipeline(
         stages=[
             Tokenizer(inputCol=text_col, outputCol="words"),
-            CountVectorizer(inputCol="words", outputCol="tf", vocabSize=vocab_size or NB_PIPELINE["vocabSize"], minDF=1.0, minTF=1.0),
+            counts,
             IDF(inputCol="tf", outputCol="tfidf", minDocFreq=0),
-            NaiveBayes(featuresCol="tfidf", labelCol=label_col, smoothing=smoothing or NB_PIPELINE["smoothing"], modelType="multinomial"),
+            NaiveBayes(featuresCol="tfidf", labelCol=label_col, smoothing=lam, modelType="multinomial"),
         ]
     )
 
 
-def evaluate_accuracy(predictions: DataFrame, label_col: str = "label") -> DataFrame:
-    """Accuracy as a one-row DataFrame (computed by an aggregate, not on the driver)."""
-    hit = (F.col(label_col).cast("double") == F.col("prediction")).cast("double")
-    return predictions.agg(F.count(F.lit(1)).alias("n"), F.avg(hit).alias("accuracy"))
-
-
 def compare_models(models: dict, test: DataFrame, label_col: str = "label") -> DataFrame:
     """One row per model: name, n, accuracy, on the same test rows."""
     parts = []
     for name, model in models.items():
         parts.append(
-            evaluate_accuracy(model.transform(test), label_col).select(F.lit(name).alias("model"), "n", "accuracy")
+            accuracy(model.transform(test), label_col).select(F.lit(name).alias("model"), "n", "accuracy")
         )
     out = parts[0]
     for p in parts[1:]:
@@ -103,6 +116,7 @@ def grid_search(
     spark: SparkSession,
     train: DataFrame,
     test: DataFrame,
+    id_col: str,
     label_col: str = "label",
     features_col: str = "features",
     grid: dict | None = None,
@@ -112,9 +126,13 @@ def grid_search(
 ):
     """Cross-validated grid over logistic regression.
 
-    Returns (ranked table, best model, test accuracy, wall seconds). The
-    table is rank, accuracy, regParam, elasticNet, maxIter, ranked by mean
-    fold accuracy with ties kept in grid order.
+    Returns (ranked table, best model, summary, wall seconds). The ranked
+    table is rank, accuracy, regParam, elasticNet, maxIter, by mean fold
+    accuracy with ties in the order of the parameters. The summary is one row:
+    the best set, its fold accuracy, and its accuracy on the test rows.
+
+    A row's fold is an md5 bucket of its id, so the folds are the same however
+    the rows are laid out. Only id, label, features and fold are persisted.
     """
     grid = grid or GRID
     if parallelism is None:
@@ -127,32 +145,29 @@ def grid_search(
         builder = builder.addGrid(getattr(lr, name), values)
     maps = builder.build()
     evaluator = MulticlassClassificationEvaluator(labelCol=label_col, predictionCol="prediction", metricName="accuracy")
-    cv = CrossValidator(estimator=lr, estimatorParamMaps=maps, evaluator=evaluator, numFolds=folds, parallelism=parallelism, seed=seed)
+    cv = CrossValidator(
+        estimator=lr, estimatorParamMaps=maps, evaluator=evaluator, numFolds=folds, parallelism=parallelism, seed=seed, foldCol="_fold"
+    )
+    dealt = train.select(id_col, label_col, features_col, bucket(F.col(id_col), seed + 1, folds).alias("_fold"))
     start = time.time()
-    cv_model = cv.fit(train)
+    with persisted(dealt):
+        cv_model = cv.fit(dealt)
     seconds = time.time() - start
     rows = []
-    for i, (pm, metric) in enumerate(zip(maps, cv_model.avgMetrics)):
+    for pm, metric in zip(maps, cv_model.avgMetrics, strict=True):
         vals = {p.name: v for p, v in pm.items()}
-        rows.append((i, float(metric), float(vals.get("regParam", 0.0)), float(vals.get("elasticNetParam", 0.0)), int(vals.get("maxIter", 100))))
+        rows.append((float(metric), float(vals.get("regParam", 0.0)), float(vals.get("elasticNetParam", 0.0)), int(vals.get("maxIter", 100))))
     # a small table (one row per parameter set), built from model metadata
-    schema = T.StructType(
-        [
-            T.StructField("grid_index", T.IntegerType()),
-            T.StructField("accuracy", T.DoubleType()),
-            T.StructField("regParam", T.DoubleType()),
-            T.StructField("elasticNet", T.DoubleType()),
-            T.StructField("maxIter", T.IntegerType()),
-        ]
-    )
-    table = spark.createDataFrame(rows, schema)
-    from pyspark.sql import Window
-
+    table = spark.createDataFrame(rows, "accuracy double, regParam double, elasticNet double, maxIter int")
     order = Window.orderBy(F.desc("accuracy"), "regParam", "elasticNet", "maxIter")
     ranked = table.select(F.row_number().over(order).alias("rank"), "accuracy", "regParam", "elasticNet", "maxIter")
     best = cv_model.bestModel
-    test_acc = evaluate_accuracy(best.transform(test), label_col)
-    return ranked, best, test_acc, seconds
+    on_test = accuracy(best.transform(test), label_col).select(F.col("n").alias("test_n"), F.col("accuracy").alias("test_accuracy"))
+    chosen = {"regParam": best.getRegParam(), "elasticNet": best.getElasticNetParam(), "maxIter": best.getMaxIter()}
+    summary = on_test.select(
+        *[F.lit(v).alias(k) for k, v in chosen.items()], F.lit(float(max(cv_model.avgMetrics))).alias("cv_accuracy"), "test_n", "test_accuracy"
+    )
+    return ranked, best, summary, seconds
 
 
 def grid_size(grid: dict | None = None) -> int:

@@ -10,10 +10,12 @@ terms, v = tf * idf, s_cw = sum of v of term w over class c, s_c = sum over w):
 This is what ``Tokenizer -> CountVectorizer -> IDF -> NaiveBayes`` computes;
 the relational form lets the same numbers be checked with SQL.
 
-Plan shape: the model tables (vocabulary with idf and one θ column per
-class, V rows; class table, C rows) are bounded by ``vocab_size`` and the
-class count, so they are materialised once (reliable checkpoint) and
-broadcast. Scoring is then one broadcast join of per-row term counts and one
+Plan shape: the classes are those of the training rows (one small aggregate).
+Then one ``groupBy(term)`` gives the count, the document frequency and the
+term's sum in every class; as idf is the same for all rows of a term, s_cw is
+idf times that sum, so no second pass and no join is needed. The model (V rows
+with one θ per class) is materialised in the shared folder. Scoring is one join
+of per-row term counts with it (broadcast if its measured size allows) and one
 aggregation per document (C doubles per document cross the shuffle).
 """
 
@@ -21,29 +23,37 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import ml_tokens
-from ..schema import CLASSES
-from ..session import shared_dir
-from .features import DEFAULT_VOCAB_SIZE, bounded_broadcast, term_counts, vocabulary
-
-CLASS_IDS = [row[0] for row in CLASSES]
+from ..sources.sinks import cut_lineage
+from .features import DEFAULT_VOCAB_SIZE, measured_broadcast, term_counts
 
 
 @dataclass
 class NaiveBayesTables:
-    terms: DataFrame  # term, rank, df, idf, theta_0 .. theta_{C-1}
-    classes: DataFrame  # label, n_docs, prior, log_denom
-    vocab_size: int
+    terms: DataFrame  # term, rank, df, idf, theta (array: one per class)
+    priors: list[float]
+    classes: list[int]  # ascending
     smoothing: float
 
 
-def _doc_terms(df: DataFrame, id_col: str, text_col: str, keep: list[str], outer: bool = False) -> DataFrame:
+def _doc_terms(df: DataFrame, id_col: str | None, text_col: str, keep: list[str], outer: bool = False) -> DataFrame:
     gen = F.inline_outer if outer else F.inline
-    return df.select(*[F.col(c) for c in [id_col, *keep]], gen(term_counts(ml_tokens(F.col(text_col)))))
+    columns = [F.col(c) for c in ([id_col] if id_col else []) + keep]
+    return df.select(*columns, gen(term_counts(ml_tokens(F.col(text_col)))))
+
+
+def class_totals(train: DataFrame, label_col: str) -> dict[int, int]:
+    """Training rows per class. Labels must be whole, non-negative numbers."""
+    label = F.col(label_col)
+    usable = F.coalesce((label >= 0) & (label == F.floor(label)), F.lit(False))
+    rows = train.groupBy(label.alias("label"), usable.alias("ok")).agg(F.count(F.lit(1)).alias("n")).limit(1001).collect()
+    bad = [r["label"] for r in rows if not r["ok"]]
+    if bad or len(rows) > 1000:
+        raise ValueError(f"class labels must be at most 1000 whole numbers from 0 on; found {bad[:5] or 'more'}")
+    return {int(r["label"]): r["n"] for r in sorted(rows, key=lambda r: r["label"])}
 
 
 def fit(
@@ -53,76 +63,41 @@ def fit(
     label_col: str = "label",
     vocab_size: int = DEFAULT_VOCAB_SIZE,
     smoothing: float = 1.0,
-    materialize: bool = True,
 ) -> NaiveBayesTables:
+    """The model of the training rows; ``id_col`` is not read (each row is a
+    document)."""
+    import math
+
     lam = float(smoothing)
-    if materialize:
-        shared_dir(train.sparkSession)  # checkpoints go to the shared folder
-    tf = _doc_terms(train, id_col, text_col, [label_col])
-    if materialize:
-        # two passes read the term rows (vocabulary, class sums); keep them
-        # instead of re-running the text pipeline. A lost block is recomputed.
-        tf = tf.persist(StorageLevel.MEMORY_AND_DISK)
-    vocab = vocabulary(tf, id_col, vocab_size)
-    n_docs = train.agg(F.count(F.lit(1))).scalar()
-    vocab = vocab.withColumn(
-        "idf", F.log((n_docs.cast("double") + 1.0) / (F.col("df").cast("double") + 1.0))
-    )
-    if materialize:
-        vocab = vocab.checkpoint(eager=True)
-    bv = bounded_broadcast(vocab.select("term", "idf"), vocab_size)
-
-    # s_cw for every class as columns: V rows, map-side partial aggregation
-    weighted = tf.join(bv, "term").withColumn("v", F.col("tf") * F.col("idf"))
-    sums = weighted.groupBy("term").agg(
-        *[F.sum(F.when(F.col(label_col) == c, F.col("v"))).alias(f"s_{c}") for c in CLASS_IDS]
-    )
-    terms = vocab.join(sums, "term", "left").select(
-        "term", "rank", "df", "idf", *[F.coalesce(F.col(f"s_{c}"), F.lit(0.0)).alias(f"s_{c}") for c in CLASS_IDS]
+    totals = class_totals(train, label_col)
+    if not totals:
+        raise ValueError("no training rows")
+    classes, n_total = list(totals), sum(totals.values())
+    tf = _doc_terms(train, None, text_col, [label_col])
+    stats = tf.groupBy("term").agg(
+        F.sum("tf").cast("long").alias("n"),
+        F.count(F.lit(1)).alias("df"),
+        *[F.sum(F.when(F.col(label_col) == c, F.col("tf")).otherwise(F.lit(0))).alias(f"tf_{c}") for c in classes],
     )
-    if materialize:
-        terms = terms.checkpoint(eager=True)
-
-    docs = train.groupBy(F.col(label_col).cast("int").alias("label")).agg(F.count(F.lit(1)).alias("n_docs"))
-    if materialize:
-        docs = docs.checkpoint(eager=True)
-    n_total = docs.agg(F.sum("n_docs")).scalar()
-    n_classes = docs.agg(F.count(F.lit(1))).scalar()
-    n_terms = terms.agg(F.count(F.lit(1))).scalar()
-    class_sum = terms.agg(*[F.sum(f"s_{c}").alias(f"s_{c}") for c in CLASS_IDS])
-    s_c = F.element_at(
-        F.array(*[class_sum.select(f"s_{c}").scalar() for c in CLASS_IDS]), F.col("label") + 1
-    )
-    classes = docs.select(
-        "label",
-        "n_docs",
-        (F.log(F.col("n_docs") + lam) - F.log(n_total + F.lit(lam) * n_classes)).alias("prior"),
-        F.log(s_c + F.lit(lam) * n_terms).alias("log_denom"),
-    )
-    if materialize:
-        classes = classes.checkpoint(eager=True)
-
-    if materialize:
-        tf.unpersist()
-
-    denom = {c: classes.where(F.col("label") == c).select("log_denom").scalar() for c in CLASS_IDS}
-    theta_terms = terms.select(
-        "term",
-        "rank",
-        "df",
-        "idf",
-        *[(F.log(F.col(f"s_{c}") + lam) - denom[c]).alias(f"theta_{c}") for c in CLASS_IDS],
-    )
-    return NaiveBayesTables(theta_terms, classes, vocab_size, lam)
+    top = cut_lineage(train.sparkSession, stats.orderBy(F.desc("n"), "term").limit(vocab_size), "nb-terms")
+    idf = F.log((F.lit(float(n_total)) + 1.0) / (F.col("df").cast("double") + 1.0))
+    sums = top.select("term", "n", "df", idf.alias("idf"), *[(idf * F.col(f"tf_{c}")).alias(f"s_{c}") for c in classes])
+    total = sums.agg(F.count(F.lit(1)).alias("v"), *[F.coalesce(F.sum(f"s_{c}"), F.lit(0.0)).alias(f"s_{c}") for c in classes]).first()
+    priors = [math.log(totals[c] + lam) - math.log(n_total + len(classes) * lam) for c in classes]
+    # with no smoothing and nothing seen the logarithm is that of 0
+    log = lambda x: F.when(x > 0, F.log(x)).otherwise(F.lit(float("-inf")))
+    theta = [log(F.col(f"s_{c}") + lam) - log(F.lit(total[f"s_{c}"] + total["v"] * lam)) for c in classes]
+    terms = sums.select("term", "n", "df", "idf", F.array(*theta).alias("theta"))
+    return NaiveBayesTables(terms, priors, classes, lam)
 
 
 def model_table(model: NaiveBayesTables) -> DataFrame:
     """Long form (label, term, prior, theta) for the classes seen in training."""
-    stacked = model.terms.select(
-        "term",
-        F.inline(F.array(*[F.struct(F.lit(c).alias("label"), F.col(f"theta_{c}").alias("theta")) for c in CLASS_IDS])),
-    )
-    return stacked.join(F.broadcast(model.classes.select("label", "prior")), "label", "inner")
+    each = [
+        F.struct(F.lit(c).alias("label"), F.lit(p).alias("prior"), F.col("theta")[i].alias("theta"))
+        for i, (c, p) in enumerate(zip(model.classes, model.priors, strict=True))
+    ]
+    return model.terms.select("term", F.inline(F.array(*each))).select("label", "term", "prior", "theta")
 
 
 def score(
@@ -132,29 +107,23 @@ def score(
     text_col: str = "processed_comment",
     keep: list[str] | None = None,
 ) -> DataFrame:
-    """(id, *keep, score_0.., prediction). Rows whose text has no vocabulary
-    term score by their prior alone."""
+    """(id, *keep, score_<class>.., prediction). Rows whose text has no
+    vocabulary term score by their prior alone."""
     keep = list(keep or [])
     rows = _doc_terms(df, id_col, text_col, keep, outer=True)
-    theta_cols = ["idf", *[f"theta_{c}" for c in CLASS_IDS]]
-    t = bounded_broadcast(model.terms.select("term", *theta_cols), model.vocab_size)
-    joined = rows.join(t, "term", "left")
+    thetas = [F.col("theta")[i].alias(f"theta_{c}") for i, c in enumerate(model.classes)]
+    joined = rows.join(measured_broadcast(model.terms.select("term", "idf", *thetas)), "term", "left")
+    weight = F.col("tf") * F.col("idf")
     sums = joined.groupBy(id_col, *keep).agg(
         *[
-            F.coalesce(F.sum(F.col("tf") * F.col("idf") * F.col(f"theta_{c}")), F.lit(0.0)).alias(f"m_{c}")
-            for c in CLASS_IDS
+            # a term with weight 0 adds nothing, whatever its theta
+            F.coalesce(F.sum(F.when(weight != 0, weight * F.col(f"theta_{c}"))), F.lit(0.0)).alias(f"m_{c}")
+            for c in model.classes
         ]
     )
-    prior = {c: model.classes.where(F.col("label") == c).select("prior").scalar() for c in CLASS_IDS}
-    neg_inf = F.lit(float("-inf"))
-    scored = sums.select(
-        id_col,
-        *keep,
-        *[F.coalesce(prior[c] + F.col(f"m_{c}"), neg_inf).alias(f"score_{c}") for c in CLASS_IDS],
-    )
-    best = F.greatest(*[F.col(f"score_{c}") for c in CLASS_IDS])
-    pred = None
-    for c in CLASS_IDS:
-        hit = F.col(f"score_{c}") == best
-        pred = F.when(hit, F.lit(float(c))) if pred is None else pred.when(hit, F.lit(float(c)))
-    return scored.withColumn("prediction", pred.otherwise(F.lit(float(CLASS_IDS[0]))))
+    scores = {c: F.lit(p) + F.col(f"m_{c}") for c, p in zip(model.classes, model.priors, strict=True)}
+    scored = sums.select(id_col, *keep, *[s.alias(f"score_{c}") for c, s in scores.items()])
+    columns = [F.col(f"score_{c}") for c in model.classes]
+    best = F.greatest(*columns) if len(columns) > 1 else columns[0]
+    pred = F.coalesce(*[F.when(F.col(f"score_{c}") == best, F.lit(float(c))) for c in model.classes])
+    return scored.withColumn("prediction", pred)

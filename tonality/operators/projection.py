@@ -7,22 +7,45 @@ count, and the result is deterministic up to the sign of each axis.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.ml.feature import PCA
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.labels import decode_label
+from ..functions.text import let
 from .evaluate import report_counts_columns
 
 
 def pca_3d(df: DataFrame, features_col: str = "features", k: int = 3) -> DataFrame:
-    """Adds x, y, z: the first three principal components."""
-    model = PCA(k=k, inputCol=features_col, outputCol="_pca").fit(df)
+    """Adds x, y, z: the first three principal components. Each axis is turned
+    so that its largest loading is positive, so reruns don't mirror it."""
+    model = fit_pca(df, features_col, k)
+    loadings = model.pc.toArray()  # d x k
+    sign = np.sign(loadings[np.abs(loadings).argmax(axis=0), np.arange(k)])
     arr = vector_to_array(F.col("_pca"))
-    return model.transform(df).select(
-        *[c for c in df.columns], arr[0].alias("x"), arr[1].alias("y"), arr[2].alias("z")
-    )
+    axes = [(arr[i] * F.lit(float(sign[i]))).alias(name) for i, name in enumerate("xyz"[:k])]
+    return model.transform(df).select(*df.columns, *axes)
+
+
+def fit_pca(df: DataFrame, features_col: str = "features", k: int = 3):
+    return PCA(k=k, inputCol=features_col, outputCol="_pca").fit(df)
+
+
+def covariance(df: DataFrame, array_col: str) -> DataFrame:
+    """``i, j, cov`` (i <= j): sample covariances of the components, as sums of
+    products inside the tasks (d * (d + 1) / 2 numbers each)."""
+
+    def pairs(e):
+        def row(i):
+            later = F.sequence(i, F.size(e) - 1)
+            return F.transform(later, lambda j: F.struct(i.alias("i"), j.alias("j"), e[i].alias("x"), e[j].alias("y")))
+
+        return F.flatten(F.transform(F.sequence(F.lit(0), F.size(e) - 1), row))
+
+    rows = df.select(F.inline(let(F.col(array_col).cast("array<double>"), pairs)))
+    return rows.groupBy("i", "j").agg(F.covar_samp("x", "y").alias("cov"))
 
 
 def first_three(df: DataFrame, array_col: str) -> DataFrame:

@@ -1,7 +1,8 @@
 """The report tables behind the charts, built and written as DataFrames.
 
 Only these small tables are written (one file each); the scored rows they
-summarise stay where they are.
+summarise stay where they are. The rows are read twice: once for all class
+reports, once for the sample, which is materialised and serves every chart.
 """
 
 from __future__ import annotations
@@ -10,9 +11,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.labels import decode_label
-from ..functions.preview import hover_2d, preview_2d
+from ..functions.preview import hover_2d, hover_3d, preview_2d, preview_3d
 from ..functions.text import preview_source
-from ..sources.sinks import write_report
+from ..sources.sinks import cut_lineage, write_report
 from . import evaluate, projection
 from .split import exact_sample
 
@@ -27,26 +28,25 @@ def build_reports(
     seed: int = 42,
 ) -> dict[str, DataFrame]:
     """Distribution, confusion matrix and accuracy over all scored rows; if the
-    rows carry x, y, z, also the sample's planar projections, embedding
-    report and 2-D hover texts."""
-    out = {
-        "sentiment_distribution": evaluate.class_counts(scored, prediction_col),
-        "confusion_matrix": evaluate.confusion_matrix(scored, label_col, prediction_col),
-        "accuracy": evaluate.accuracy(scored, label_col, prediction_col),
-    }
+    rows carry x, y, z, also the sample's points, class counts, planar
+    projections and embedding report, and its 2-D and 3-D hover texts."""
+    spark = scored.sparkSession
+    counts = cut_lineage(spark, evaluate.summary_counts(scored, label_col, prediction_col), "summary")
+    out = evaluate.class_reports(counts)
     if {"x", "y", "z"} <= set(scored.columns):
-        sample = exact_sample(scored, id_col, sample_n, seed)
-        out["sample_class_counts"] = evaluate.value_counts(
-            sample.withColumn("sentiment", decode_label(F.col(prediction_col))), "sentiment"
-        )
+        columns = [id_col, label_col, prediction_col, *([text_col] if text_col else []), "x", "y", "z"]
+        sample = exact_sample(scored.select(*dict.fromkeys(columns)), id_col, sample_n, seed)
+        sample = cut_lineage(spark, sample.withColumn("sentiment", decode_label(F.col(prediction_col))), "report-sample")
+        out["sample_class_counts"] = evaluate.value_counts(sample, "sentiment")
+        out["points_3d"] = sample.select(id_col, "sentiment", "x", "y", "z")
         out["planar_projection"] = projection.planar(sample, id_col, prediction_col)
         out["embedding_report"] = projection.embedding_report(sample, prediction_col)
         if text_col:
-            pred = decode_label(F.col(prediction_col))
-            out["hover_2d"] = sample.select(
-                id_col,
-                hover_2d(pred, preview_2d(preview_source(F.col(text_col))), decode_label(F.col(label_col))).alias("hover"),
-            )
+            pred, true, source = F.col("sentiment"), decode_label(F.col(label_col)), preview_source(F.col(text_col))
+            out["hover_2d"] = sample.select(id_col, hover_2d(pred, preview_2d(source), true).alias("hover"))
+            axes = [F.col(a) for a in "xyz"]
+            sized = evaluate.with_class_size(sample, "sentiment")
+            out["hover_3d"] = sized.select(id_col, hover_3d(pred, F.col("class_size"), preview_3d(source), true, *axes).alias("hover"))
     return out
 
 

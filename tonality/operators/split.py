@@ -55,6 +55,8 @@ def train_test_split(df: DataFrame, id_col: str, train_pct: int = 80, seed: int
 def exact_sample(df: DataFrame, id_col: str, n: int = 3000, seed: int = 42, margin: float = 1.5) -> DataFrame:
     """Exactly ``min(N, n)`` rows without replacement, the same on any layout:
     the ``n`` rows with the smallest hash of (seed, id), ties broken by id.
+    ``id_col`` must tell rows apart: rows that share an id share its hash and
+    come in or stay out together.
 
     A plain ``orderBy(hash).limit(n)`` sends ``n`` rows from *every* partition
     to one task, which grows with the partition count. The hash prefix is

@@ -9,7 +9,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+import numpy as np
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.labels import (
@@ -24,10 +26,11 @@ from ..functions.preview import hover_3d, preview_2d, preview_3d
 from ..functions.text import content_tokens, is_empty, preview_source
 from ..operators import evaluate, features, models, naive_bayes, projection
 from ..operators.preprocess import preprocess
-from ..operators.scoring import embed_texts, score_texts
+from ..operators.scoring import drop_blank, embed_texts, score_texts
 from ..operators.split import exact_sample, train_test_split, with_split
 from ..session import scratch_path
-from ..sources.comments import conversation_texts, labelled_comments, spread, table
+from ..sources.comments import conversation_texts, labelled_comments, table
+from ..sources.sinks import cut_lineage
 from ..streaming.score_stream import OUTPUT_COLUMNS, run_available
 
 SEED = 42
@@ -45,7 +48,7 @@ def r6(c):
 
 def all_documents(spark: SparkSession, sf: str) -> DataFrame:
     """Every document, preprocessed (no label)."""
-    docs = spread(table(spark, sf, "documents"), "doc_id").select("doc_id", F.col("text").alias("Comment"))
+    docs = table(spark, sf, "documents").select("doc_id", F.col("text").alias("Comment"))
     return preprocess(docs, sentiment_col=None)
 
 
@@ -136,10 +139,26 @@ def q_sentiment_distribution(spark, sf):
     return evaluate.class_counts(labelled_documents(spark, sf), "label")
 
 
+def _labels_of_documents(spark, sf) -> DataFrame:
+    """doc_id and label of the labelled documents, once in the shared folder:
+    class sizes and rows both come from it, so each table is scanned once."""
+    return cut_lineage(spark, labelled_documents(spark, sf).select("doc_id", "label"), "labels-of-documents")
+
+
 def q_class_slice(spark, sf):
-    return evaluate.class_slice(labelled_documents(spark, sf), "label").select(
-        "doc_id", "sentiment", "class_size"
-    )
+    return evaluate.class_slice(_labels_of_documents(spark, sf), "label").select("doc_id", "sentiment", "class_size")
+
+
+def q_class_slice_positive(spark, sf):
+    """The rows of one class."""
+    rows = evaluate.class_slice(_labels_of_documents(spark, sf), "label", name="Positive")
+    return rows.select("doc_id", "sentiment", "class_size")
+
+
+def q_value_counts(spark, sf):
+    """Documents per class name among the sampled points, most frequent first."""
+    named = embedding_sample(spark, sf).select(decode_label(F.col("label")).alias("sentiment"))
+    return evaluate.value_counts(named, "sentiment")
 
 
 def q_csv_ingest(spark, sf):
@@ -181,14 +200,15 @@ def q_term_frequency(spark, sf):
 
 
 def q_vocabulary(spark, sf):
-    return features.vocabulary(_tf(spark, sf), "doc_id", features.DEFAULT_VOCAB_SIZE)
+    return features.vocabulary(_tf(spark, sf), features.DEFAULT_VOCAB_SIZE)
 
 
 def _idf(spark, sf):
+    """Term rows, and the idf table in the shared folder."""
     tf = _tf(spark, sf)
-    vocab = features.vocabulary(tf, "doc_id", features.DEFAULT_VOCAB_SIZE)
     n_docs = table(spark, sf, "documents").agg(F.count(F.lit(1))).scalar()
-    return tf, features.idf(tf, vocab, n_docs, features.DEFAULT_VOCAB_SIZE)
+    vocab = features.vocabulary(tf, features.DEFAULT_VOCAB_SIZE)
+    return tf, cut_lineage(spark, features.idf(vocab, n_docs), "idf")
 
 
 def q_idf(spark, sf):
@@ -198,7 +218,7 @@ def q_idf(spark, sf):
 
 def q_tfidf(spark, sf):
     tf, idf = _idf(spark, sf)
-    return features.tfidf(tf, idf, features.DEFAULT_VOCAB_SIZE).select(
+    return features.tfidf(tf, idf).select(
         "doc_id", "term", F.col("tf").cast("long").alias("tf"), r6(F.col("tfidf")).alias("tfidf")
     )
 
@@ -245,9 +265,14 @@ def q_confusion_matrix(spark, sf):
 
 
 def q_nb_pipeline(spark, sf):
+    """The Spark ML pipeline on the relational vocabulary (top 5000 terms, ties
+    by term), so that SQL can state its predictions."""
     train, test = labelled_split(spark, sf)
-    with models.persisted(train):
-        fitted = models.nb_pipeline().fit(train)
+    rows = cut_lineage(spark, train.select("doc_id", "processed_comment", "label"), "nb-train")
+    tf = features.term_frequency(rows, "doc_id", "processed_comment")
+    top = features.vocabulary(tf, features.DEFAULT_VOCAB_SIZE).orderBy("rank").select("term")
+    terms = [r["term"] for r in top.collect()]  # at most 5000 strings
+    fitted = models.nb_pipeline(vocabulary=terms).fit(rows)
     return fitted.transform(test).select("doc_id", "label", "prediction")
 
 
@@ -278,8 +303,7 @@ def q_model_compare(spark, sf):
 
 def q_grid_search(spark, sf):
     train, test = embedding_split(spark, sf)
-    with models.persisted(train):
-        ranked, _, _, _ = models.grid_search(spark, train, test)
+    ranked, _, _, _ = models.grid_search(spark, train, test, "vec_id")
     return ranked
 
 
@@ -290,6 +314,121 @@ def q_embedding_projection(spark, sf):
     )
 
 
+# ---- checks of fitted models: results that SQL can state -------------------------------
+
+
+def q_lr_check(spark, sf):
+    """Test rows, rows whose prediction isn't arg max(Wx + b), and whether the
+    gradient of the fitted loss is near zero (largest entry below 0.01, in the
+    space of scaled features where Spark applies the penalty)."""
+    train, test = embedding_split(spark, sf)
+    with models.persisted(train):
+        lr = models.train_logreg(train)
+    w, b = lr.coefficientMatrix.toArray(), lr.interceptVector.toArray()  # classes x 64
+    rows = F.array(*[F.array(*[F.lit(float(v)) for v in row]) for row in w])
+    x = F.col("embedding").cast("array<double>")
+    margin = [
+        F.aggregate(F.zip_with(x, rows[c], lambda p, q: p * q), F.lit(float(b[c])), lambda s, v: s + v) for c in range(len(b))
+    ]
+    best = F.greatest(*margin)
+    own = F.element_at(F.array(*margin), F.col("prediction").cast("int") + 1)
+    wrong = lr.transform(test).agg(F.count(F.lit(1)).alias("n"), F.count_if(own < best - 1e-9).alias("mismatches"))
+
+    scored = lr.transform(train).select("label", vector_to_array("probability").alias("p"), F.posexplode(x).alias("j", "x"))
+    slope = [F.avg((F.col("p")[c] - (F.col("label") == c).cast("double")) * F.col("x")).alias(f"g_{c}") for c in range(len(b))]
+    per_dim = scored.groupBy("j").agg(F.stddev_samp("x").alias("sd"), *slope)
+    penalty = models.LR_PARAMS["regParam"]
+    entry = [F.abs(F.col(f"g_{c}") / F.col("sd") + penalty * F.get(rows[c], F.col("j")) * F.col("sd")) for c in range(len(b))]
+    largest = per_dim.agg(F.max(F.greatest(*entry)).alias("g"))
+    return wrong.crossJoin(largest).select("n", "mismatches", (F.col("g") < 0.01).alias("converged"))  # one row each
+
+
+def q_rf_check(spark, sf):
+    """Test rows, rows whose prediction isn't the most probable class, and rows
+    whose probabilities don't sum to 1."""
+    train, test = embedding_split(spark, sf)
+    with models.persisted(train):
+        rf = models.train_forest(train)
+    p = vector_to_array("probability")
+    scored = rf.transform(test).select("prediction", p.alias("p"))
+    total = F.aggregate("p", F.lit(0.0), lambda a, v: a + v)
+    return scored.agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_if(F.element_at("p", F.col("prediction").cast("int") + 1) < F.array_max("p")).alias("mismatches"),
+        F.count_if(F.abs(total - 1) > 1e-9).alias("bad_sums"),
+    )
+
+
+def q_model_compare_check(spark, sf):
+    """Per model: test rows, and whether the reported accuracy is the share on
+    the diagonal of the confusion matrix."""
+    train, test = embedding_split(spark, sf)
+    with models.persisted(train):
+        fitted = {"logistic_regression": models.train_logreg(train), "random_forest": models.train_forest(train)}
+    table_ = models.compare_models(fitted, test)
+    parts = []
+    for name, model in fitted.items():
+        cm = evaluate.confusion_matrix(model.transform(test))
+        columns = [F.col(f"pred_{n}") for n in ("negative", "neutral", "positive")]
+        own = F.element_at(F.array(*columns), F.col("true_label") + 1)
+        parts.append(cm.agg((F.sum(own) / F.sum(sum(columns, F.lit(0)))).alias("share")).select(F.lit(name).alias("model"), "share"))
+    both = table_.join(parts[0].unionByName(parts[1]), "model")
+    return both.select("model", "n", (F.abs(F.col("accuracy") - F.col("share")) < 1e-12).alias("consistent"))
+
+
+def q_grid_check(spark, sf):
+    """The parameter sets with whether each stands in its place: accuracies
+    fall with the rank, ties in parameter order, and the best set is the one
+    that was refitted and has a test accuracy."""
+    train, test = embedding_split(spark, sf)
+    ranked, _, summary, _ = models.grid_search(spark, train, test, "vec_id")
+    before = Window.orderBy("rank")
+    key = F.struct(-F.col("accuracy"), "regParam", "elasticNet", "maxIter")
+    ordered = ranked.withColumn("in_order", F.coalesce(F.lag(key).over(before) < key, F.lit(True)))
+    best = summary.select(
+        F.col("regParam").alias("b_reg"), F.col("elasticNet").alias("b_net"), F.col("maxIter").alias("b_iter"),
+        F.col("cv_accuracy").alias("b_acc"), F.col("test_accuracy").between(0, 1).alias("b_ok"),
+    )
+    # one row of a summary beside at most 18 sets
+    top = ordered.crossJoin(best).withColumn(
+        "best_set",
+        (F.col("regParam") == F.col("b_reg")) & (F.col("elasticNet") == F.col("b_net")) & (F.col("maxIter") == F.col("b_iter")),
+    )
+    first_ok = F.col("best_set") & F.col("b_ok") & (F.abs(F.col("accuracy") - F.col("b_acc")) < 1e-12)
+    return top.select("regParam", "elasticNet", "maxIter", (F.col("in_order") & F.when(F.col("rank") == 1, first_ok).otherwise(True)).alias("in_place"))
+
+
+def q_embedding_covariance(spark, sf):
+    e = table(spark, sf, "embeddings").select("embedding")
+    return projection.covariance(e, "embedding").select("i", "j", r6(F.col("cov")).alias("cov"))
+
+
+def q_pca_check(spark, sf):
+    """Points, whether the loadings are orthonormal, and whether they are the
+    leading eigenvectors of the covariance (residual, and order of size)."""
+    e = embedding_rows(spark, sf)
+    loadings = projection.fit_pca(e).pc.toArray()
+    d = len(loadings)
+    cov = np.zeros((d, d))
+    for r in projection.covariance(e, "embedding").collect():  # d (d + 1) / 2 numbers
+        cov[r["i"], r["j"]] = cov[r["j"], r["i"]] = r["cov"]
+    size = np.einsum("ik,ij,jk->k", loadings, cov, loadings)
+    orthonormal = bool(np.abs(loadings.T @ loadings - np.eye(3)).max() < 1e-9)
+    residual = np.abs(cov @ loadings - loadings * size).max() < 1e-6
+    leading = bool(residual and np.allclose(size, np.sort(np.linalg.eigvalsh(cov))[::-1][:3], atol=1e-6))
+    return e.agg(F.count(F.lit(1)).alias("n")).select("n", F.lit(orthonormal).alias("orthonormal"), F.lit(leading).alias("leading"))
+
+
+def q_stream_check(spark, sf):
+    """Scored texts, and rows that only the stream or only the batch has."""
+    model = sentiment_model(spark, sf)
+    batch = cut_lineage(spark, _scored_batch(model, spark, sf), "batch")
+    stream = _scored_stream(model, spark, sf)
+    counted = [df.agg(F.count(F.lit(1)).alias(n)) for n, df in (
+        ("n", batch), ("only_stream", stream.exceptAll(batch)), ("only_batch", batch.exceptAll(stream)))]
+    return counted[0].crossJoin(counted[1]).crossJoin(counted[2])  # one row each
+
+
 def q_planar_projection(spark, sf):
     p = projection.planar(embedding_sample(spark, sf), "vec_id", "label")
     return p.select("vec_id", "sentiment", "plane", r6(F.col("a")).alias("a"), r6(F.col("b")).alias("b"))
@@ -301,28 +440,24 @@ def q_embedding_report(spark, sf):
 
 
 def q_hover_text(spark, sf):
-    """Hover labels of the 3-D chart: the sample's first three components as
-    coordinates, its class as prediction, the document's label as truth.
+    """Hover labels of the 3-D chart, one per sampled point: its first three
+    components as coordinates, its class as prediction, the document's label
+    (if it has one) as truth, and the size of its class in the sample.
 
-    The sample is bounded (``SAMPLE_N`` rows), so it is broadcast and joined
-    to the raw labelled comments first; only the matching documents are then
+    The sample is bounded (``SAMPLE_N`` rows) and materialised, so it is
+    broadcast to the documents and to the labels; only its own documents are
     cleaned and tokenized.
     """
-    pts = embedding_sample(spark, sf).withColumnRenamed("vec_id", "doc_id")
-    raw = labelled_comments(spark, sf).join(F.broadcast(pts), "doc_id", "inner")
-    # the sample's ``label`` is the predicted class; preprocess adds the true one
-    docs = preprocess(raw.withColumnRenamed("label", "pred_label"))
-    joined = docs.select(
-        "doc_id",
-        "processed_comment",
-        F.col("label").alias("true_label"),
-        decode_label(F.col("pred_label")).alias("pred_name"),
-        "x",
-        "y",
-        "z",
+    points = embedding_sample(spark, sf).select(
+        F.col("vec_id").alias("doc_id"), decode_label(F.col("label")).alias("pred_name"), "x", "y", "z"
     )
-    sized = evaluate.with_class_size(joined, "pred_name")
-    return sized.select(
+    points = cut_lineage(spark, points, "hover-sample")
+    ids = F.broadcast(points.select("doc_id"))
+    docs = table(spark, sf, "documents").select("doc_id", F.col("text").alias("Comment")).join(ids, "doc_id")
+    docs = preprocess(docs, sentiment_col=None).select("doc_id", "processed_comment")
+    truth = _label_rows(spark, sf).join(ids, "doc_id").select("doc_id", encode_label(F.col("Sentiment")).alias("true_label"))
+    joined = evaluate.with_class_size(points, "pred_name").join(docs, "doc_id", "left").join(truth, "doc_id", "left")
+    return joined.select(
         "doc_id",
         hover_3d(
             F.col("pred_name"),
@@ -340,28 +475,32 @@ def q_hover_text(spark, sf):
 
 
 def sentiment_model(spark, sf):
-    """LR on hashed embeddings of the labelled documents (train split)."""
+    """LR on hashed embeddings of the labelled documents (train split). Only
+    label and vector are kept for the fit."""
     train, _ = labelled_split(spark, sf)
-    featured = embed_texts(train.select("doc_id", "Comment", "label"), "Comment")
+    featured = embed_texts(train.select("doc_id", "Comment", "label"), "Comment", keep_text=False).select("label", "features")
     with models.persisted(featured):
         return models.train_logreg(featured)
 
 
-def q_score_batch(spark, sf):
-    model = sentiment_model(spark, sf)
-    from ..operators.scoring import drop_blank
-
+def _scored_batch(model, spark, sf) -> DataFrame:
     return score_texts(model, drop_blank(conversation_texts(spark, sf))).select(*OUTPUT_COLUMNS)
 
 
-def q_score_stream(spark, sf):
-    model = sentiment_model(spark, sf)
+def _scored_stream(model, spark, sf) -> DataFrame:
     sink = scratch_path(spark, "score-stream-out")
-    ckpt = scratch_path(spark, "score-stream-ckpt")
-    run_available(model, spark, sf, sink, ckpt, pattern="conversations*.parquet")
+    run_available(model, spark, sf, sink, scratch_path(spark, "score-stream-ckpt"), pattern="conversations*.parquet")
     return spark.read.parquet(sink).select(*OUTPUT_COLUMNS)
 
 
+def q_score_batch(spark, sf):
+    return _scored_batch(sentiment_model(spark, sf), spark, sf)
+
+
+def q_score_stream(spark, sf):
+    return _scored_stream(sentiment_model(spark, sf), spark, sf)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "clean_text": q_clean_text,
     "tokenize_stop": q_tokenize_stop,
@@ -371,6 +510,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "csv_ingest": q_csv_ingest,
     "sentiment_distribution": q_sentiment_distribution,
     "class_slice": q_class_slice,
+    "class_slice_positive": q_class_slice_positive,
+    "value_counts": q_value_counts,
     "train_test_split": q_train_test_split,
     "embedding_sample": q_embedding_sample,
     "term_frequency": q_term_frequency,
@@ -394,4 +535,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "hover_text": q_hover_text,
     "score_batch": q_score_batch,
     "score_stream": q_score_stream,
+    "lr_check": q_lr_check,
+    "rf_check": q_rf_check,
+    "model_compare_check": q_model_compare_check,
+    "grid_check": q_grid_check,
+    "embedding_covariance": q_embedding_covariance,
+    "pca_check": q_pca_check,
+    "stream_check": q_stream_check,
 }

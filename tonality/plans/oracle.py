@@ -21,7 +21,8 @@ from ..functions.preview import (
     sql_preview_source,
     sql_wrap,
 )
-from ..functions.text import sql_clean, sql_content_tokens, sql_process, sql_quote
+from ..functions.text import WS_RE2, sql_clean, sql_content_tokens, sql_process, sql_quote
+from ..operators.models import GRID
 from ..operators.split import sql_bucket, sql_hash_key, sql_split
 from ..schema import CLASSES
 from .catalog import SAMPLE_N, SEED, TRAIN_PCT
@@ -212,11 +213,16 @@ def oracle_sql() -> dict[str, str]:
         f"WITH {_all_docs_cte()}, s AS (SELECT doc_id, {src} AS src FROM p) "
         f"SELECT doc_id, {sql_wrap('src', *PREVIEW_3D)} AS preview_3d, {sql_wrap('src', *PREVIEW_2D)} AS preview_2d FROM s"
     )
+    q["class_slice_positive"] = f"SELECT * FROM ({q['class_slice']}) WHERE sentiment = 'Positive'"
+    q["value_counts"] = (
+        f"WITH {_sample_cte()} SELECT {sql_decode('label')} AS sentiment, count(*) AS n FROM smp GROUP BY ALL"
+    )
     q["hover_text"] = (
-        f"WITH {_sample_cte()}, {_labelled_cte()}, "
+        f"WITH {_sample_cte()}, {_all_docs_cte()}, "
+        f"t AS (SELECT doc_id, {sql_encode_label('Sentiment')} AS label FROM ({_label_rows()})), "
         f"j AS (SELECT smp.vec_id AS doc_id, {sql_decode('smp.label')} AS pred_name, "
-        f"{sql_decode('lab.label')} AS true_name, {src.replace('processed', 'lab.processed')} AS src, x, y, z "
-        "FROM smp JOIN lab ON smp.vec_id = lab.doc_id), "
+        f"{sql_decode('t.label')} AS true_name, {src.replace('processed', 'p.processed')} AS src, x, y, z "
+        "FROM smp LEFT JOIN p ON smp.vec_id = p.doc_id LEFT JOIN t ON smp.vec_id = t.doc_id), "
         "k AS (SELECT *, count(*) OVER (PARTITION BY pred_name) AS class_size FROM j) "
         "SELECT doc_id, '<b>' || pred_name || ' (' || CAST(class_size AS VARCHAR) || "
         f"{sql_quote(' ' + HOVER_POINTS + ')</b><br>' + HOVER_COMMENT)} || {sql_wrap('src', *PREVIEW_3D)} || "
@@ -224,4 +230,27 @@ def oracle_sql() -> dict[str, str]:
         f"pred_name || {sql_quote('<br>' + HOVER_COORDS + '(')} || printf('%.2f', x) || ', ' || "
         "printf('%.2f', y) || ', ' || printf('%.2f', z) || ')' AS hover FROM k"
     )
+    q["nb_pipeline"] = q["nb_score"]
+    held = f"SELECT count(*) AS n FROM embeddings WHERE {sql_bucket('vec_id', SEED)} >= {TRAIN_PCT}"
+    q["lr_check"] = f"SELECT n, 0 AS mismatches, true AS converged FROM ({held})"
+    q["rf_check"] = f"SELECT n, 0 AS mismatches, 0 AS bad_sums FROM ({held})"
+    q["model_compare_check"] = (
+        f"SELECT model, n, true AS consistent FROM ({held}), (VALUES ('logistic_regression'), ('random_forest')) AS m(model)"
+    )
+    reg, net, iters = (", ".join(f"({v})" for v in GRID[k]) for k in ("regParam", "elasticNetParam", "maxIter"))
+    q["grid_check"] = (
+        'SELECT CAST(r AS DOUBLE) AS "regParam", CAST(e AS DOUBLE) AS "elasticNet", m AS "maxIter", true AS in_place '
+        f"FROM (VALUES {reg}) AS a(r), (VALUES {net}) AS b(e), (VALUES {iters}) AS c(m)"
+    )
+    q["embedding_covariance"] = (
+        "WITH e AS (SELECT vec_id, CAST(unnest(range(len(embedding))) AS INTEGER) AS i, "
+        "CAST(unnest(embedding) AS DOUBLE) AS x FROM embeddings) "
+        "SELECT a.i AS i, b.i AS j, round(covar_samp(a.x, b.x), 6) AS cov "
+        "FROM e a JOIN e b ON a.vec_id = b.vec_id AND a.i <= b.i GROUP BY ALL"
+    )
+    q["pca_check"] = "SELECT count(*) AS n, true AS orthonormal, true AS leading FROM embeddings"
+    q["stream_check"] = (
+        "SELECT count(*) AS n, 0 AS only_stream, 0 AS only_batch FROM conversations "
+        f"WHERE regexp_matches(text, '[^{WS_RE2}]')"
+    )
     return q

@@ -46,10 +46,6 @@ def split_corrupt(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     return good, bad
 
 
-def read_comments_parquet(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path).select("Comment", "Sentiment")
-
-
 def schema_preview(df: DataFrame, n: int = 5, order_by: str | None = None):
     """The schema tree and the first ``n`` rows (in a stated order if given)."""
     rows = df.orderBy(order_by) if order_by else df
@@ -63,21 +59,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Hash-partition ``df`` by ``key`` over the session's cores, but only when
-    the scan yields fewer splits than that (e.g. one file with one row group).
-
-    Text cleaning is CPU-bound per row; a source read as a single split would
-    run it on one core. A large input already has thousands of splits, and
-    then this is a no-op, so no shuffle is added at scale. Hash (not
-    round-robin) partitioning keeps row placement deterministic.
-    """
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target, key)
-    return df
-
-
 def labelled_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``doc_id, Comment, Sentiment`` for documents that have labels.
 
@@ -85,7 +66,7 @@ def labelled_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
     (AQE may still switch it to a broadcast at run time when one side is
     small); only the three needed columns of each side are read.
     """
-    docs = spread(table(spark, sf_dir, "documents"), "doc_id").select(
+    docs = table(spark, sf_dir, "documents").select(
         "doc_id", F.col("text").alias("Comment")
     )
     labels = table(spark, sf_dir, "labels").select(
@@ -95,4 +76,4 @@ def labelled_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def conversation_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(table(spark, sf_dir, "conversations"), "conv_id").select("conv_id", "turn", "role", "text")
+    return table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")

@@ -11,10 +11,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from ..operators.scoring import drop_blank, score_texts
+from ..operators.scoring import Encoder, drop_blank, score_texts
 from ..schema import CONVERSATIONS
 
-OUTPUT_COLUMNS = ["conv_id", "turn", "role", "processed_comment", "prediction", "sentiment"]
+OUTPUT_COLUMNS = ["conv_id", "turn", "role", "processed_comment", "probability", "prediction", "sentiment"]
 
 
 def text_stream(
@@ -35,8 +35,8 @@ def text_stream(
     return reader.parquet(directory)
 
 
-def scored_stream(model, stream: DataFrame, text_col: str = "text") -> DataFrame:
-    return score_texts(model, drop_blank(stream, text_col), text_col).select(*OUTPUT_COLUMNS)
+def scored_stream(model, stream: DataFrame, text_col: str = "text", encoder: Encoder | None = None) -> DataFrame:
+    return score_texts(model, drop_blank(stream, text_col), text_col, encoder).select(*OUTPUT_COLUMNS)
 
 
 def run_available(
@@ -47,6 +47,7 @@ def run_available(
     checkpoint: str,
     pattern: str | None = None,
     text_col: str = "text",
+    encoder: Encoder | None = None,
 ):
     """Process everything available now, then stop (``trigger(availableNow)``).
 
@@ -54,7 +55,7 @@ def run_available(
     checkpoint adds only files that arrived since.
     """
     query = (
-        scored_stream(model, text_stream(spark, directory, pattern), text_col)
+        scored_stream(model, text_stream(spark, directory, pattern), text_col, encoder)
         .writeStream.format("parquet")
         .outputMode("append")
         .option("path", sink)
