@@ -400,7 +400,8 @@ def q_grid_check(spark, sf):
 
 def q_embedding_covariance(spark, sf):
     e = table(spark, sf, "embeddings").select("embedding")
-    return projection.covariance(e, "embedding").select("i", "j", r6(F.col("cov")).alias("cov"))
+    cov = r6(F.col("cov"))
+    return projection.covariance(e, "embedding").select("i", "j", F.when(cov == 0, F.lit(0.0)).otherwise(cov).alias("cov"))
 
 
 def q_pca_check(spark, sf):

@@ -245,8 +245,9 @@ def oracle_sql() -> dict[str, str]:
     q["embedding_covariance"] = (
         "WITH e AS (SELECT vec_id, CAST(unnest(range(len(embedding))) AS INTEGER) AS i, "
         "CAST(unnest(embedding) AS DOUBLE) AS x FROM embeddings) "
-        "SELECT a.i AS i, b.i AS j, round(covar_samp(a.x, b.x), 6) AS cov "
-        "FROM e a JOIN e b ON a.vec_id = b.vec_id AND a.i <= b.i GROUP BY ALL"
+        "SELECT i, j, CASE WHEN c = 0 THEN 0.0 ELSE c END AS cov FROM ("
+        "SELECT a.i AS i, b.i AS j, round(covar_samp(a.x, b.x), 6) AS c "
+        "FROM e a JOIN e b ON a.vec_id = b.vec_id AND a.i <= b.i GROUP BY ALL)"
     )
     q["pca_check"] = "SELECT count(*) AS n, true AS orthonormal, true AS leading FROM embeddings"
     q["stream_check"] = (
