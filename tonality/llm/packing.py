@@ -17,7 +17,9 @@ empty table gives no pieces; other columns are not read.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
+from struct import pack as pack_numbers
 
 import numpy as np
 import pyarrow as pa
@@ -26,12 +28,13 @@ from pyspark.sql import functions as F
 
 from .common import bounded_batches, materialise, text_or_empty
 from .kernels import Powers, Words, is_word_byte_table, mix, slices, sums_before
+from .token_counts import byte_of_char
 
 LENGTH = 2048
 END_ID = 1
 DIMENSIONS, BITS = 3, 10
 _CELLS = 9  # log2 of the buckets of the hashed word vector (sign included)
-CACHE = 400_000
+CACHE = 250_000
 
 
 def tokenizer_path() -> str:
@@ -44,50 +47,62 @@ class WordIds:
     """Ids of the white-space separated words of a text, by a ``tokenizers``
     file whose pre-tokenizer never joins words across ASCII white space.
 
-    Words are encoded once and kept in a bounded cache; new ones are encoded
-    many at a time, with an end-of-text token between them.
+    Words are encoded once and kept in a bounded cache of two generations: when
+    the younger is full, it replaces the older. A-Z are lower-cased first, as the
+    tokenizer does anyway. A plain word (lower-case Latin letters, then perhaps
+    ASCII punctuation) is one or two pre-tokens, which go straight to the model;
+    any other word is encoded by the whole tokenizer.
     """
 
-    def __init__(self, path: str, mark: str = "<|endoftext|>"):
+    def __init__(self, path: str):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.mark = Tokenizer.from_file(path), mark
-        self.mark_id = self.tokenizer.token_to_id(mark)
+        self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self.cache: dict[bytes, bytes] = {}
-
-    def _alone(self, word: bytes) -> bytes:
-        return np.array(self.tokenizer.encode(word.decode(), add_special_tokens=False).ids, self.kind).tobytes()
-
-    def learn(self, words: list[bytes]) -> None:
-        plain = [w for w in words if b"<|" not in w]
-        for at in range(0, len(plain), 4096):
-            some = plain[at : at + 4096]
-            text = self.mark.join([f" {w.decode()} " for w in some])
-            ids = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.int64)
-            cut = np.flatnonzero(ids == self.mark_id)
-            if len(cut) == len(some) - 1:
-                raw, size = ids.astype(self.kind).tobytes(), self.kind.itemsize
-                begin = [0, *((cut + 1) * size).tolist()]
-                end = [*(cut * size).tolist(), len(raw)]
-                self.cache.update((w, raw[a:b]) for w, a, b in zip(some, begin, end, strict=True))
-            else:
-                self.cache.update((w, self._alone(w)) for w in some)
-        self.cache.update((w, self._alone(w)) for w in words if b"<|" in w)
-
-    def of_texts(self, texts: list[str | None]) -> list[bytes]:
-        split = [(t or "").encode().split() for t in texts]
-        new = {w for words in split for w in words}.difference(self.cache)
-        if new:
-            if len(self.cache) + len(new) > CACHE:
-                self.cache.clear()
-                new = {w for words in split for w in words}
-            self.learn(list(new))
-        look = self.cache.__getitem__
-        return [b"".join(map(look, words)) for words in split]
+        self.young: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
+        self.plain = re.compile("([a-zß-öø-ÿ]+)([!-&(-/:-@[-`{-~]*)")
+        self.alphabet = {b: c for c, b in byte_of_char().items()}
+
+    def _encode(self, word: bytes) -> bytes:
+        """Ids of a word whose A-Z are lower-cased."""
+        if word.isalpha():  # ASCII letters
+            ids = [t.id for t in self.model.tokenize(word.decode())]
+        elif (match := self.plain.fullmatch(text := word.decode())) is None:
+            ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+        else:
+            ids = []
+            for part in match.groups():
+                if part:
+                    if not part.isascii():
+                        part = part.encode().decode("latin-1").translate(self.alphabet)
+                    ids += [t.id for t in self.model.tokenize(part)]
+        return pack_numbers(f"<{len(ids)}{self.kind.char}", *ids)
+
+    def _learn(self, word: bytes) -> bytes:
+        ids = self.young.get(word)
+        if ids is None:
+            ids = self.old.get(word)
+            if ids is None:
+                ids = self._encode(word)
+            if len(self.young) >= CACHE:
+                self.old, self.young = self.young, {}
+            self.young[word] = ids
+        return ids
+
+    def of_text(self, text: str | None) -> bytes:
+        raw = (text or "").encode()
+        if b"<|" in raw:  # perhaps a special token, which is matched as it is written
+            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
+        words = raw.lower().split()  # lower-cases ASCII and splits at ASCII white space only
+        ids = list(map(self.young.get, words))
+        if None in ids:
+            ids = [x if x is not None else self._learn(w) for x, w in zip(ids, words, strict=True)]
+        return b"".join(ids)
 
 
 def projection() -> np.ndarray:
@@ -150,7 +165,7 @@ def _tokens(path: str, end_id: int):
         end = np.array([end_id], ids.kind).tobytes()
         for batch in batches:
             for part in slices(batch):
-                found = [x + end for x in ids.of_texts(part.column("text").to_pylist())]
+                found = [ids.of_text(t) + end for t in part.column("text").to_pylist()]
                 keys = curve_keys(Words(part.column("text"), powers, inside), table)
                 n = [len(x) // ids.kind.itemsize for x in found]
                 yield pa.RecordBatch.from_arrays(
