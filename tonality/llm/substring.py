@@ -188,12 +188,14 @@ def repeats(docs: DataFrame, min_words: int = MIN_WORDS, text: str = "text") ->
         .where("lowest < highest")
         .drop("highest")
     )
+    # tables on both sides of a join: Spark can split a hot key's partition
+    anchors = materialise(anchors, "anchors")
     shared = materialise(seed.join(anchors, "anchor").where("differ OR doc_id > lowest"), "shared")
     columns = ["doc_id", "copy", "start", "n"]
     alike = shared.where("NOT differ").select(columns)
 
     differ = shared.where("differ").select("anchor", "stretch", *columns)
-    first = differ.groupBy("anchor", "stretch").agg(F.min("doc_id").alias("lowest"))
+    first = materialise(differ.groupBy("anchor", "stretch").agg(F.min("doc_id").alias("lowest")), "first")
     ranked = materialise(differ.join(first, ["anchor", "stretch"]), "stretches")
     again = ranked.where("doc_id > lowest").select(columns)
 
@@ -205,7 +207,7 @@ def repeats(docs: DataFrame, min_words: int = MIN_WORDS, text: str = "text") ->
     window = materialise(
         source.join(lists, ["doc_id", "copy"]).mapInArrow(_window_rows(min_words), WINDOW_SCHEMA), "windows"
     )
-    earliest = window.groupBy("anchor", "window").agg(F.min("doc_id").alias("lowest"))
+    earliest = materialise(window.groupBy("anchor", "window").agg(F.min("doc_id").alias("lowest")), "earliest")
     extended = (
         window.join(earliest, ["anchor", "window"])
         .where("doc_id > lowest")
