@@ -111,8 +111,17 @@ class Words:
         self.start, self.end = np.flatnonzero(begins), np.flatnonzero(stops)
         self.first = np.searchsorted(self.start, self.offsets, "left")
         up, down = powers.upto(n + 1)
-        run = sums_before((self.raw.astype(np.uint64) + np.uint64(1)) * up[:n])
-        self.key = mix((run[self.end] - run[self.start]) * down[self.start])
+        self._run, self._down = sums_before((self.raw.astype(np.uint64) + np.uint64(1)) * up[:n]), down
+        self.key = self._keys(self.start, self.end)
+
+    def _keys(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        return mix((self._run[end] - self._run[start]) * self._down[start])
+
+    def prefixes(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """Of the words longer than n bytes: their numbers, and fingerprints of
+        their first n bytes, which differ from those of words."""
+        long = np.flatnonzero(self.end - self.start > n)
+        return long, mix(self._keys(self.start[long], self.start[long] + n) ^ np.uint64(0x94D049BB133111EB))
 
     def __len__(self) -> int:
         return len(self.start)

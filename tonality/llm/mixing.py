@@ -1,8 +1,8 @@
 """Mixing documents to target weights with soft domain membership.
 
 1. A classifier is trained on labelled documents (at most ``SAMPLE`` of them,
-   those with the smallest hash): softmax regression on hashed words present
-   and a few dense features. It gives every document posteriors over the
+   those with the smallest hash): softmax regression on the hashed words and
+   5-byte beginnings of words that are present, and a few dense features. It gives every document posteriors over the
    domains ``clean``, ``low`` (quality 0) and ``toxic``.
 2. Document i has n_i tokens (words ``[^\\x20\\x09-\\x0D]+``) and posteriors
    p_i; with rates x the expected tokens of domain d are sum_i n_i p_id x_i.
@@ -41,8 +41,10 @@ from .token_counts import lower_ascii
 DOMAINS = ("clean", "low", "toxic")
 SAMPLE = 8000
 BUCKET_BITS = 18
+PREFIX = 5
 DENSE = 6
-EPOCHS, BATCH, RATE, DECAY = 12, 64, 0.1, 1e-4
+MIN_DOCUMENTS, MIN_DEVIATION = 3, 4.0
+EPOCHS, BATCH, RATE, DECAY = 12, 64, 1.0, 1e-4
 STEPS = 60
 TOLERANCE = 1e-9
 SYMBOLS = b"#*$%&|<>"
@@ -50,7 +52,8 @@ ADDED = ("n_tokens", *(f"p_{d}" for d in DOMAINS))
 
 
 class Features:
-    """Hashed words present in a text, and dense features, for runs of texts."""
+    """Hashed words, and beginnings of words, present in a text, and dense
+    features, for runs of texts."""
 
     def __init__(self):
         word = np.frombuffer(word_table(), np.uint8)
@@ -65,13 +68,20 @@ class Features:
         """(buckets, entries before each text, dense features, tokens)."""
         raw, off = string_parts(texts)
         w = Words(texts, self.powers, self.inside, self.lower)
-        bucket = (w.key >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)
-        for a, b in zip(w.first[:-1].tolist(), w.first[1:].tolist(), strict=True):
+        long, prefix = w.prefixes(PREFIX)
+        owner = w.text_of_word()
+        n_long = sums_before(np.bincount(owner[long], minlength=len(w.first) - 1))
+        first = w.first + n_long  # words and prefixes of a text stand together
+        bucket = np.empty(first[-1], np.int64)
+        shift = np.uint64(64 - BUCKET_BITS)
+        bucket[np.arange(len(w)) + n_long[owner]] = (w.key >> shift).astype(np.int64)
+        bucket[np.arange(len(long)) + w.first[owner[long] + 1]] = (prefix >> shift).astype(np.int64)
+        for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True):
             bucket[a:b].sort()
         new = np.ones(len(bucket), bool)
         new[1:] = bucket[1:] != bucket[:-1]
-        new[w.first[:-1][w.first[:-1] < len(bucket)]] = True
-        before = sums_before(new.astype(np.int64))[w.first]
+        new[first[:-1][first[:-1] < len(bucket)]] = True
+        before = sums_before(new.astype(np.int64))[first]
         token = self.not_white[raw]
         begins = token.copy()
         begins[1:] &= ~token[:-1]
@@ -106,9 +116,28 @@ def logits(model: dict[str, np.ndarray], bucket: np.ndarray, before: np.ndarray,
     return out
 
 
+def telling(bucket: np.ndarray, before: np.ndarray, domain: np.ndarray) -> np.ndarray:
+    """For each bucket: does its number of documents in some domain differ from
+    what the bucket's total lets expect, by at least ``MIN_DEVIATION`` standard
+    deviations (and is it in ``MIN_DOCUMENTS`` documents at least)?"""
+    size = 1 << BUCKET_BITS
+    each = np.repeat(domain, np.diff(before))
+    total = np.bincount(bucket, minlength=size)
+    found = np.zeros(size, bool)
+    for d in range(len(DOMAINS)):
+        share = np.mean(domain == d) if len(domain) else 0.0
+        seen = np.bincount(bucket[each == d], minlength=size)
+        found |= np.abs(seen - total * share) >= MIN_DEVIATION * np.sqrt(total * share * (1 - share) + 1)
+    return found & (total >= MIN_DOCUMENTS)
+
+
 def train(bucket: np.ndarray, before: np.ndarray, dense: np.ndarray, domain: np.ndarray, seed: int = 5) -> dict[str, np.ndarray]:
-    """Softmax regression by Adagrad with weight decay."""
+    """Softmax regression by Adagrad with weight decay. Only words that are
+    significantly more or less frequent in some domain get a weight: the others
+    would only mark single texts."""
     k = len(DOMAINS)
+    kept = telling(bucket, before, domain)[bucket]
+    bucket, before = bucket[kept], sums_before(kept.astype(np.int64))[before]
     model = {"word": np.zeros((1 << BUCKET_BITS, k), np.float32), "dense": np.zeros((DENSE, k))}
     square = {"word": np.full((1 << BUCKET_BITS, k), 1e-2, np.float32), "dense": np.full((DENSE, k), 1e-2)}
     rng = np.random.default_rng(seed)
@@ -225,7 +254,7 @@ def fit_rates(rows: DataFrame, targets: np.ndarray) -> list[list[float]]:
     for _ in range(STEPS):
         residual = totals(rows, steps) - targets
         loss = float(residual @ inverse @ residual)
-        if loss <= TOLERANCE * max(1.0, targets.sum()) or last - loss <= 1e-6 * loss:
+        if loss <= TOLERANCE * max(1.0, targets.sum()) or last - loss <= 1e-4 * loss:
             break
         last = loss
         steps.append((inverse @ residual).tolist())
