@@ -33,6 +33,18 @@ def test_a_cluster_without_the_folder_is_an_error():
 
 
 def test_scratch_paths_lie_in_the_folder_and_differ(spark):
-    base = session.shared_dir(spark)
+    base = session.scratch_dir(spark)
+    assert base.startswith(session.shared_dir(spark) + "/")
     a, b = session.scratch_path(spark, "x"), session.scratch_path(spark, "x")
     assert a != b and a.startswith(base + "/x-")
+
+
+def test_scratch_can_be_removed(spark, monkeypatch):
+    monkeypatch.setattr(session, "scratch_dir", lambda s: session.shared_dir(s) + "/own-folder")
+    path = session.scratch_path(spark, "t")
+    spark.range(3).write.parquet(path)
+    assert spark.read.parquet(path).count() == 3
+    session.remove_scratch(spark)
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(path)
+    session.remove_scratch(spark)

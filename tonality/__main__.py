@@ -25,6 +25,7 @@ from pyspark.sql import SparkSession
 
 from . import jobs
 from .operators.scoring import Encoder, hashed_encoder
+from .session import remove_scratch
 
 
 def encoder_of(name: str) -> Encoder:
@@ -68,6 +69,13 @@ def parser() -> argparse.ArgumentParser:
 def main(argv=None) -> None:
     args = parser().parse_args(argv)
     spark = SparkSession.builder.appName(f"tonality-{args.stage}").getOrCreate()
+    try:
+        run_stage(spark, args)
+    finally:
+        remove_scratch(spark)
+
+
+def run_stage(spark: SparkSession, args: argparse.Namespace) -> None:
     encoder = encoder_of(args.encoder) if "encoder" in args else None
     if args.stage == "preprocess":
         jobs.preprocess_job(spark, args.csv, args.out, args.mode)

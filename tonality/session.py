@@ -75,7 +75,20 @@ def shared_dir(spark: SparkSession) -> str:
     return path.rstrip("/")
 
 
+def scratch_dir(spark: SparkSession) -> str:
+    """This application's own folder in the shared folder."""
+    return f"{shared_dir(spark)}/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new, unique sub-path of the shared folder (for sinks and stream checkpoints)."""
-    base = shared_dir(spark)
-    return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+    """A new, unique sub-path of the scratch folder (intermediate tables, sinks,
+    stream checkpoints)."""
+    return f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def remove_scratch(spark: SparkSession) -> None:
+    """Delete what this application wrote to its scratch folder. Call it when
+    no DataFrame made from intermediate tables is needed any more; the shared
+    folder may be any file system that Spark can reach."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(scratch_dir(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
