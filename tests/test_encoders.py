@@ -63,3 +63,21 @@ def test_schema_preview(spark):
     assert "doc_id" in tree and "quality" in tree
     ids = [r["doc_id"] for r in head.collect()]
     assert len(ids) == 5 and ids == sorted(ids)
+
+
+def test_arrow_batches_are_bounded_in_bytes(spark):
+    import pyarrow as pa
+    from pyspark.sql.functions import arrow_udf
+
+    @arrow_udf("int")
+    def rows_in_batch(x: pa.Array) -> pa.Array:
+        return pa.array([len(x)] * len(x), pa.int32())
+
+    df = spark.range(0, 40, numPartitions=1).select(F.sequence(F.lit(1), F.lit(250_000)).alias("a"))  # 1 MB a row
+    old = spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "4m")
+    try:
+        most = df.select(rows_in_batch("a").alias("n")).agg(F.max("n")).first()[0]
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", old)
+    assert most <= 6

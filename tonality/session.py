@@ -24,6 +24,8 @@ DEFAULT_CONF = {
     # Arrow batches for the few pandas UDFs.
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.execution.arrow.maxRecordsPerBatch": "10000",
+    # Long texts make large rows: batches are bounded in bytes too.
+    "spark.sql.execution.arrow.maxBytesPerBatch": "16m",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
@@ -63,16 +65,17 @@ def shared_dir(spark: SparkSession) -> str:
     the process ends).
     """
     sc = spark.sparkContext
-    path = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if sc.getCheckpointDir():
+        return sc.getCheckpointDir().rstrip("/")
+    path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
         if not is_local(sc.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         path = tempfile.mkdtemp(prefix="tonality-ckpt-")
         atexit.register(shutil.rmtree, path, ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", path)
-    if not sc.getCheckpointDir():
-        sc.setCheckpointDir(path)
-    return path.rstrip("/")
+    sc.setCheckpointDir(path)
+    return sc.getCheckpointDir().rstrip("/")
 
 
 def scratch_dir(spark: SparkSession) -> str:
