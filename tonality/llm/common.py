@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import shared_dir
+from ..session import scratch_path
 
 #: The white space that separates words: space and U+0009 to U+000D.
 WHITE = " \t\n\x0b\x0c\r"
@@ -19,13 +18,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once as Parquet in the shared folder and read it back.
+    """Write ``df`` once as Parquet in the shared folder and read it back
+    (``session.remove_scratch`` deletes all such tables of an application).
 
     Cuts the lineage, survives lost executors, and gives each later reader the
     same rows (also where a column is a generated row number).
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/llm-{name}-{uuid.uuid4().hex[:12]}"
+    path = scratch_path(spark, f"llm-{name}")
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

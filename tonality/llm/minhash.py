@@ -369,6 +369,7 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, text: str = "
     pairs = shared.where("doc_id > a").select("a", F.col("doc_id").alias("b")).distinct()
     links = _verified(pairs, low, texts, idf, threshold).select("a", "b")
     links = links.unionByName(_open_links(shared, components(links), texts, idf, threshold))
+    idf.destroy()  # all that used it is written
 
     # an id with several texts connects their classes
     several = member.groupBy("doc_id").agg(F.min("copy_of").alias("a"), F.max("copy_of").alias("last")).where("a < last")
