@@ -1,9 +1,11 @@
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 from tokenizers import Tokenizer
 
 from tonality.llm import packing as P
+from tonality.llm.kernels import Powers, Words, is_word_byte_table
 
 from .helpers import docs_of, edge_docs, empty_docs, sentence
 
@@ -26,6 +28,10 @@ def test_word_ids_equal_whole_text_ids(monkeypatch):
     texts = [*ODD, *(sentence(i, 100) for i in range(5)), "The END. of; Größe! naïve, été"]
     for t, expected in zip(texts * 2, whole(texts) * 2, strict=True):
         assert np.frombuffer(ids.of_text(t), ids.kind).tolist() == expected
+    for some in (texts, [t for t in texts if "<|" not in (t or "")], []):
+        arr = pa.array(some, pa.string())
+        numbers, before = ids.of_texts(arr, Words(arr, Powers(), is_word_byte_table()), 1)
+        assert [numbers[a:b].tolist() for a, b in zip(before[:-1], before[1:], strict=True)] == [[*x, 1] for x in whole(some)]
 
 
 def check(rows, docs, length):

@@ -65,22 +65,30 @@ class WordIds:
         self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.young: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
+        self.marks: dict[str, bytes] = {}
         self.plain = re.compile("([a-zß-öø-ÿ]+)([!-&(-/:-@[-`{-~]*)")
         self.alphabet = {b: c for c, b in byte_of_char().items()}
+        self.stops = {m: self._numbers([t.id for t in self.model.tokenize(m.decode())]) for m in (b".", b",", b"|")}
 
     def _encode(self, word: bytes) -> bytes:
         """Ids of a word whose A-Z are lower-cased."""
         if word.isalpha():  # ASCII letters
             ids = [t.id for t in self.model.tokenize(word.decode())]
+        elif word[-1:] in self.stops and (stem := word[:-1]).isalpha():
+            return self._learn(stem) + self.stops[word[-1:]]
         elif (match := self.plain.fullmatch(text := word.decode())) is None:
             ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+        elif punctuation := match[2]:
+            if punctuation not in self.marks:
+                if len(self.marks) >= CACHE:
+                    self.marks.clear()
+                self.marks[punctuation] = self._numbers([t.id for t in self.model.tokenize(punctuation)])
+            return self._learn(match[1].encode()) + self.marks[punctuation]
         else:
-            ids = []
-            for part in match.groups():
-                if part:
-                    if not part.isascii():
-                        part = part.encode().decode("latin-1").translate(self.alphabet)
-                    ids += [t.id for t in self.model.tokenize(part)]
+            ids = [t.id for t in self.model.tokenize(word.decode("latin-1").translate(self.alphabet))]
+        return self._numbers(ids)
+
+    def _numbers(self, ids: list[int]) -> bytes:
         return pack_numbers(f"<{len(ids)}{self.kind.char}", *ids)
 
     def _learn(self, word: bytes) -> bytes:
@@ -98,11 +106,27 @@ class WordIds:
         raw = (text or "").encode()
         if b"<|" in raw:  # perhaps a special token, which is matched as it is written
             return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
-        words = raw.lower().split()  # lower-cases ASCII and splits at ASCII white space only
-        ids = list(map(self.young.get, words))
-        if None in ids:
-            ids = [x if x is not None else self._learn(w) for x, w in zip(ids, words, strict=True)]
-        return b"".join(ids)
+        # lower-cases ASCII and splits at ASCII white space only
+        return b"".join(map(self._learn, raw.lower().split()))
+
+    def of_texts(self, texts: pa.Array, w: Words, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, ids before each text) of a run of texts with words ``w``, the
+        end id after each. Each distinct word of the run is looked up once."""
+        raw = w.raw.tobytes()
+        if b"<|" in raw:
+            each = [np.frombuffer(self.of_text(t), self.kind) for t in texts.to_pylist()]
+            ids, before = np.concatenate([*each, np.zeros(0, self.kind)]), sums_before(np.array([len(x) for x in each], np.int64))
+        else:
+            _, at, inverse = np.unique(w.key, return_index=True, return_inverse=True)
+            words = [raw[s:e].lower() for s, e in zip(w.start[at].tolist(), w.end[at].tolist(), strict=True)]
+            known = self.young.get
+            found = [known(x) or self._learn(x) for x in words]
+            size = np.array([len(x) for x in found], np.int64) // self.kind.itemsize
+            own, n = np.frombuffer(b"".join(found), self.kind), size[inverse]
+            so_far = sums_before(n)
+            place = np.arange(so_far[-1]) + np.repeat(sums_before(size)[:-1][inverse] - so_far[:-1], n)
+            ids, before = own[place], so_far[w.first]
+        return np.insert(ids, before[1:], end_id), before + np.arange(len(before))
 
 
 def projection() -> np.ndarray:
@@ -162,14 +186,14 @@ TOKEN_SCHEMA = "doc_id long, n long, curve long, ids binary"
 def _tokens(path: str, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, powers, inside, table = WordIds(path), Powers(), is_word_byte_table(), projection()
-        end = np.array([end_id], ids.kind).tobytes()
         for batch in batches:
             for part in slices(batch):
-                found = [ids.of_text(t) + end for t in part.column("text").to_pylist()]
-                keys = curve_keys(Words(part.column("text"), powers, inside), table)
-                n = [len(x) // ids.kind.itemsize for x in found]
+                w = Words(part.column("text"), powers, inside)
+                numbers, before = ids.of_texts(part.column("text"), w, end_id)
+                offsets = pa.py_buffer((before * ids.kind.itemsize).astype(np.int32))
+                found = pa.Array.from_buffers(pa.binary(), part.num_rows, [None, offsets, pa.py_buffer(numbers)])
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array(n, pa.int64()), pa.array(keys), pa.array(found, pa.binary())],
+                    [part.column("doc_id"), pa.array(np.diff(before)), pa.array(curve_keys(w, table)), found],
                     ["doc_id", "n", "curve", "ids"],
                 )
 
