@@ -81,3 +81,17 @@ def test_groups_of_all_sizes_equal_brute_force(spark, monkeypatch, k, dense):
     got, recall = run(spark, rows)
     assert recall >= N.RECALL
     assert got == brute(rows)
+
+
+def test_links_between_groups_that_no_list_joins(spark, monkeypatch):
+    """Every list is full of its own group, and no block holds both groups."""
+    first = N._first_lists
+    monkeypatch.setattr(N, "_first_lists", lambda *a: first(*a).where("(u < 100) = (v < 100)"))
+    r = np.random.default_rng(3)
+    one, across = np.linalg.qr(r.normal(size=(16, 2)))[0].T
+    two = 0.94 * one + math.sqrt(1 - 0.94**2) * across
+    rows = [(100 * g + i, vector(r, c, 0.01), 0) for g, c in enumerate((one, two)) for i in range(30)]
+    rows += [(200 + i, vector(r), 0) for i in range(50)]
+    expected = brute(rows)
+    assert any(n > 29 for _, n, _ in expected) and len({c for i, _, c in expected if i < 200}) == 1
+    assert run(spark, rows)[0] == expected

@@ -11,8 +11,10 @@ precision, is at least the threshold (0.93).
    compared with each other (in blocks of bounded size), so that neighbours of
    neighbours enter the lists; repeated while new links appear.
 4. Saturated lists: a node all of whose ``K`` neighbours are links may have
-   more. Its list is enlarged to all saturated nodes of its component, which
-   are counted block against block in numpy, without emitting their pairs.
+   more. Links between two saturated nodes are counted exactly, cell against
+   cell in numpy, without emitting their pairs: cells are parts of a component,
+   and only pairs of cells whose centers and radii rule out a link are left out.
+   Components that such links join become one.
 5. Audit: exact links of a bounded sample of nodes against all nodes; below
    ``RECALL``, more sort orders and rounds follow.
 
@@ -193,8 +195,8 @@ def _refine(graph: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
 
 def _audit(nodes: DataFrame, graph: DataFrame, threshold: float) -> float:
     """Share of the exact links of AUDIT sampled nodes that lists hold from
-    either side; links between two saturated nodes count by component later,
-    so only links with an unsaturated side are audited."""
+    either side; all links between two saturated nodes are counted later, so
+    only links with an unsaturated side are audited."""
     sample = nodes.orderBy(F.xxhash64("node"), "node").limit(AUDIT).select("node", "domain", "vec").toArrow()
     if not sample.num_rows:
         return 1.0
@@ -230,12 +232,46 @@ def _saturated(graph: DataFrame, threshold: float) -> DataFrame:
     return graph.where(F.col("cos") >= threshold).groupBy("u").agg(F.count("*").alias("n")).where(F.col("n") >= K).select(F.col("u").alias("node"))
 
 
+def _balls(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For each cell a center and the greatest angle of a member to it."""
+    for rows in key_runs(batches, ["domain", "cell"]):
+        x = _unit(rows.column("vec"))
+        center = x.sum(axis=0)
+        size = np.sqrt(center @ center)
+        center = center / size if size > 1e-9 else x[0]
+        radius = np.arccos(np.clip(x @ center, -1, 1)).max()
+        columns = [rows.column("domain")[:1].combine_chunks(), rows.column("cell")[:1].combine_chunks(), pa.array([center.tolist()], pa.list_(pa.float64())), pa.array([radius])]
+        yield pa.RecordBatch.from_arrays(columns, ["domain", "cell", "vec", "radius"])
+
+
+def _close_cells(threshold: float):
+    """Pairs of cells (a cell with itself included) whose members may be linked:
+    the angle of the centers is at most both radii and the threshold's angle."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in key_runs(batches, ["domain", "low", "high"]):
+            low, high, side = (rows.column(c).to_numpy() for c in ("low", "high", "own"))
+            cell, radius, x = rows.column("cell").to_numpy(), rows.column("radius").to_numpy(), _unit(rows.column("vec"))
+            a, b = np.flatnonzero(side == low[0]), np.flatnonzero(side == high[0])
+            angle = np.arccos(np.clip(x[a] @ x[b].T, -1, 1)) if len(a) and len(b) else np.zeros((len(a), len(b)))
+            near = angle <= radius[a][:, None] + radius[b][None, :] + np.arccos(threshold) + 1e-6
+            near |= cell[a][:, None] == cell[b][None, :]
+            i, j = np.nonzero(near)
+            one, two = cell[a][i], cell[b][j]
+            keep = one <= two if low[0] == high[0] else np.ones(len(one), bool)
+            one, two = np.minimum(one, two)[keep], np.maximum(one, two)[keep]
+            domain = pa.array([rows.column("domain")[0].as_py()] * len(one), pa.string())
+            yield pa.RecordBatch.from_arrays([domain, pa.array(one), pa.array(two)], ["domain", "low", "high"])
+
+    return run
+
+
 def _count_block(threshold: float):
-    """Links between two blocks of a dense component (or within one): for each
-    node the weight of its links and its smallest link."""
+    """Links between two cells (or within one): for each node the weight of its
+    links; for two cells, one of the links."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in key_runs(batches, ["component", "low", "high"]):
+        for rows in key_runs(batches, ["domain", "low", "high"]):
             low, high, side = (rows.column(c).to_numpy() for c in ("low", "high", "own"))
             node, weight, x = rows.column("node").to_numpy(), rows.column("weight").to_numpy(), _unit(rows.column("vec"))
             a, b = np.flatnonzero(side == low[0]), np.flatnonzero(side == high[0])
@@ -244,28 +280,47 @@ def _count_block(threshold: float):
                 if not len(p) or not len(q):
                     continue
                 hit = (x[p] @ x[q].T >= threshold) & (node[p][:, None] != node[q][None, :])
-                least = np.where(hit, node[q][None, :], np.iinfo(np.int64).max).min(axis=1)
                 some = hit.any(axis=1)
+                if not some.any():
+                    continue
                 n = hit @ weight[q]
+                bridge = np.zeros(int(some.sum()), np.int64)
+                bridge[0] = node[q][hit[some][0].argmax()]
+                none = np.arange(len(bridge)) > 0 if low[0] != high[0] else np.ones(len(bridge), bool)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(node[p][some]), pa.array(n[some].astype(np.int64)), pa.array(least[some])], ["node", "n_links", "least"]
+                    [pa.array(node[p][some]), pa.array(n[some].astype(np.int64)), pa.array(bridge, mask=none)], ["node", "n_links", "bridge"]
                 )
 
     return run
 
 
+def _met(rows: DataFrame, size: int, by: str) -> DataFrame:
+    """``rows`` dealt by hash to blocks of about ``size`` of a domain, each row
+    once for every pair of blocks (``low``, ``high``) that its own is part of."""
+    blocks = rows.groupBy("domain").agg(F.ceil(F.count("*") / F.lit(size)).cast("long").alias("blocks"))
+    dealt = rows.join(blocks, "domain").withColumn("own", F.pmod(F.xxhash64(by), F.col("blocks")))
+    met = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    met = met.withColumn("low", F.least("own", "other")).withColumn("high", F.greatest("own", "other")).drop("other", "blocks")
+    return met.repartition("domain", "low", "high").sortWithinPartitions("domain", "low", "high")
+
+
 def _dense(nodes: DataFrame, full: DataFrame, part: DataFrame, threshold: float) -> DataFrame:
-    """``node, n_links, least`` among the saturated nodes of each component."""
-    inside = materialise(nodes.join(full, "node").join(part, "node"), "saturated")
+    """``node, n_links, bridge`` (several rows a node) of all links between
+    saturated nodes. Each component's nodes are dealt to cells of about
+    ``DENSE_BLOCK``; all pairs of cells of a domain, of whatever components, are
+    counted unless their centers are too far apart to let any members link."""
+    inside = nodes.join(full, "node").join(part, "node")
     size = inside.groupBy("component").agg(F.ceil(F.count("*") / F.lit(DENSE_BLOCK)).cast("long").alias("blocks"))
-    own = F.pmod(F.xxhash64("node"), F.col("blocks"))
-    dealt = inside.join(size, "component").withColumn("own", own)
-    met = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).select(
-        "component", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "node", "weight", "vec"
-    )
-    grouped = met.repartition("component", "low", "high").sortWithinPartitions("component", "low", "high")
-    counted = grouped.mapInArrow(_count_block(threshold), "node long, n_links long, least long")
-    return counted.groupBy("node").agg(F.sum("n_links").alias("n_links"), F.min("least").alias("least"))
+    cell = F.xxhash64("component", F.pmod(F.xxhash64("node"), F.col("blocks")))
+    inside = materialise(inside.join(size, "component").select("domain", cell.alias("cell"), "node", "weight", "vec"), "saturated")
+    sorted_ = inside.select("domain", "cell", "vec").repartition("domain", "cell").sortWithinPartitions("domain", "cell")
+    balls = materialise(sorted_.mapInArrow(_balls, "domain string, cell long, vec array<double>, radius double"), "balls")
+    pairs = _met(balls, 2 * DENSE_BLOCK, "cell").mapInArrow(_close_cells(threshold), "domain string, low long, high long")
+    pairs = materialise(pairs, "cells")
+    sides = pairs.withColumn("own", F.col("low")).unionByName(pairs.where("low <> high").withColumn("own", F.col("high")))
+    met = sides.join(inside.withColumnRenamed("cell", "own"), ["domain", "own"])
+    grouped = met.repartition("domain", "low", "high").sortWithinPartitions("domain", "low", "high")
+    return grouped.mapInArrow(_count_block(threshold), "node long, n_links long, bridge long")
 
 
 def usable(vec: Column) -> Column:
@@ -319,7 +374,8 @@ def near_vectors(
     seen = materialise(seen.unionByName(links).select("u", "v").distinct(), "seen")
     full = materialise(_saturated(graph, threshold), "full")
     part = components(seen, "u", "v")
-    dense = materialise(_dense(nodes, full, part, threshold), "dense")
+    counted = materialise(_dense(nodes, full, part, threshold), "dense")
+    dense = counted.groupBy("node").agg(F.sum("n_links").alias("n_links"))
 
     # links with an unsaturated side come from the lists, from either side
     both = links.select("u", "v").unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct()
@@ -327,7 +383,8 @@ def near_vectors(
     both = both.join(full.select(F.col("node").alias("v"), F.lit(True).alias("sv")), "v", "left").where("su IS NULL OR sv IS NULL")
     listed = both.join(nodes.select(F.col("node").alias("v"), "weight"), "v").groupBy("u").agg(F.sum("weight").alias("n_listed"))
 
-    every = seen.unionByName(dense.select(F.col("node").alias("u"), F.col("least").alias("v")))
+    bridges = counted.where("bridge IS NOT NULL").select(F.col("node").alias("u"), F.col("bridge").alias("v"))
+    every = seen.unionByName(bridges)
     final = components(every, "u", "v")
     per_node = (
         nodes.select("node")
