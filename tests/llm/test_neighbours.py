@@ -95,3 +95,24 @@ def test_links_between_groups_that_no_list_joins(spark, monkeypatch):
     expected = brute(rows)
     assert any(n > 29 for _, n, _ in expected) and len({c for i, _, c in expected if i < 200}) == 1
     assert run(spark, rows)[0] == expected
+
+
+def test_sort_orders_grow_with_the_label():
+    assert N.sort_orders(100, 0.93) == N.TABLES < N.sort_orders(20_000, 0.93) < N.sort_orders(10**8, 0.93)
+
+
+def test_rare_links_are_found_without_any_sort_order(spark, monkeypatch):
+    """The sampled nodes have no link, and no order shows one."""
+    first = N._first_lists
+    monkeypatch.setattr(N, "_first_lists", lambda *a: first(*a).where(f"cos < {N.THRESHOLD}"))
+    monkeypatch.setattr(N, "_refine", lambda graph, nodes, threshold: first(nodes, 0, 1, threshold).where("false"))
+    monkeypatch.setattr(N, "AUDIT", 4)
+    monkeypatch.setattr(N, "AUDIT_MOST", 4, raising=False)
+    monkeypatch.setattr(N, "EXACT_BLOCK", 64, raising=False)
+    r = np.random.default_rng(4)
+    vectors = [vector(r) for _ in range(300)]
+    vectors += [vector(r, np.array(v), 0.1) for v in vectors[:3]]
+    rows = [(i, v, 0) for i, v in enumerate(vectors)]
+    expected = brute(rows)
+    assert sum(n for _, n, _ in expected) >= 6
+    assert run(spark, rows)[0] == expected

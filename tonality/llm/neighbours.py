@@ -15,8 +15,16 @@ precision, is at least the threshold (0.93).
    cell in numpy, without emitting their pairs: cells are parts of a component,
    and only pairs of cells whose centers and radii rule out a link are left out.
    Components that such links join become one.
-5. Audit: exact links of a bounded sample of nodes against all nodes; below
-   ``RECALL``, more sort orders and rounds follow.
+5. Audit: exact links of sampled nodes against all nodes; the sample grows
+   until it has seen ``AUDIT_LINKS`` links, holds ``AUDIT_MOST`` nodes, or is
+   the whole table. Below ``RECALL``, more sort orders and rounds follow.
+6. If recall stays below ``RECALL``, or links are so rare that the audit has
+   seen too few of them, all pairs are compared block against block.
+
+The number of sort orders grows with the largest label: an isolated pair at the
+threshold meets in one order with about ``bit ** log2(n / BLOCK)``, ``bit``
+being the chance that a random sign agrees, and orders are made until such a
+pair is missed by all of them with at most ``1 - RECALL``.
 
 Edges below the threshold are dropped at the end; kept edges are exact.
 
@@ -46,7 +54,9 @@ BLOCK = 64
 TABLES = 8
 ROUNDS = 4
 DENSE_BLOCK = 512
-AUDIT = 256
+AUDIT, AUDIT_MOST, AUDIT_LINKS = 256, 16384, 1000
+MORE = 4
+EXACT_BLOCK = 2048
 RECALL = 0.995
 EDGE_SCHEMA = "u long, v long, cos double"
 
@@ -193,14 +203,37 @@ def _refine(graph: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
     return grouped.mapInArrow(_local_join(threshold), EDGE_SCHEMA)
 
 
-def _audit(nodes: DataFrame, graph: DataFrame, threshold: float) -> float:
-    """Share of the exact links of AUDIT sampled nodes that lists hold from
-    either side; all links between two saturated nodes are counted later, so
-    only links with an unsaturated side are audited."""
-    sample = nodes.orderBy(F.xxhash64("node"), "node").limit(AUDIT).select("node", "domain", "vec").toArrow()
-    if not sample.num_rows:
-        return 1.0
-    shared = nodes.sparkSession.sparkContext.broadcast(sample)  # at most AUDIT vectors
+def sort_orders(n: int, threshold: float) -> int:
+    """Sort orders for a label of n nodes, a multiple of ``TABLES``."""
+    bit = 1 - np.arccos(threshold) / np.pi
+    meet = bit ** np.log2(max(n, 2 * BLOCK) / BLOCK)
+    return TABLES * int(np.ceil(np.log(1 - RECALL) / np.log(1 - meet) / TABLES))
+
+
+def _audit(nodes: DataFrame, graph: DataFrame, threshold: float, n_nodes: int) -> tuple[float, bool]:
+    """(recall, enough): the share of the exact links of sampled nodes that
+    lists hold from either side, and whether enough links or all nodes were
+    looked at; all links between two saturated nodes are counted later, so only
+    links with an unsaturated side are audited."""
+    size, full = AUDIT, _saturated(graph, threshold).withColumn("full", F.lit(True))
+    marked = nodes.select("node", "domain", "vec").join(full, "node", "left").withColumn("full", F.coalesce("full", F.lit(False)))
+    marked = materialise(marked, "marked")
+    held = graph.where(F.col("cos") >= threshold)
+    held = held.select("u", "v").unionByName(held.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct()
+    while True:
+        exact = _exact_links(marked, threshold, size)
+        row = exact.join(held.withColumn("held", F.lit(1)), ["u", "v"], "left").agg(F.count("*").alias("n"), F.count("held").alias("k")).first()
+        enough = row["n"] >= AUDIT_LINKS or size >= n_nodes
+        if enough or size >= AUDIT_MOST:
+            return (row["k"] / row["n"] if row["n"] else 1.0), enough
+        size = min(8 * size, AUDIT_MOST)
+
+
+def _exact_links(nodes: DataFrame, threshold: float, size: int) -> DataFrame:
+    """All links of the ``size`` nodes with the smallest hashes, but for those
+    between two nodes marked as ``full``."""
+    sample = nodes.orderBy(F.xxhash64("node"), "node").limit(size).toArrow()
+    shared = nodes.sparkSession.sparkContext.broadcast(sample)  # at most AUDIT_MOST vectors
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         queries = shared.value
@@ -211,21 +244,38 @@ def _audit(nodes: DataFrame, graph: DataFrame, threshold: float) -> float:
             own = np.array(batch.column("domain").to_pylist())
             for d in np.unique(own).tolist():
                 q, r = np.flatnonzero(domain == d), np.flatnonzero(own == d)
-                if len(q):
-                    some, rows = queries.take(pa.array(q)), batch.take(pa.array(r))
-                    gram = _unit(some.column("vec")) @ _unit(rows.column("vec")).T
-                    i, j = np.nonzero(gram >= threshold)
-                    a, b = some.column("node").to_numpy()[i], rows.column("node").to_numpy()[j]
+                rows = batch.take(pa.array(r))
+                x, node = _unit(rows.column("vec")) if len(q) else None, rows.column("node").to_numpy()
+                full = rows.column("full").to_numpy(zero_copy_only=False)
+                for at in range(0, len(q), 1024):
+                    some = queries.take(pa.array(q[at : at + 1024]))
+                    gram = _unit(some.column("vec")) @ x.T
+                    both = some.column("full").to_numpy()[:, None] & full[None, :]
+                    i, j = np.nonzero((gram >= threshold) & ~both)
+                    a, b = some.column("node").to_numpy()[i], node[j]
                     yield _edges(a[a != b], b[a != b], gram[i, j][a != b])
 
-    exact = nodes.select("node", "domain", "vec").mapInArrow(run, EDGE_SCHEMA)
-    full = _saturated(graph, threshold)
-    exact = exact.join(full.select(F.col("node").alias("u"), F.lit(True).alias("su")), "u", "left")
-    exact = exact.join(full.select(F.col("node").alias("v"), F.lit(True).alias("sv")), "v", "left").where("su IS NULL OR sv IS NULL")
-    held = graph.where(F.col("cos") >= threshold)
-    held = held.select("u", "v").unionByName(held.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct()
-    row = exact.join(held.withColumn("held", F.lit(1)), ["u", "v"], "left").agg(F.count("*").alias("n"), F.count("held").alias("k")).first()
-    return row["k"] / row["n"] if row["n"] else 1.0
+    return nodes.mapInArrow(run, EDGE_SCHEMA)
+
+
+def _all_links(nodes: DataFrame, threshold: float) -> DataFrame:
+    """Each node's best links (and its smallest) in every block of its domain."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in key_runs(batches, ["domain", "low", "high"]):
+            low, high, side = (rows.column(c).to_numpy() for c in ("low", "high", "own"))
+            node, x = rows.column("node").to_numpy(), _unit(rows.column("vec"))
+            a, b = np.flatnonzero(side == low[0]), np.flatnonzero(side == high[0])
+            if not len(a) or not len(b):
+                continue
+            hit = x[a] @ x[b].T >= threshold
+            linked = np.concatenate([a[hit.any(axis=1)], b[hit.any(axis=0)]]) if low[0] != high[0] else a[hit.sum(axis=1) > 1]
+            if len(linked) > 1:
+                y = x[linked]
+                u, v, cos = _best(node[linked], y @ y.T, K, threshold)
+                yield _edges(u[cos >= threshold], v[cos >= threshold], cos[cos >= threshold])
+
+    return _met(nodes.select("node", "domain", "vec"), EXACT_BLOCK, "node").mapInArrow(run, EDGE_SCHEMA)
 
 
 def _saturated(graph: DataFrame, threshold: float) -> DataFrame:
@@ -349,10 +399,12 @@ def near_vectors(
     nodes = keyed.join(member.where("id = node").select("node", "weight"), keyed["id"] == F.col("node"))
     nodes = materialise(nodes.select("node", "domain", "vec", "weight"), "nodes")
 
-    tables, recall = 0, 0.0
+    row = nodes.groupBy("domain").agg(F.count("*").alias("n")).agg(F.max("n").alias("most"), F.sum("n").alias("n")).first()
+    n_nodes, wanted = row["n"] or 0, sort_orders(row["most"] or 0, threshold)
+    tables, recall, enough = 0, 0.0, False
     seen = None  # links met on the way, for the components of saturated nodes
     graph = None
-    while recall < RECALL and tables < 8 * TABLES:
+    while tables < wanted or (recall < RECALL and tables < MORE * wanted):
         found = materialise(_first_lists(nodes, tables, TABLES, threshold), "first")
         tables += TABLES
         fresh = found.withColumn("fresh", F.lit(True))
@@ -360,6 +412,8 @@ def near_vectors(
         graph = materialise(_top(merged), "graph")
         star = found.where(F.col("cos") >= threshold)
         seen = star if seen is None else seen.unionByName(star)
+        if tables < wanted:
+            continue
         for _ in range(ROUNDS):
             before = graph.where(F.col("cos") >= threshold).count()
             found = materialise(_refine(graph, nodes, threshold), "refined")
@@ -368,7 +422,13 @@ def near_vectors(
             graph = materialise(_top(old.unionByName(found.withColumn("fresh", F.lit(True)))), "graph")
             if graph.where(F.col("cos") >= threshold).count() == before:
                 break
-        recall = _audit(nodes, graph, threshold)
+        recall, enough = _audit(nodes, graph, threshold, n_nodes)
+    if recall < RECALL or not enough:
+        found = materialise(_all_links(nodes, threshold), "all")
+        seen = seen.unionByName(found)
+        fresh = found.withColumn("fresh", F.lit(True))
+        graph = materialise(_top(graph.withColumn("fresh", F.lit(False)).unionByName(fresh)), "graph")
+        recall = 1.0  # every pair was compared
 
     links = graph.where(F.col("cos") >= threshold).select("u", "v", "cos")
     seen = materialise(seen.unionByName(links).select("u", "v").distinct(), "seen")
