@@ -103,3 +103,21 @@ def test_features_depend_on_the_text_alone():
         bucket, before, dense, tokens = f(pa.array([t]))
         assert (together[0][together[1][i] : together[1][i + 1]] == bucket).all()
         assert np.allclose(together[2][i], dense[0]) and together[3][i] == tokens[0] == len(t.encode().split())
+
+
+def test_thinning_keeps_clean_documents_with_some_toxic_mass(spark, monkeypatch):
+    """Every clean document has a small p_toxic: removing it is not the aim."""
+
+    def judged(docs, model, text="text"):
+        p = M.F.col("text").cast("double")
+        named = {"n_tokens": M.F.lit(10).cast("long"), "p_clean": 0.97 * (1 - p), "p_low": 0.03 * (1 - p), "p_toxic": p}
+        return docs.withColumns(named)
+
+    monkeypatch.setattr(M, "fit_classifier", lambda *a, **k: None)
+    monkeypatch.setattr(M, "with_posteriors", judged)
+    r = np.random.default_rng(6)
+    p = [*r.beta(0.5, 20, 900), *r.beta(20, 2, 100)]
+    docs = docs_of(spark, [(i, str(float(x))) for i, x in enumerate(p)])
+    kept = {x.doc_id for x in M.thin(docs, None, {"toxic": 0.0}).collect()}
+    assert sum(i in kept for i in range(900)) >= 0.99 * 900
+    assert sum(i in kept for i in range(900, 1000)) <= 5

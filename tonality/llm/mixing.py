@@ -225,24 +225,28 @@ def with_posteriors(docs: DataFrame, model: dict[str, np.ndarray], text: str = "
     return source.mapInArrow(run, schema).select("row.*", *ADDED)
 
 
-def rate(steps: list[list[float]]) -> Column:
-    """The rate of a row from its posteriors and the steps taken."""
+def rate(steps: list[list[float]], most: float = float("inf")) -> Column:
+    """The rate of a row (at most ``most``) from its posteriors and the steps taken."""
     x = F.lit(1.0)
     if not steps:
         return x
     taken = F.array(*[F.array(*[F.lit(float(v)) for v in s]) for s in steps])
     move = lambda s: sum((F.col(f"p_{d}") * s[i] for i, d in enumerate(DOMAINS)), F.lit(0.0))
-    return F.aggregate(taken, x, lambda a, s: F.greatest(F.lit(0.0), a - move(s)))
+    return F.aggregate(taken, x, lambda a, s: F.least(F.lit(most), F.greatest(F.lit(0.0), a - move(s))))
 
 
-def totals(rows: DataFrame, steps: list[list[float]]) -> np.ndarray:
+def totals(rows: DataFrame, steps: list[list[float]], most: float = float("inf")) -> np.ndarray:
     """Expected tokens of each domain at the rates of the steps."""
-    weight = F.col("n_tokens") * rate(steps)
+    return weighed(rows, rate(steps, most))
+
+
+def weighed(rows: DataFrame, rate_: Column) -> np.ndarray:
+    weight = F.col("n_tokens") * rate_
     row = rows.agg(*[F.coalesce(F.sum(weight * F.col(f"p_{d}")), F.lit(0.0)) for d in DOMAINS]).first()
     return np.array([float(v) for v in row])
 
 
-def fit_rates(rows: DataFrame, targets: np.ndarray) -> list[list[float]]:
+def fit_rates(rows: DataFrame, targets: np.ndarray, most: float = float("inf")) -> list[list[float]]:
     """Steps of projected-gradient least squares towards the target totals."""
     pairs = [(a, b) for a in range(len(DOMAINS)) for b in range(len(DOMAINS))]
     p = [F.col(f"p_{d}") for d in DOMAINS]
@@ -252,7 +256,7 @@ def fit_rates(rows: DataFrame, targets: np.ndarray) -> list[list[float]]:
     steps: list[list[float]] = []
     last = np.inf
     for _ in range(STEPS):
-        residual = totals(rows, steps) - targets
+        residual = totals(rows, steps, most) - targets
         loss = float(residual @ inverse @ residual)
         if loss <= TOLERANCE * max(1.0, targets.sum()) or last - loss <= 1e-4 * loss:
             break
@@ -271,6 +275,16 @@ def target_totals(rows: DataFrame, shares: Mapping[str, float] | None = None, ke
     return now * np.array([(keep or {}).get(d, 1.0) for d in DOMAINS])
 
 
+def kept_totals(rows: DataFrame, keep: Mapping[str, float]) -> np.ndarray:
+    """Expected tokens per domain if each row is kept at its top domain's share
+    ``keep`` (at most 1): what rows of other domains leak stays in the target."""
+    top = F.greatest(*[F.col(f"p_{d}") for d in DOMAINS])
+    share = F.lit(1.0)
+    for d in reversed(DOMAINS):
+        share = F.when(F.col(f"p_{d}") == top, F.lit(min(1.0, keep.get(d, 1.0)))).otherwise(share)
+    return weighed(rows, share)
+
+
 def copies(rate_: Column, *row: str) -> Column:
     """floor(rate + u), u uniform in [0, 1) from a hash of the row."""
     u = F.pmod(F.xxhash64(F.lit("copies"), *row), F.lit(1 << 40)) / F.lit(float(1 << 40))
@@ -288,12 +302,13 @@ def mix(docs: DataFrame, labels: DataFrame, shares: Mapping[str, float], text: s
 
 
 def thin(docs: DataFrame, labels: DataFrame, keep: Mapping[str, float], text: str = "text") -> DataFrame:
-    """The rows of ``docs`` drawn at rates fitted to the present domain totals
-    times ``keep``, each at most once; with the columns of ``docs``."""
+    """The rows of ``docs`` drawn at rates from 0 to 1, fitted to the domain
+    totals of rows kept at their top domain's ``keep``; each at most once, with
+    the columns of ``docs``."""
     model = fit_classifier(docs, labels, text=text)
     source = docs.select(F.struct("*").alias("whole"), F.col(text).alias("text"))
     judged = with_posteriors(source, model)
     rows = materialise(judged.select(*ADDED), "posteriors")
-    steps = fit_rates(rows, target_totals(rows, keep=keep))
-    drawn = judged.where(copies(rate(steps), "whole.doc_id", "text") >= 1)
+    steps = fit_rates(rows, kept_totals(rows, keep), most=1.0)
+    drawn = judged.where(copies(rate(steps, 1.0), "whole.doc_id", "text") >= 1)
     return drawn.select("whole.*")
