@@ -66,3 +66,22 @@ def test_expressions(expression, labels, permission):
 @pytest.mark.parametrize("expression", ["", "AND", "MIT OR", "(MIT", "MIT)", "MIT GPL-3.0", "MIT WITH", "(MIT) (MIT)", "MIT WITH (X)", "?"])
 def test_malformed_expressions(expression):
     assert L.evaluate(expression) is None
+
+
+@pytest.mark.parametrize(
+    "text, labels, permission, bad",
+    [
+        ("<!-- SPDX-License-Identifier: MIT -->", "mit", 1.0, []),
+        ("<!--SPDX-License-Identifier: MIT-->", "mit", 1.0, []),
+        ("SPDX-License-Identifier: MIT Copyright 2020 Someone", "mit", 1.0, []),
+        ('{"SPDX-License-Identifier": "GPL-3.0-only OR MIT", "x": 1}', "gpl,mit", 1.0, []),
+        ("(see 'SPDX-License-Identifier: (MIT OR ISC)')", "isc,mit", 1.0, []),
+        ("a SPDX-License-Identifier: MIT. b SPDX-License-Identifier: GPL-2.0 */ c", "gpl,mit", 0.3, []),
+        ("SPDX-License-Identifier: MIT OR -->", "", None, ["MIT OR -->"]),
+        ("SPDX-License-Identifier: (MIT x", "", None, ["(MIT x"]),
+    ],
+)
+def test_tags_with_something_after_the_expression(text, labels, permission, bad):
+    row = L.scan(text, L.build_automaton(), L.word_table())
+    assert (row["labels"], row["permission"], row["bad_expressions"]) == (labels, permission, bad)
+    assert row["score"] == (0.0 if bad else 1.0)

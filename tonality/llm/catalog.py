@@ -59,7 +59,7 @@ def op6_soft_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .licenses import scan_licenses
 
-    return scan_licenses(table(spark, sf_dir, "documents")).drop("bad_expressions")
+    return scan_licenses(table(spark, sf_dir, "documents"))
 
 
 def op8_attention_scores(spark: SparkSession, sf_dir: str) -> DataFrame:

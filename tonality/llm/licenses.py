@@ -4,7 +4,8 @@ licence expressions.
 A text is lower-cased (A-Z), and its words are ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+``.
 One automaton over the words, joined by single spaces, finds every phrase of
 ``PHRASES`` and ``NOTICES`` at all its places, overlapping ones included. Where
-it finds an SPDX tag, the expression after the tag is parsed: AND takes all
+it finds an SPDX tag, the expression after the tag is parsed, up to the first
+token that can't continue it: AND takes all
 licences (the least permission), OR offers a choice (the greatest), WITH adds
 an exception (copyleft becomes weak).
 
@@ -67,8 +68,9 @@ WITH_EXCEPTION = 0.6
 UNKNOWN = 0.5
 
 TAG = "spdx license identifier"
-_TAG = re.compile(r"SPDX-License-Identifier[ \t]*:[ \t]*([^\r\n]*)", re.IGNORECASE)
-_TOKEN = re.compile(r"[()]|[A-Za-z0-9.+:-]+")
+_TAG = re.compile(r"SPDX-License-Identifier[\"'`]?[ \t]*:[ \t]*[\"'`]?", re.IGNORECASE)
+_NEXT = re.compile(r"[ \t]*([()]|[A-Za-z0-9](?:[A-Za-z0-9.+:]|-(?!-))*(?<=[A-Za-z0-9+]))")
+_TOKEN = re.compile(r"[()]|[A-Za-z0-9](?:[A-Za-z0-9.+:]|-(?!-))*")
 _PRECEDENCE = {"or": 1, "and": 2, "with": 3}
 
 
@@ -141,6 +143,37 @@ def evaluate(expression: str) -> tuple[frozenset[str], float] | None:
     return output[0] if len(output) == 1 and not isinstance(output[0], str) else None
 
 
+def leading_expression(line: str) -> str:
+    """The longest beginning of a line that is a complete expression or, if what
+    it starts with is cut off in the middle, the whole line. It ends before the
+    first token that can't continue it, a comment's closer or a quote."""
+    at, depth, operand, exception = 0, 0, True, False
+    while m := _NEXT.match(line, at):
+        token = m[1].lower()
+        if operand:
+            if token in _PRECEDENCE or token == ")" or (token == "(" and exception):
+                break
+            depth += token == "("
+            operand = token == "("
+        elif token in _PRECEDENCE:
+            operand, exception = True, token == "with"
+        elif token == ")" and depth:
+            depth -= 1
+        else:
+            break
+        at = m.end()
+    return line if operand or depth else line[:at]
+
+
+def tagged_expressions(text: str) -> Iterator[str]:
+    """The expression after each tag; a line or the next tag ends it at last."""
+    tags = list(_TAG.finditer(text))
+    for i, tag in enumerate(tags):
+        to = tags[i + 1].start() if i + 1 < len(tags) else len(text)
+        line = re.compile(r"[^\r\n]*").match(text, tag.end(), to)[0]
+        yield leading_expression(line)
+
+
 def word_table() -> bytes:
     """Byte table: lower-case letters, digits and non-ASCII stay, A-Z fold, the
     rest becomes a space."""
@@ -192,7 +225,7 @@ def scan(text: str, automaton, table: bytes) -> dict:
     evidence = len([p for p in found if p != TAG])
     score = 1 - 0.5**evidence
     if TAG in found:
-        for expression in _TAG.findall(text):
+        for expression in tagged_expressions(text):
             value = evaluate(expression)
             if value is None:
                 row["bad_expressions"].append(expression)
