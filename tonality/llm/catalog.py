@@ -82,6 +82,29 @@ def op10_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return result.withColumn("kept", F.col("vec_id") == F.col("component_id"))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .conversations import damage, repair
+
+    return repair(damage(table(spark, sf_dir, "conversations")))
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .spelling import count_words, typo, variants
+
+    words = count_words(table(spark, sf_dir, "documents"), typo)
+    return variants(words.where("n >= 5"))
+
+
+def op13_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .bpe import byte_bpe_path, decode, encode
+
+    path = byte_bpe_path()
+    encoded = encode(table(spark, sf_dir, "documents").select("doc_id", "text"), path)
+    digest = F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256)
+    counted = encoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), digest.alias("ids_sha256"), "ids")
+    return decode(counted, path).select("doc_id", "n_tokens", "ids_sha256", F.sha2("text", 256).alias("decoded_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_dedup": op1_minhash_dedup,
     "op2_hilbert_packing": op2_hilbert_packing,
@@ -93,4 +116,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_attention_scores": op8_attention_scores,
     "op9_quality_ledger": op9_quality_ledger,
     "op10_nn_descent": op10_nn_descent,
+    "op11_conversation_repair": op11_conversation_repair,
+    "op12_spelling_variants": op12_spelling_variants,
+    "op13_bpe_round_trip": op13_bpe_round_trip,
 }
