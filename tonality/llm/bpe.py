@@ -8,11 +8,11 @@ Encoding, as the ``tokenizers`` library does without added special tokens:
    written to the shared folder.
 3. The ids come back by position. The most frequent words (at most ``HEAD``, of
    at most ``HEAD_BYTES`` bytes each) travel to the tasks as a table of bounded
-   size; a text becomes a stream of word numbers. Its other words are joined
-   with the word table by a shuffle, and return to their text with their
-   number in it. A last pass puts the ids in place.
+   size; a text becomes a compressed stream of word numbers. Its other words
+   are joined with the word table by a shuffle, and return to their text with
+   their place among its other words. A last pass puts the ids in place.
 
-Only the stream of numbers is shuffled, at about a third of the text's bytes.
+Only the stream of numbers is shuffled, at about a quarter of the text's bytes.
 It is joined by two 64-bit fingerprints of the text, not by a generated row
 number, so a task that runs again gives the same rows. Equal texts share their
 words' rows.
@@ -43,17 +43,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, StringType, StructField, StructType
 
 from ..operators.topk import most_frequent
 from .common import bounded_batches, materialise, without
-from .kernels import slices, sums_before
+from .kernels import SLICE_BYTES, slices, string_parts, sums_before
 from .token_counts import byte_of_char
 
-HEAD, HEAD_BYTES = 400_000, 64
+HEAD, HEAD_BYTES = 600_000, 64
 TABLE_WORDS = 300_000
+PLACE_BYTES = 4
 #: Ranges of code points whose letter, number and space classes
 #: the library's tables and Python's agree on.
 SAFE = ((0x0, 0x557), (0x900, 0xC5B), (0xD00, 0x208E), (0x20A0, 0xA7CD), (0xAC00, 0xD7FF), (0xE000, 0xFFFF))
@@ -135,6 +137,11 @@ def piece_bytes(path: str) -> list[bytes]:
     return out
 
 
+def id_kind(path: str) -> np.dtype:
+    """How ids are packed in the word table: two bytes where they suffice."""
+    return np.dtype("<u2" if len(piece_bytes(path)) <= 1 << 16 else "<u4")
+
+
 def _once(broadcast, make):
     """``make(value)`` kept with a broadcast value for the life of the worker."""
     value = broadcast.value
@@ -174,47 +181,48 @@ def _encode_rows(path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        model, own = Tokenizer.from_file(path).model, specials(path)
+        model, own, kind = Tokenizer.from_file(path).model, specials(path), id_kind(path)
         char = {b: c for c, b in byte_of_char().items()}
         for batch in batches:
             ids = []
             for word in batch.column("word").to_pylist():
                 if word in own:
-                    ids.append([own[word]])
+                    found = [own[word]]
                 else:
-                    ids.append([t.id for t in model.tokenize(word.encode().decode("latin-1").translate(char))])
-            yield pa.RecordBatch.from_arrays([batch.column("word"), batch.column("n"), pa.array(ids, pa.list_(pa.int32()))], ["word", "n", "ids"])
+                    found = [t.id for t in model.tokenize(word.encode().decode("latin-1").translate(char))]
+                ids.append(np.array(found, kind).tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column("word"), batch.column("n"), pa.array(ids, pa.binary())], ["word", "n", "ids"])
 
     return run
 
 
 def word_table(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
-    """``word, n, ids``: each distinct word of the texts with its ids, written once."""
+    """``word, n, ids``: each distinct word of the texts with its ids (packed as
+    ``id_kind`` says), written once."""
     spark = docs.sparkSession
     bounded_batches(spark)
     shared = spark.sparkContext.broadcast({"path": path})
     counted = docs.select(F.col(text).alias("text")).mapInArrow(_count_rows(shared), "word string, n long")
     words = counted.groupBy("word").agg(F.sum("n").alias("n"))
-    return materialise(words.mapInArrow(_encode_rows(path), "word string, n long, ids array<int>"), "words")
+    return materialise(words.mapInArrow(_encode_rows(path), "word string, n long, ids binary"), "words")
 
 
 # --- streams of word numbers ---------------------------------------------------
 
 
-def to_bytes(numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(bytes, bytes before each number): seven bits a byte, the low ones first."""
+def to_bytes(numbers: np.ndarray) -> np.ndarray:
+    """Numbers below 2**28, seven bits a byte, the low ones first."""
     v = numbers.astype(np.uint32)
-    size = 1 + (v >= 1 << 7).astype(np.int64) + (v >= 1 << 14) + (v >= 1 << 21) + (v >= 1 << 28)
+    size = 1 + (v >= 1 << 7).astype(np.int64) + (v >= 1 << 14) + (v >= 1 << 21)
     before = sums_before(size)
     out = np.zeros(before[-1], np.uint8)
     for k in range(int(size.max(initial=0))):
         has = np.flatnonzero(size > k)
         out[before[has] + k] = (v[has] >> np.uint32(7 * k)) & np.uint32(127) | ((size[has] > k + 1) * np.uint32(128)).astype(np.uint32)
-    return out, before
+    return out
 
 
-def from_bytes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(numbers, end of each number in the data)."""
+def from_bytes(data: np.ndarray) -> np.ndarray:
     stop = np.flatnonzero(data < 128) + 1
     start = np.concatenate(([0], stop[:-1])) if len(stop) else stop
     size = stop - start
@@ -222,42 +230,64 @@ def from_bytes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     for k in range(int(size.max(initial=0))):
         has = np.flatnonzero(size > k)
         out[has] |= (data[start[has] + k].astype(np.uint32) & np.uint32(127)) << np.uint32(7 * k)
-    return out, stop
+    return out
+
+
+TAIL = 0  # in a stream: the next number is 1 + the place of a word of the tail
+FIRST = 1  # the number of the most frequent word
 
 
 class Numbers(dict):
-    """Word -> its number among the frequent words; -1 for all others."""
+    """Word -> its number among the frequent words; TAIL for all others."""
 
     def __missing__(self, word: str) -> int:
-        return -1
+        return TAIL
 
 
-def _number_rows(shared):
-    """A text as a stream: 2 * number of a frequent word, or 2 * place + 1 in
-    the list ``tail`` of the text's other words."""
+def _reader(value: dict) -> tuple[Splitter, Numbers]:
+    words = value.pop("words")
+    return Splitter(value["path"]), Numbers(zip(words, range(FIRST, FIRST + len(words)), strict=True))
 
+
+def tail_of(words: set[str], known: dict) -> list[str]:
+    """A text's words that are not frequent, in order; places count from 0."""
+    return sorted(words.difference(known))
+
+
+def _tail_rows(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        split, number = _once(shared, lambda v: (Splitter(v["path"]), Numbers(zip(v["words"], range(len(v["words"])), strict=True)).__getitem__))
+        split, known = _once(shared, _reader)
         for batch in batches:
             for part in slices(batch):
-                each = [split(t) for t in part.column("text").to_pylist()]
-                first = sums_before(np.array([len(w) for w in each], np.int64))
-                values = np.array([n for w in each for n in map(number, w)], np.int64)
-                rare = np.flatnonzero(values < 0)
-                values *= 2
-                tails: list[list[str]] = []
-                for words, a, b in zip(each, np.searchsorted(rare, first[:-1]), np.searchsorted(rare, first[1:]), strict=True):
-                    own: dict[str, int] = {}
-                    begin = int(first[len(tails)])
-                    for at in rare[a:b].tolist():
-                        values[at] = 2 * own.setdefault(words[at - begin], len(own)) + 1
-                    tails.append(list(own))
-                data, before = to_bytes(values)
-                offsets = pa.py_buffer(before[first].astype(np.int32))
-                stream = pa.Array.from_buffers(pa.binary(), part.num_rows, [None, offsets, pa.py_buffer(data)])
+                tails = [tail_of(set(split(t)), known) for t in part.column("text").to_pylist()]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("rest"), part.column("key1"), part.column("key2"), stream, pa.array(tails, pa.list_(pa.string()))],
-                    ["rest", "key1", "key2", "stream", "tail"],
+                    [part.column("key1"), part.column("key2"), pa.array(tails, pa.list_(pa.string()))], ["key1", "key2", "tail"]
+                )
+
+    return run
+
+
+def _stream_rows(shared):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from zstandard import ZstdCompressor
+
+        split, known = _once(shared, _reader)
+        number, compress = known.__getitem__, ZstdCompressor(level=3).compress
+        for batch in batches:
+            for part in slices(batch):
+                streams = []
+                for text in part.column("text").to_pylist():
+                    words = split(text)
+                    values = np.array(list(map(number, words)), np.uint32)
+                    rare = np.flatnonzero(values == TAIL)
+                    if len(rare):
+                        own = [words[i] for i in rare.tolist()]
+                        place = {w: i + 1 for i, w in enumerate(sorted(set(own)))}
+                        values = np.insert(values, rare + 1, [place[w] for w in own])
+                    streams.append(compress(to_bytes(values).tobytes()))
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("rest"), part.column("key1"), part.column("key2"), pa.array(streams, pa.binary())],
+                    ["rest", "key1", "key2", "stream"],
                 )
 
     return run
@@ -265,39 +295,42 @@ def _number_rows(shared):
 
 def _fill_rows(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        head = shared.value
+        from zstandard import ZstdDecompressor
+
+        head, before = shared.value["ids"], shared.value["before"]
+        unit, unpack = head.dtype.itemsize, ZstdDecompressor().decompress
+        skip = PLACE_BYTES // unit
         for batch in batches:
-            for part in slices(batch, "stream"):
-                data = part.column("stream")
-                raw = b"".join(data.to_pylist())
-                numbers, stop = from_bytes(np.frombuffer(raw, np.uint8))
-                size = np.array([len(x) for x in data.to_pylist()], np.int64)
-                first = np.searchsorted(stop, sums_before(size)[:-1], "right")
-                first = np.append(first, len(numbers))
+            for part in slices(batch, "stream", SLICE_BYTES // 4):
+                data = [np.frombuffer(unpack(x), np.uint8) for x in part.column("stream").to_pylist()]
+                each = [from_bytes(x) for x in data]
+                numbers = np.concatenate([*each, np.zeros(0, np.uint32)])
+                row = np.repeat(np.arange(part.num_rows), [len(x) for x in each])
                 found = part.column("found")
-                words = found.flatten()
-                own = words.field("ids") if len(words) else pa.array([], pa.list_(pa.int32()))
-                n_own = np.diff(own.offsets.to_numpy())
-                ids = np.concatenate([head["ids"], own.flatten().to_numpy()])
-                begin = np.concatenate([head["before"][:-1], len(head["ids"]) + sums_before(n_own.astype(np.int64))[:-1]])
-                length = np.concatenate([np.diff(head["before"]), n_own])
-                per_row = np.array([0 if n is None else n for n in _lengths(found)], np.int64)
-                tail_at = len(head["before"]) - 1 + sums_before(per_row)[:-1]
-                row = np.repeat(np.arange(part.num_rows), np.diff(first))
-                word = np.where(numbers & 1, tail_at[row] + (numbers >> 1), numbers >> 1).astype(np.int64)
+                raw, offsets = string_parts(found.flatten())
+                own = np.frombuffer(raw.tobytes(), head.dtype)
+                pool = np.concatenate([head, own])
+                begin = np.concatenate([before[:-1], len(head) + offsets[:-1] // unit + skip])
+                length = np.concatenate([np.diff(before), np.diff(offsets) // unit - skip])
+                tail_at = len(before) - 1 + sums_before(_lengths(found))[:-1]
+                # a TAIL and the place after it are one word
+                mark = np.flatnonzero(numbers == TAIL)
+                word = numbers.astype(np.int64) - FIRST
+                word[mark + 1] = tail_at[row[mark]] + word[mark + 1]
+                word, row = np.delete(word, mark), np.delete(row, mark)
                 n = length[word]
                 so_far = sums_before(n)
                 place = np.arange(so_far[-1]) + np.repeat(begin[word] - so_far[:-1], n)
-                out = pa.ListArray.from_arrays(pa.array(so_far[first].astype(np.int32)), pa.array(ids[place]))
+                first = so_far[np.searchsorted(row, np.arange(part.num_rows + 1))]
+                out = pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), pa.array(pool[place].astype(np.int32)))
                 yield pa.RecordBatch.from_arrays([part.column("rest"), out], ["rest", "ids"])
 
     return run
 
 
-def _lengths(lists: pa.Array) -> list[int | None]:
-    import pyarrow.compute as pc
-
-    return pc.list_value_length(lists).to_pylist()
+def _lengths(lists: pa.Array) -> np.ndarray:
+    """Lengths of the lists of an array; a null has none."""
+    return pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False).astype(np.int64)
 
 
 def encode(docs: DataFrame, path: str, text: str = "text", head: int = HEAD) -> DataFrame:
@@ -305,28 +338,27 @@ def encode(docs: DataFrame, path: str, text: str = "text", head: int = HEAD) ->
     spark = docs.sparkSession
     words = word_table(docs, path, text)
     short = words.where(F.octet_length("word") <= HEAD_BYTES)
-    known = most_frequent(short, "n", head).select("word", "ids").toArrow().combine_chunks()  # at most ``head`` rows of bounded words
-    ids = known.column("ids").combine_chunks() if known.num_rows else pa.array([], pa.list_(pa.int32()))
-    names = known.column("word").to_pylist()
-    numbers = spark.sparkContext.broadcast({"path": path, "words": names})
-    places = spark.sparkContext.broadcast(
-        {"ids": ids.flatten().to_numpy().astype(np.int32), "before": (ids.offsets.to_numpy() - ids.offsets[0].as_py()).astype(np.int64)}
-    )
+    known = most_frequent(short, "n", head).toArrow().sort_by([("n", "descending"), ("word", "ascending")])  # at most ``head`` rows of bounded words
+    packed, offsets = string_parts(known.column("ids").combine_chunks() if known.num_rows else pa.array([], pa.binary()))
+    kind = id_kind(path)
+    numbers = spark.sparkContext.broadcast({"path": path, "words": known.column("word").to_pylist()})
+    places = spark.sparkContext.broadcast({"ids": np.frombuffer(packed.tobytes(), kind), "before": offsets // kind.itemsize})
 
     rest = [c for c in without(docs, "ids").columns if c != text]
     t = F.coalesce(F.col(text), F.lit(""))
     source = docs.select(
         (F.struct(*rest) if rest else F.lit(0)).alias("rest"), t.alias("text"), F.xxhash64(t).alias("key1"), F.xxhash64(F.lit(1), t).alias("key2")
     )
-    fields = [StructField("key1", LongType()), StructField("key2", LongType()), StructField("stream", BinaryType())]
-    schema = StructType([source.schema["rest"], *fields, StructField("tail", ArrayType(StringType()))])
-    streams = source.mapInArrow(_number_rows(numbers), schema)
-
-    rare = streams.select("key1", "key2", F.posexplode("tail").alias("place", "word"))
-    looked = rare.join(words.select("word", "ids"), "word")
-    # equal texts give equal rows, which the set keeps once
-    found = looked.groupBy("key1", "key2").agg(F.sort_array(F.collect_set(F.struct("place", "ids"))).alias("found"))
-    both = streams.drop("tail").join(found.hint("merge"), ["key1", "key2"], "left")
+    keys = [StructField("key1", LongType()), StructField("key2", LongType())]
+    tails = source.select("key1", "key2", "text").mapInArrow(_tail_rows(numbers), StructType([*keys, StructField("tail", ArrayType(StringType()))]))
+    rare = tails.select("key1", "key2", F.posexplode("tail").alias("place", "word"))
+    # the place, as bytes that sort like it, and the ids: equal texts give equal values, which the set keeps once
+    placed = F.concat(F.unhex(F.lpad(F.hex("place"), 2 * PLACE_BYTES, "0")), F.col("ids"))
+    looked = rare.join(words.select("word", "ids"), "word").select("key1", "key2", placed.alias("placed"))
+    found = looked.groupBy("key1", "key2").agg(F.sort_array(F.collect_set("placed")).alias("found"))
+
+    streams = source.mapInArrow(_stream_rows(numbers), StructType([source.schema["rest"], *keys, StructField("stream", BinaryType())]))
+    both = streams.join(found.hint("merge"), ["key1", "key2"], "left")
     out = StructType([source.schema["rest"], StructField("ids", ArrayType(IntegerType()))])
     return both.select("rest", "stream", "found").mapInArrow(_fill_rows(places), out).select(*(["rest.*"] if rest else []), "ids")
 
@@ -343,8 +375,7 @@ def _decode_rows(shared, text: str):
         for batch in batches:
             lists = batch.column("ids")
             ids = lists.flatten()
-            per_row = np.array([n or 0 for n in _lengths(lists)], np.int64)
-            first = sums_before(per_row)
+            first = sums_before(_lengths(lists))
             ids = ids.fill_null(-1).to_numpy()
             known = (ids >= 0) & (ids < len(length))
             at = np.where(known, ids, 0)
