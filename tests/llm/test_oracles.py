@@ -12,7 +12,7 @@ SF = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("name", sorted(ORACLE_SQL))
 def test_query_equals_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "embeddings", "labels", "benchmark"):
+    for t in ("documents", "embeddings", "labels", "benchmark", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     df = QUERIES[name](spark, SF)
     found = con.execute(ORACLE_SQL[name])

@@ -251,7 +251,7 @@ def _reader(value: dict) -> tuple[Splitter, Numbers]:
 
 def tail_of(words: set[str], known: dict) -> list[str]:
     """A text's words that are not frequent, in order; places count from 0."""
-    return sorted(words.difference(known))
+    return sorted(w for w in words if w not in known)
 
 
 def _tail_rows(shared):
