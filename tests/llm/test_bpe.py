@@ -62,8 +62,10 @@ def test_decode_takes_any_ids(spark):
 
 def test_numbers_as_bytes():
     x = np.array([0, 1, 127, 128, 16383, 16384, (1 << 21) - 1, 1 << 21, (1 << 28) - 1], np.uint32)
-    assert bpe.from_bytes(bpe.to_bytes(x)).tolist() == x.tolist()
-    assert bpe.from_bytes(bpe.to_bytes(x[:0])).tolist() == []
+    data, before = bpe.to_bytes(x)
+    numbers, ends = bpe.from_bytes(data)
+    assert numbers.tolist() == x.tolist() and ends.tolist() == before[1:].tolist()
+    assert bpe.from_bytes(bpe.to_bytes(x[:0])[0])[0].tolist() == []
 
 
 def test_edge_rows_and_an_empty_table(spark):

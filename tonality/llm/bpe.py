@@ -210,8 +210,9 @@ def word_table(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
 # --- streams of word numbers ---------------------------------------------------
 
 
-def to_bytes(numbers: np.ndarray) -> np.ndarray:
-    """Numbers below 2**28, seven bits a byte, the low ones first."""
+def to_bytes(numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(bytes, bytes before each number) of numbers below 2**28: seven bits a
+    byte, the low ones first."""
     v = numbers.astype(np.uint32)
     size = 1 + (v >= 1 << 7).astype(np.int64) + (v >= 1 << 14) + (v >= 1 << 21)
     before = sums_before(size)
@@ -219,10 +220,11 @@ def to_bytes(numbers: np.ndarray) -> np.ndarray:
     for k in range(int(size.max(initial=0))):
         has = np.flatnonzero(size > k)
         out[before[has] + k] = (v[has] >> np.uint32(7 * k)) & np.uint32(127) | ((size[has] > k + 1) * np.uint32(128)).astype(np.uint32)
-    return out
+    return out, before
 
 
-def from_bytes(data: np.ndarray) -> np.ndarray:
+def from_bytes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(numbers, end of each in the data)."""
     stop = np.flatnonzero(data < 128) + 1
     start = np.concatenate(([0], stop[:-1])) if len(stop) else stop
     size = stop - start
@@ -230,7 +232,7 @@ def from_bytes(data: np.ndarray) -> np.ndarray:
     for k in range(int(size.max(initial=0))):
         has = np.flatnonzero(size > k)
         out[has] |= (data[start[has] + k].astype(np.uint32) & np.uint32(127)) << np.uint32(7 * k)
-    return out
+    return out, stop
 
 
 TAIL = 0  # in a stream: the next number is 1 + the place of a word of the tail
@@ -275,16 +277,20 @@ def _stream_rows(shared):
         number, compress = known.__getitem__, ZstdCompressor(level=3).compress
         for batch in batches:
             for part in slices(batch):
-                streams = []
-                for text in part.column("text").to_pylist():
-                    words = split(text)
-                    values = np.array(list(map(number, words)), np.uint32)
-                    rare = np.flatnonzero(values == TAIL)
-                    if len(rare):
-                        own = [words[i] for i in rare.tolist()]
-                        place = {w: i + 1 for i, w in enumerate(sorted(set(own)))}
-                        values = np.insert(values, rare + 1, [place[w] for w in own])
-                    streams.append(compress(to_bytes(values).tobytes()))
+                each = [split(t) for t in part.column("text").to_pylist()]
+                first = sums_before(np.array([len(w) for w in each], np.int64))
+                values = np.array([n for words in each for n in map(number, words)], np.uint32)
+                rare = np.flatnonzero(values == TAIL)
+                at = np.searchsorted(rare, first)
+                places: list[int] = []
+                for words, begin, a, b in zip(each, first.tolist(), at[:-1].tolist(), at[1:].tolist(), strict=False):
+                    own = [words[i - begin] for i in rare[a:b].tolist()]
+                    place = {w: i + 1 for i, w in enumerate(sorted(set(own)))}
+                    places += [place[w] for w in own]
+                values = np.insert(values, rare + 1, places)
+                data, before = to_bytes(values)
+                raw, cut = data.tobytes(), before[first + at].tolist()
+                streams = [compress(raw[a:b]) for a, b in zip(cut[:-1], cut[1:], strict=True)]
                 yield pa.RecordBatch.from_arrays(
                     [part.column("rest"), part.column("key1"), part.column("key2"), pa.array(streams, pa.binary())],
                     ["rest", "key1", "key2", "stream"],
@@ -302,10 +308,10 @@ def _fill_rows(shared):
         skip = PLACE_BYTES // unit
         for batch in batches:
             for part in slices(batch, "stream", SLICE_BYTES // 4):
-                data = [np.frombuffer(unpack(x), np.uint8) for x in part.column("stream").to_pylist()]
-                each = [from_bytes(x) for x in data]
-                numbers = np.concatenate([*each, np.zeros(0, np.uint32)])
-                row = np.repeat(np.arange(part.num_rows), [len(x) for x in each])
+                data = [unpack(x) for x in part.column("stream").to_pylist()]
+                numbers, stop = from_bytes(np.frombuffer(b"".join(data), np.uint8))
+                ends = np.searchsorted(stop, np.cumsum([len(x) for x in data]), "right")
+                row = np.repeat(np.arange(part.num_rows), np.diff(ends, prepend=0))
                 found = part.column("found")
                 raw, offsets = string_parts(found.flatten())
                 own = np.frombuffer(raw.tobytes(), head.dtype)
@@ -381,10 +387,9 @@ def _decode_rows(shared, text: str):
             at = np.where(known, ids, 0)
             n = np.where(known, length[at], 0)
             so_far = sums_before(n)
-            out = []
-            for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True):
-                place = np.arange(so_far[b] - so_far[a]) + np.repeat(before[at[a:b]] - (so_far[a:b] - so_far[a]), n[a:b])
-                out.append(table[place].tobytes().decode("utf-8", "replace"))
+            raw = table[np.arange(so_far[-1]) + np.repeat(before[at] - so_far[:-1], n)].tobytes()
+            cut = so_far[first].tolist()
+            out = [raw[a:b].decode("utf-8", "replace") for a, b in zip(cut[:-1], cut[1:], strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column("rest"), pa.array(out, pa.string())], ["rest", text])
 
     return run

@@ -171,6 +171,12 @@ def _identified(docs: DataFrame, text: str) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(t).alias("copy"), t.alias("text"))
 
 
+def _once_each(rows: DataFrame, columns: list[str]) -> DataFrame:
+    """Rows equal in all columns once: repeated rows of the input give the same
+    seeds and windows, and must not meet each other in a list."""
+    return rows.groupBy(*columns).agg(F.lit(1).alias("one")).select(*columns)
+
+
 def repeats(docs: DataFrame, min_words: int = MIN_WORDS, text: str = "text") -> DataFrame:
     """``doc_id, copy, start, n``: runs of n windows, from window ``start`` on,
     that also start in a document with a smaller id."""
