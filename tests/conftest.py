@@ -17,7 +17,7 @@ def spark():
     s = build_session(master="local[*]", shuffle_partitions=8, app_name="tonality-tests")
     # tests own their shared folder; a cluster names it in spark.checkpoint.dir
     if not s.conf.get("spark.checkpoint.dir", None):
-        s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="tonality-test-ckpt-"))
+        s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tonality-test-ckpt-"))
     yield s
     s.stop()
 

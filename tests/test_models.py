@@ -71,3 +71,22 @@ def test_covariance_equals_numpy(spark):
     cov = np.cov(data.T)
     assert set(got) == {(i, j) for i in range(4) for j in range(i, 4)}
     assert all(abs(v - cov[k]) < 1e-12 for k, v in got.items())
+
+
+def test_covariance_with_nulls_lengths_and_large_means(spark):
+    import numpy as np
+
+    from tonality.operators.projection import covariance
+
+    rng = np.random.default_rng(4)
+    x = rng.normal(1e6, 1, (500, 5))
+    rows = [[None if rng.random() < 0.1 else float(v) for v in row][: 5 - (i % 7 == 0)] for i, row in enumerate(x)] + [None, []]
+    df = spark.createDataFrame([(r,) for r in rows], "v array<double>").repartition(6)
+    got = {(r["i"], r["j"]): r["cov"] for r in covariance(df, "v").collect()}
+    full = np.array([[np.nan if r is None or k >= len(r) or r[k] is None else r[k] for k in range(5)] for r in rows])
+    for i in range(5):
+        for j in range(i, 5):
+            both = ~np.isnan(full[:, i]) & ~np.isnan(full[:, j])
+            assert abs(got[i, j] - np.cov(full[both, i], full[both, j])[0, 1]) < 1e-6
+    assert covariance(df.limit(0), "v").collect() == []
+    assert [r["cov"] for r in covariance(df.where("size(v) = 5").limit(1), "v").collect()] in ([None] * 15, [None] * 10, [None] * 6)

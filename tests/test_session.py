@@ -1,9 +1,50 @@
 """The shared folder: named by the launcher, made here only in local mode."""
 
+import os
+import subprocess
+import sys
+import tempfile
+
+import duckdb
 import pytest
 
 from tonality import session
 
+from conftest import SF001
+
+PLAIN = """
+import sys
+from tonality import session
+from tonality.plans.catalog import QUERIES
+spark = session.build_session("local[2]", shuffle_partitions=2)
+assert not spark.conf.get("spark.checkpoint.dir", None)
+print("rows", QUERIES["class_slice"](spark, sys.argv[1]).count())
+session.remove_scratch(spark)
+"""
+
+
+def plain_run(*args):
+    """A fresh process whose Spark configuration folder is empty."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = os.environ | {"SPARK_CONF_DIR": tempfile.mkdtemp(prefix="tonality-conf-"), "PYTHONPATH": root}
+    env.pop("PYSPARK_SUBMIT_ARGS", None)
+    done = subprocess.run([sys.executable, *args], capture_output=True, text=True, env=env, timeout=300)
+    assert done.returncode == 0, done.stderr[-3000:]
+    return done.stdout
+
+
+def test_a_query_runs_without_the_setting():
+    labels, docs = (duckdb.sql(f"SELECT doc_id FROM '{SF001}/{t}.parquet'").fetchall() for t in ("labels", "documents"))
+    expected = sum(x in set(docs) for x in labels)
+    assert f"rows {expected}\n" in plain_run("-c", PLAIN, SF001)
+
+
+def test_a_stage_runs_without_the_setting(tmp_dir):
+    with open(f"{tmp_dir}/c.csv", "w", encoding="utf-8") as f:
+        f.write("Comment,Sentiment\ngood film,positive\nbad film,negative\n")
+    plain_run("-m", "tonality", "preprocess", f"{tmp_dir}/c.csv", f"{tmp_dir}/out", "--mode", "strict")
+    assert os.path.exists(f"{tmp_dir}/out/_SUCCESS")
+
 
 @pytest.mark.parametrize("master, local", [("local", True), ("local[*]", True), ("local[4,2]", True), ("local-cluster[2,1,1024]", False),
                                            ("yarn", False), ("spark://host:7077", False), ("k8s://https://x", False)])

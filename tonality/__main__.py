@@ -1,13 +1,13 @@
 """Command line: python -m tonality <stage> ...
 
-  preprocess CSV OUT [--mode compat|strict]
+  preprocess CSV OUT [--mode compat|strict|splits]
   train PROCESSED MODEL_DIR TEST_OUT [--encoder E] [--split-by row_id|content_id]
   grid PROCESSED OUT_DIR [--encoder E]
   predict MODEL_DIR TEST PREDICTIONS_OUT [--kind logreg|forest]
   score MODEL_DIR TEXTS OUT [--kind K] [--text-column C] [--encoder E]
   stream MODEL_DIR DIRECTORY OUT CHECKPOINT [--kind K] [--encoder E]
   report PREDICTIONS OUT_DIR
-  all CSV WORK_DIR [--mode compat|strict]
+  all CSV WORK_DIR [--mode compat|strict|splits]
 
 An encoder is ``hashed`` (the default), ``hashed:<dim>``, or ``module:function``:
 a function without arguments that returns an encoder, i.e. a function from the
@@ -46,7 +46,7 @@ def parser() -> argparse.ArgumentParser:
         for place in places:
             p.add_argument(place)
         if mode:
-            p.add_argument("--mode", default="compat", choices=["compat", "strict"])
+            p.add_argument("--mode", default="compat", choices=["compat", "strict", "splits"])
         if kind:
             p.add_argument("--kind", default="logreg", choices=["logreg", "forest"])
         if encoder:

@@ -31,7 +31,7 @@ def preprocess_job(spark: SparkSession, csv_path: str, out_path: str, mode: str
     stored, different for every row, and ``content_id``, a hash of the comment
     and its sentiment that copies share.
 
-    In strict mode the rows are written once, partitioned by whether they
+    In the modes strict and splits the rows are written once, partitioned by whether they
     parse: good rows are the ones under ``rejected=false``, which is what this
     returns and the next stage reads; the others stay beside them, with the
     record as it was, instead of becoming label-0 rows.
@@ -39,7 +39,7 @@ def preprocess_job(spark: SparkSession, csv_path: str, out_path: str, mode: str
     raw = read_comments_csv(spark, csv_path, mode)
     content = F.xxhash64(F.coalesce("Comment", F.lit("")), F.coalesce("Sentiment", F.lit("")))
     processed = preprocess(raw.withColumns({ROW_ID: F.monotonically_increasing_id(), CONTENT_ID: content}))
-    if mode == "strict":
+    if mode != "compat":
         flagged = processed.withColumn("rejected", F.col(CORRUPT_COLUMN).isNotNull())
         write_parquet(flagged, out_path, ["rejected"])
     else:

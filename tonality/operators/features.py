@@ -25,6 +25,8 @@ from pyspark.sql.functions import arrow_udf
 
 from ..functions import kernels
 from ..functions.text import let, ml_tokens
+from ..sources.sinks import cut_lineage
+from .topk import top_rows
 
 # Ship the kernel with the UDF instead of requiring this package on workers.
 cloudpickle.register_pickle_by_value(kernels)
@@ -88,14 +90,16 @@ def vocabulary(tf: DataFrame, vocab_size: int = DEFAULT_VOCAB_SIZE, min_df: int
     """Top ``vocab_size`` terms by corpus count (ties by term): term, n, df, rank.
 
     ``rank`` is 0-based, like the index ``CountVectorizer`` gives a term. The
-    rank window sees only the ``vocab_size`` rows left after the top-k.
+    term statistics are written once; histograms of the counts then find the
+    last rank (``topk``), so no task merges the best terms of all partitions.
+    The rank window sees only the ``vocab_size`` rows that are left.
     """
     stats = tf.groupBy("term").agg(
         F.sum("tf").cast("long").alias("n"), F.count(F.lit(1)).alias("df")
     )
     if min_df > 1:
         stats = stats.where(F.col("df") >= min_df)
-    top = stats.orderBy(F.desc("n"), "term").limit(vocab_size)
+    top = top_rows(cut_lineage(tf.sparkSession, stats, "term-stats"), vocab_size, "n", "term")
     return top.withColumn(
         "rank", (F.row_number().over(Window.orderBy(F.desc("n"), "term")) - 1).cast("int")
     )

@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from ..functions.text import ml_tokens
 from ..sources.sinks import cut_lineage
 from .features import DEFAULT_VOCAB_SIZE, measured_broadcast, term_counts
+from .topk import top_rows
 
 
 @dataclass
@@ -79,7 +80,8 @@ def fit(
         F.count(F.lit(1)).alias("df"),
         *[F.sum(F.when(F.col(label_col) == c, F.col("tf")).otherwise(F.lit(0))).alias(f"tf_{c}") for c in classes],
     )
-    top = cut_lineage(train.sparkSession, stats.orderBy(F.desc("n"), "term").limit(vocab_size), "nb-terms")
+    spark = train.sparkSession
+    top = cut_lineage(spark, top_rows(cut_lineage(spark, stats, "nb-stats"), vocab_size, "n", "term"), "nb-terms")
     idf = F.log((F.lit(float(n_total)) + 1.0) / (F.col("df").cast("double") + 1.0))
     sums = top.select("term", "n", "df", idf.alias("idf"), *[(idf * F.col(f"tf_{c}")).alias(f"s_{c}") for c in classes])
     total = sums.agg(F.count(F.lit(1)).alias("v"), *[F.coalesce(F.sum(f"s_{c}"), F.lit(0.0)).alias(f"s_{c}") for c in classes]).first()

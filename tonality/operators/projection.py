@@ -8,16 +8,21 @@ count, and the result is deterministic up to the sign of each axis.
 from __future__ import annotations
 
 import numpy as np
+from pyspark import cloudpickle
 from pyspark.ml.feature import PCA
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import kernels
 from ..functions.labels import decode_label
-from ..functions.text import let
 from .evaluate import report_counts_columns
 
 
+# Ship the kernel with the tasks instead of requiring this package on workers.
+cloudpickle.register_pickle_by_value(kernels)
+
+
 def pca_3d(df: DataFrame, features_col: str = "features", k: int = 3) -> DataFrame:
     """Adds x, y, z: the first three principal components. Each axis is turned
     so that its largest loading is positive, so reruns don't mirror it."""
@@ -34,18 +39,22 @@ def fit_pca(df: DataFrame, features_col: str = "features", k: int = 3):
 
 
 def covariance(df: DataFrame, array_col: str) -> DataFrame:
-    """``i, j, cov`` (i <= j): sample covariances of the components, as sums of
-    products inside the tasks (d * (d + 1) / 2 numbers each)."""
-
-    def pairs(e):
-        def row(i):
-            later = F.sequence(i, F.size(e) - 1)
-            return F.transform(later, lambda j: F.struct(i.alias("i"), j.alias("j"), e[i].alias("x"), e[j].alias("y")))
-
-        return F.flatten(F.transform(F.sequence(F.lit(0), F.size(e) - 1), row))
-
-    rows = df.select(F.inline(let(F.col(array_col).cast("array<double>"), pairs)))
-    return rows.groupBy("i", "j").agg(F.covar_samp("x", "y").alias("cov"))
+    """``i, j, cov`` (i <= j): sample covariances of the components. Each task
+    sums one matrix over its vectors (a matrix product a batch) and sends
+    d * (d + 1) / 2 numbers, whatever its rows; the tasks' sums about their own
+    means are merged by one aggregate. Null components leave out their pairs;
+    a pair with fewer than two rows has no covariance."""
+    rows = df.select(F.col(array_col).cast("array<double>").alias("v"))
+    parts = rows.mapInArrow(kernels.moment_rows, "i int, j int, n double, mean_i double, mean_j double, product double")
+    sums = parts.groupBy("i", "j").agg(
+        F.sum("n").alias("n"),
+        F.sum("product").alias("product"),
+        F.sum(F.col("n") * F.col("mean_i")).alias("si"),
+        F.sum(F.col("n") * F.col("mean_j")).alias("sj"),
+        F.sum(F.col("n") * F.col("mean_i") * F.col("mean_j")).alias("sij"),
+    )
+    about = F.col("product") + F.col("sij") - F.col("si") * F.col("sj") / F.col("n")
+    return sums.where("n > 0").select("i", "j", F.when(F.col("n") > 1, about / (F.col("n") - 1)).alias("cov"))
 
 
 def first_three(df: DataFrame, array_col: str) -> DataFrame:

@@ -70,7 +70,6 @@ def top_rows(rows: DataFrame, k: int, count: str, tie: str, small: int = SMALL)
     edge = F.lit(True)
     key: Column = -F.coalesce(F.col(count).cast("long"), F.lit(-(1 << 62)).cast("long"))
     need, number = k, 0
-    longest = None
     while True:
         at = find_edge(rows.where(edge), key, need, small)
         if at is None:
@@ -78,9 +77,10 @@ def top_rows(rows: DataFrame, k: int, count: str, tie: str, small: int = SMALL)
         taken = taken | (edge & (key < F.lit(at.low)))
         edge = edge & key.between(F.lit(at.low), F.lit(at.high))
         need = at.need
-        if longest is None:
-            longest = rows.agg(F.max(F.octet_length(tie))).first()[0] or 0
-        if at.n <= max(small, need) or number * _BYTES >= longest:
+        if at.n <= max(small, need):
+            break
+        longest = rows.where(edge).agg(F.max(F.octet_length(tie))).first()[0] or 0
+        if number * _BYTES >= longest:  # only equal strings are left
             break
         key = F.coalesce(_chunk(tie, number), F.lit(-1).cast("long"))
         number += 1

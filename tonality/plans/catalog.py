@@ -23,7 +23,7 @@ from ..functions.labels import (
     sentiment_from_flags,
 )
 from ..functions.preview import hover_3d, preview_2d, preview_3d
-from ..functions.text import content_tokens, is_empty, preview_source
+from ..functions.text import content_tokens, is_empty, ml_tokens, preview_source
 from ..operators import evaluate, features, models, naive_bayes, projection
 from ..operators.preprocess import preprocess
 from ..operators.scoring import drop_blank, embed_texts, score_texts
@@ -73,6 +73,11 @@ def embedding_split(spark: SparkSession, sf: str):
     return train_test_split(embedding_rows(spark, sf), "vec_id", TRAIN_PCT, SEED)
 
 
+def label_and_vector(train: DataFrame) -> DataFrame:
+    """What a fit reads, and all that is persisted for it: no array beside the vector."""
+    return train.select("label", "features")
+
+
 def embedding_sample(spark: SparkSession, sf: str) -> DataFrame:
     e = table(spark, sf, "embeddings").select(
         "vec_id", "embedding", (F.col("label") % 3).cast("int").alias("label")
@@ -164,12 +169,21 @@ def q_value_counts(spark, sf):
 def q_csv_ingest(spark, sf):
     """Labelled comments written as CSV to the shared folder, read back in
     strict mode, and audited: rows and characters per sentiment and label."""
+    return _csv_audit(spark, sf, "strict")
+
+
+def q_csv_splits(spark, sf):
+    """The same, with the files read in splits."""
+    return _csv_audit(spark, sf, "splits")
+
+
+def _csv_audit(spark, sf, mode):
     from ..sources.comments import read_comments_csv
     from ..sources.sinks import write_comments_csv
 
     path = scratch_path(spark, "csv-ingest")
     write_comments_csv(labelled_comments(spark, sf).select("Comment", "Sentiment"), path)
-    back = read_comments_csv(spark, path, "strict").drop("_corrupt_record")
+    back = read_comments_csv(spark, path, mode).drop("_corrupt_record")
     return (
         back.withColumn("label", encode_label(F.col("Sentiment")))
         .groupBy("Sentiment", "label")
@@ -203,21 +217,28 @@ def q_vocabulary(spark, sf):
     return features.vocabulary(_tf(spark, sf), features.DEFAULT_VOCAB_SIZE)
 
 
-def _idf(spark, sf):
-    """Term rows, and the idf table in the shared folder."""
-    tf = _tf(spark, sf)
+def _tf_once(spark, sf):
+    """Term rows from term counts written once per document: the text chain
+    runs once, however often the rows are read."""
+    counted = all_documents(spark, sf).select("doc_id", features.term_counts(ml_tokens(F.col("processed_comment"))).alias("terms"))
+    return cut_lineage(spark, counted, "term-counts").select("doc_id", F.inline("terms"))
+
+
+def _idf(spark, sf, tf):
+    """The idf table of term rows, in the shared folder."""
     n_docs = table(spark, sf, "documents").agg(F.count(F.lit(1))).scalar()
     vocab = features.vocabulary(tf, features.DEFAULT_VOCAB_SIZE)
-    return tf, cut_lineage(spark, features.idf(vocab, n_docs), "idf")
+    return cut_lineage(spark, features.idf(vocab, n_docs), "idf")
 
 
 def q_idf(spark, sf):
-    _, idf = _idf(spark, sf)
+    idf = _idf(spark, sf, _tf(spark, sf))
     return idf.select("term", "df", r6(F.col("idf")).alias("idf"))
 
 
 def q_tfidf(spark, sf):
-    tf, idf = _idf(spark, sf)
+    tf = _tf_once(spark, sf)
+    idf = _idf(spark, sf, tf)
     return features.tfidf(tf, idf).select(
         "doc_id", "term", F.col("tf").cast("long").alias("tf"), r6(F.col("tfidf")).alias("tfidf")
     )
@@ -281,23 +302,22 @@ def q_nb_pipeline(spark, sf):
 
 def q_lr_train_score(spark, sf):
     train, test = embedding_split(spark, sf)
-    with models.persisted(train):
-        lr = models.train_logreg(train)
+    with models.persisted(label_and_vector(train)) as rows:
+        lr = models.train_logreg(rows)
     return lr.transform(test).select("vec_id", "label", "prediction")
 
 
 def q_rf_train_score(spark, sf):
     train, test = embedding_split(spark, sf)
-    with models.persisted(train):
-        rf = models.train_forest(train)
+    with models.persisted(label_and_vector(train)) as rows:
+        rf = models.train_forest(rows)
     return rf.transform(test).select("vec_id", "label", "prediction")
 
 
 def q_model_compare(spark, sf):
     train, test = embedding_split(spark, sf)
-    with models.persisted(train):
-        lr = models.train_logreg(train)
-        rf = models.train_forest(train)
+    with models.persisted(label_and_vector(train)) as rows:
+        lr, rf = models.train_logreg(rows), models.train_forest(rows)
     return models.compare_models({"logistic_regression": lr, "random_forest": rf}, test)
 
 
@@ -322,8 +342,8 @@ def q_lr_check(spark, sf):
     gradient of the fitted loss is near zero (largest entry below 0.01, in the
     space of scaled features where Spark applies the penalty)."""
     train, test = embedding_split(spark, sf)
-    with models.persisted(train):
-        lr = models.train_logreg(train)
+    with models.persisted(label_and_vector(train)) as rows:
+        lr = models.train_logreg(rows)
     w, b = lr.coefficientMatrix.toArray(), lr.interceptVector.toArray()  # classes x 64
     rows = F.array(*[F.array(*[F.lit(float(v)) for v in row]) for row in w])
     x = F.col("embedding").cast("array<double>")
@@ -347,8 +367,8 @@ def q_rf_check(spark, sf):
     """Test rows, rows whose prediction isn't the most probable class, and rows
     whose probabilities don't sum to 1."""
     train, test = embedding_split(spark, sf)
-    with models.persisted(train):
-        rf = models.train_forest(train)
+    with models.persisted(label_and_vector(train)) as rows:
+        rf = models.train_forest(rows)
     p = vector_to_array("probability")
     scored = rf.transform(test).select("prediction", p.alias("p"))
     total = F.aggregate("p", F.lit(0.0), lambda a, v: a + v)
@@ -363,8 +383,8 @@ def q_model_compare_check(spark, sf):
     """Per model: test rows, and whether the reported accuracy is the share on
     the diagonal of the confusion matrix."""
     train, test = embedding_split(spark, sf)
-    with models.persisted(train):
-        fitted = {"logistic_regression": models.train_logreg(train), "random_forest": models.train_forest(train)}
+    with models.persisted(label_and_vector(train)) as rows:
+        fitted = {"logistic_regression": models.train_logreg(rows), "random_forest": models.train_forest(rows)}
     table_ = models.compare_models(fitted, test)
     parts = []
     for name, model in fitted.items():
@@ -509,6 +529,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "label_audit": q_label_audit,
     "label_decode": q_label_decode,
     "csv_ingest": q_csv_ingest,
+    "csv_splits": q_csv_splits,
     "sentiment_distribution": q_sentiment_distribution,
     "class_slice": q_class_slice,
     "class_slice_positive": q_class_slice_positive,

@@ -139,6 +139,7 @@ def oracle_sql() -> dict[str, str]:
         f"SELECT d.text AS Comment, {sql_sentiment_from_flags('l.toxic', 'l.quality')} AS Sentiment "
         "FROM documents d JOIN labels l ON d.doc_id = l.doc_id) GROUP BY ALL"
     )
+    q["csv_splits"] = q["csv_ingest"]
     q["sentiment_distribution"] = (
         f"WITH {_labelled_cte()}, cnt AS (SELECT label, count(*) AS n FROM lab GROUP BY label) "
         f"SELECT dim.label, dim.sentiment, dim.display_order, coalesce(cnt.n, 0) AS n "

@@ -73,7 +73,6 @@ def shared_dir(spark: SparkSession) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         path = tempfile.mkdtemp(prefix="tonality-ckpt-")
         atexit.register(shutil.rmtree, path, ignore_errors=True)
-        spark.conf.set("spark.checkpoint.dir", path)
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir().rstrip("/")
 

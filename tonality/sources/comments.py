@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from ..functions.labels import sentiment_from_flags
 from ..schema import CORRUPT_COLUMN, RAW_COMMENTS, RAW_COMMENTS_STRICT
+from .strict_csv import STRICT_OPTIONS, read_strict_splits
 
-CSV_MODES = ("compat", "strict")
+CSV_MODES = ("compat", "strict", "splits")
 
 
 def read_comments_csv(spark: SparkSession, path: str, mode: str = "compat") -> DataFrame:
@@ -22,17 +23,19 @@ def read_comments_csv(spark: SparkSession, path: str, mode: str = "compat") -> D
     * ``strict``: RFC-4180 records (``multiLine``, ``""`` escapes). Records that
       still do not parse are kept aside in ``_corrupt_record`` rather than
       silently turned into label 0; use :func:`split_corrupt` to separate them.
+      A file is one task.
+    * ``splits``: the same records, read in splits (``strict_csv``): for large files.
     """
     if mode not in CSV_MODES:
         raise ValueError(f"mode must be one of {CSV_MODES}, got {mode!r}")
+    if mode == "splits":
+        return read_strict_splits(spark, path, RAW_COMMENTS_STRICT, CORRUPT_COLUMN)
     reader = spark.read.option("header", True)
     if mode == "compat":
         return reader.schema(RAW_COMMENTS).csv(path)
     return (
         reader.schema(RAW_COMMENTS_STRICT)
-        .option("multiLine", True)
-        .option("escape", '"')
-        .option("mode", "PERMISSIVE")
+        .options(**STRICT_OPTIONS)
         .option("columnNameOfCorruptRecord", CORRUPT_COLUMN)
         .csv(path)
     )
