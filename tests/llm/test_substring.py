@@ -78,3 +78,13 @@ def test_every_window_has_one_seed():
         per[t] += range(s, s + n)
     for t, text in enumerate(texts):
         assert sorted(per[t]) == list(range(max(0, len(text.split()) - 49)))
+
+
+def test_many_equal_rows_beside_an_earlier_document(spark):
+    """3000 equal rows: their spans must not be collected from each other."""
+    long = sentence(77, 400)
+    first = " ".join(long.split()[:200]) + " " + sentence(78, 100)
+    df = docs_of(spark, [(1, first)] + [(7, long)] * 3000).repartition(8)
+    found = S.remove_repeats(df).groupBy("doc_id", "n_words", "n_removed").count().collect()
+    assert {tuple(r) for r in found} == {(1, 300, 0, 1), (7, 400, 200, 3000)}
+    assert S.repeats(df).where("doc_id = 7").distinct().count() < 400

@@ -15,7 +15,8 @@ with a smaller ``doc_id``; windows are judged on the input.
   around an edit), one document per distinct stretch is extended word by word
   to each side, by comparing fingerprints of its windows. Comparing
   fingerprints instead of pairs of documents keeps the work linear in the
-  number of seeds, however many documents share a passage.
+  number of seeds, however many documents share a passage. Repeated rows give
+  equal seeds and windows, which partial aggregates keep once.
 * The union of the repeats found this way gives the maximal repeats of a
   document, each at least ``min_words`` long.
 
@@ -172,8 +173,8 @@ def _identified(docs: DataFrame, text: str) -> DataFrame:
 
 
 def _once_each(rows: DataFrame, columns: list[str]) -> DataFrame:
-    """Rows equal in all columns once: repeated rows of the input give the same
-    seeds and windows, and must not meet each other in a list."""
+    """Rows equal in all columns once (a hash aggregate, combined in the tasks
+    before its shuffle): repeated rows of the input give the same windows."""
     return rows.groupBy(*columns).agg(F.lit(1).alias("one")).select(*columns)
 
 
@@ -208,11 +209,10 @@ def repeats(docs: DataFrame, min_words: int = MIN_WORDS, text: str = "text") ->
     lists = (
         ranked.where("doc_id = lowest")
         .groupBy("doc_id", "copy")
-        .agg(F.collect_list(F.struct("anchor", "start", "n")).alias("stretches"))
-    )
-    window = materialise(
-        source.join(lists, ["doc_id", "copy"]).mapInArrow(_window_rows(min_words), WINDOW_SCHEMA), "windows"
+        .agg(F.collect_set(F.struct("anchor", "start", "n")).alias("stretches"))
     )
+    found = source.join(lists, ["doc_id", "copy"]).mapInArrow(_window_rows(min_words), WINDOW_SCHEMA)
+    window = materialise(_once_each(found, ["anchor", "window", "doc_id", "copy", "start"]), "windows")
     earliest = materialise(window.groupBy("anchor", "window").agg(F.min("doc_id").alias("lowest")), "earliest")
     extended = (
         window.join(earliest, ["anchor", "window"])
@@ -256,7 +256,7 @@ def remove_repeats(docs: DataFrame, min_words: int = MIN_WORDS, text: str = "tex
     the word spans [start, end) taken out; ``kept_text`` the other words,
     joined by a space."""
     found = repeats(docs, min_words, text)
-    lists = found.groupBy("doc_id", "copy").agg(F.collect_list(F.struct("start", "n")).alias("found"))
+    lists = found.groupBy("doc_id", "copy").agg(F.collect_set(F.struct("start", "n")).alias("found"))
     t = text_or_empty(text)
     rest = F.struct(*[F.col(c) for c in docs.columns if c != text])
     rows = docs.select(
