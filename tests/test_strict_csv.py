@@ -91,7 +91,7 @@ def test_empty_files_and_headers_alone(spark, tmp_dir):
 
 @pytest.mark.parametrize("line, outside, within", [
     ("plain, text", False, True), ('"open', True, False), ('close",x', False, False), ('a "stray, quote', False, False), ('"a""b","c', True, True),
-    ('"', True, False), ('""', False, True), ('x""y', False, True), (',"', True, False), ('"a"b"c,d', False, True)])
+    ('"', True, False), ('""', False, True), ('x""y', False, True), (',"', True, False), ('"a"b"c,d', False, False)])
 def test_state_after_a_line(line, outside, within):
     assert inside_after(line, False) is outside
     if '"' in line:

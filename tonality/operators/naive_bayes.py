@@ -67,20 +67,27 @@ def fit(
 ) -> NaiveBayesTables:
     """The model of the training rows; ``id_col`` is not read (each row is a
     document)."""
-    import math
-
-    lam = float(smoothing)
     totals = class_totals(train, label_col)
-    if not totals:
-        raise ValueError("no training rows")
-    classes, n_total = list(totals), sum(totals.values())
+    classes = list(totals)
     tf = _doc_terms(train, None, text_col, [label_col])
     stats = tf.groupBy("term").agg(
         F.sum("tf").cast("long").alias("n"),
         F.count(F.lit(1)).alias("df"),
         *[F.sum(F.when(F.col(label_col) == c, F.col("tf")).otherwise(F.lit(0))).alias(f"tf_{c}") for c in classes],
     )
-    spark = train.sparkSession
+    return model_of(stats, totals, vocab_size, smoothing)
+
+
+def model_of(stats: DataFrame, totals: dict[int, int], vocab_size: int = DEFAULT_VOCAB_SIZE, smoothing: float = 1.0) -> NaiveBayesTables:
+    """The model of term statistics ``term, n, df, tf_<class>..`` and of the
+    documents per class."""
+    import math
+
+    if not totals:
+        raise ValueError("no training rows")
+    lam = float(smoothing)
+    classes, n_total = list(totals), sum(totals.values())
+    spark = stats.sparkSession
     top = cut_lineage(spark, top_rows(cut_lineage(spark, stats, "nb-stats"), vocab_size, "n", "term"), "nb-terms")
     idf = F.log((F.lit(float(n_total)) + 1.0) / (F.col("df").cast("double") + 1.0))
     sums = top.select("term", "n", "df", idf.alias("idf"), *[(idf * F.col(f"tf_{c}")).alias(f"s_{c}") for c in classes])

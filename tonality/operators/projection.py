@@ -11,7 +11,7 @@ import numpy as np
 from pyspark import cloudpickle
 from pyspark.ml.feature import PCA
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import kernels
@@ -46,15 +46,23 @@ def covariance(df: DataFrame, array_col: str) -> DataFrame:
     a pair with fewer than two rows has no covariance."""
     rows = df.select(F.col(array_col).cast("array<double>").alias("v"))
     parts = rows.mapInArrow(kernels.moment_rows, "i int, j int, n double, mean_i double, mean_j double, product double")
-    sums = parts.groupBy("i", "j").agg(
-        F.sum("n").alias("n"),
-        F.sum("product").alias("product"),
-        F.sum(F.col("n") * F.col("mean_i")).alias("si"),
-        F.sum(F.col("n") * F.col("mean_j")).alias("sj"),
-        F.sum(F.col("n") * F.col("mean_i") * F.col("mean_j")).alias("sij"),
+    # means about one task's: large means would cancel
+    pair = Window.partitionBy("i", "j")
+    about = [(F.col(c) - F.first(c).over(pair)).alias(c) for c in ("mean_i", "mean_j")]
+    sums = (
+        parts.where("n > 0")
+        .select("i", "j", "n", "product", *about)
+        .groupBy("i", "j")
+        .agg(
+            F.sum("n").alias("n"),
+            F.sum("product").alias("product"),
+            F.sum(F.col("n") * F.col("mean_i")).alias("si"),
+            F.sum(F.col("n") * F.col("mean_j")).alias("sj"),
+            F.sum(F.col("n") * F.col("mean_i") * F.col("mean_j")).alias("sij"),
+        )
     )
     about = F.col("product") + F.col("sij") - F.col("si") * F.col("sj") / F.col("n")
-    return sums.where("n > 0").select("i", "j", F.when(F.col("n") > 1, about / (F.col("n") - 1)).alias("cov"))
+    return sums.select("i", "j", F.when(F.col("n") > 1, about / (F.col("n") - 1)).alias("cov"))
 
 
 def first_three(df: DataFrame, array_col: str) -> DataFrame:

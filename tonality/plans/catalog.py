@@ -24,10 +24,11 @@ from ..functions.labels import (
 )
 from ..functions.preview import hover_3d, preview_2d, preview_3d
 from ..functions.text import content_tokens, is_empty, ml_tokens, preview_source
-from ..operators import evaluate, features, models, naive_bayes, projection
+from ..operators import evaluate, features, landmarks, models, naive_bayes, nb_store, projection
+from ..operators.batched_grid import grid_search_batched
 from ..operators.preprocess import preprocess
 from ..operators.scoring import drop_blank, embed_texts, score_texts
-from ..operators.split import exact_sample, train_test_split, with_split
+from ..operators.split import bucket, exact_sample, train_test_split, with_split
 from ..session import scratch_path
 from ..sources.comments import conversation_texts, labelled_comments, table
 from ..sources.sinks import cut_lineage
@@ -270,6 +271,20 @@ def q_nb_model(spark, sf):
     )
 
 
+def q_nb_incremental(spark, sf):
+    """The model of two batches, counted one after the other into the versioned
+    statistics (the first is sent again, which adds nothing)."""
+    train, _ = labelled_split(spark, sf)
+    train = cut_lineage(spark, train.select("doc_id", "processed_comment", "label"), "nb-batches")
+    path = scratch_path(spark, "nb-statistics")
+    even = bucket(F.col("doc_id"), SEED + 2, 2) == 0
+    for name, batch in (("even", train.where(even)), ("odd", train.where(~even)), ("even", train.where(even))):
+        nb_store.update(spark, path, batch, name)
+    return naive_bayes.model_table(nb_store.fit_stored(spark, path)).select(
+        "label", "term", r6(F.col("prior")).alias("prior"), r6(F.col("theta")).alias("theta")
+    )
+
+
 def q_nb_score(spark, sf):
     _, scored = _nb_fit_score(spark, sf)
     return scored.select("doc_id", "label", "prediction")
@@ -327,6 +342,40 @@ def q_grid_search(spark, sf):
     return ranked
 
 
+def _batched(spark, sf):
+    train, _ = embedding_split(spark, sf)
+    return grid_search_batched(spark, train, "vec_id")[0]
+
+
+def q_grid_batched(spark, sf):
+    """The grid search with the gradients of all models in one scan."""
+    return _batched(spark, sf).select("rank", "accuracy", "regParam", "elasticNet", "maxIter")
+
+
+def q_grid_batched_check(spark, sf):
+    """The parameter sets with whether all their models meet the conditions of
+    an optimum, and whether the accuracy is that of a fold mean."""
+    ranked = _batched(spark, sf)
+    fine = (F.col("residual") < 1e-5) & F.col("accuracy").between(0, 1)
+    return ranked.select("regParam", "elasticNet", "maxIter", fine.alias("optimal"))
+
+
+def q_landmark_projection(spark, sf):
+    e = embedding_rows(spark, sf).select("vec_id", "label", "embedding")
+    placed = landmarks.landmark_3d(e, "vec_id")
+    return placed.select("vec_id", "label", *[r6(F.col(a)).alias(a) for a in "xyz"])
+
+
+def q_landmark_check(spark, sf):
+    """Points, whether all have coordinates, and whether distances of a sample
+    are kept better than by principal components."""
+    e = embedding_rows(spark, sf)
+    placed = cut_lineage(spark, landmarks.landmark_3d(e.drop("features"), "vec_id"), "landmarks")
+    ours, pca = landmarks.stress(placed, "vec_id", "embedding"), landmarks.stress(projection.pca_3d(e), "vec_id", "embedding")
+    placed_all = F.count_if(F.col("x").isNull() | F.isnan("x")) == 0
+    return placed.agg(F.count(F.lit(1)).alias("n"), placed_all.alias("placed"), F.lit(ours < pca).alias("better"))
+
+
 def q_embedding_projection(spark, sf):
     e = embedding_rows(spark, sf)
     return projection.pca_3d(e).select(
@@ -542,6 +591,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "tfidf": q_tfidf,
     "hash_embedding": q_hash_embedding,
     "nb_model": q_nb_model,
+    "nb_incremental": q_nb_incremental,
     "nb_score": q_nb_score,
     "accuracy": q_accuracy,
     "confusion_matrix": q_confusion_matrix,
@@ -550,6 +600,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "rf_train_score": q_rf_train_score,
     "model_compare": q_model_compare,
     "grid_search": q_grid_search,
+    "grid_batched": q_grid_batched,
+    "grid_batched_check": q_grid_batched_check,
+    "landmark_projection": q_landmark_projection,
+    "landmark_check": q_landmark_check,
     "embedding_projection": q_embedding_projection,
     "planar_projection": q_planar_projection,
     "embedding_report": q_embedding_report,

@@ -177,6 +177,7 @@ def oracle_sql() -> dict[str, str]:
     )
     nb = f"WITH {_nb_ctes()}"
     q["nb_model"] = f"{nb} SELECT label, term, round(prior, 6) AS prior, round(theta, 6) AS theta FROM theta"
+    q["nb_incremental"] = q["nb_model"]
     q["nb_score"] = f"{nb} SELECT doc_id, label, prediction FROM preds"
     q["accuracy"] = (
         f"{nb} SELECT count(*) AS n, round(avg(CASE WHEN CAST(label AS DOUBLE) = prediction "
@@ -243,6 +244,8 @@ def oracle_sql() -> dict[str, str]:
         'SELECT CAST(r AS DOUBLE) AS "regParam", CAST(e AS DOUBLE) AS "elasticNet", m AS "maxIter", true AS in_place '
         f"FROM (VALUES {reg}) AS a(r), (VALUES {net}) AS b(e), (VALUES {iters}) AS c(m)"
     )
+    q["grid_batched_check"] = q["grid_check"].replace("in_place", "optimal")
+    q["landmark_check"] = "SELECT count(*) AS n, true AS placed, true AS better FROM embeddings"
     q["embedding_covariance"] = (
         "WITH e AS (SELECT vec_id, CAST(unnest(range(len(embedding))) AS INTEGER) AS i, "
         "CAST(unnest(embedding) AS DOUBLE) AS x FROM embeddings) "
