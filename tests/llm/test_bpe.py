@@ -53,6 +53,15 @@ def test_each_distinct_word_is_encoded_once(spark):
     assert words == {w: (n, ids_of(w)) for w, n in {"one": 1, " two": 2, "two": 1, " one": 1}.items()}
 
 
+def test_a_text_that_half_of_all_rows_have(spark):
+    rows = [(i, "the same raretext in many rows") for i in range(300)] + [(1000 + i, f"other{i} words") for i in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    keyed = df.selectExpr("xxhash64(text) AS key1", "xxhash64(1, text) AS key2")
+    assert bpe.hot_texts(keyed).count() == 1
+    got = {r["doc_id"]: r["ids"] for r in bpe.encode(df, PATH, head=3).collect()}
+    assert got == {d: ids_of(t) for d, t in rows}
+
+
 def test_decode_takes_any_ids(spark):
     rows = [(1, [50256, 13, 99999, -1, None, 220]), (2, None), (3, []), (4, [447]), (5, [447, 247])]
     got = {r["i"]: r["text"] for r in bpe.decode(spark.createDataFrame(rows, "i int, ids array<int>"), PATH).collect()}

@@ -15,7 +15,8 @@ Encoding, as the ``tokenizers`` library does without added special tokens:
 Only the stream of numbers is shuffled, at about a quarter of the text's bytes.
 It is joined by two 64-bit fingerprints of the text, not by a generated row
 number, so a task that runs again gives the same rows. Equal texts share their
-words' rows.
+words' rows; a text that very many rows have is dealt to several tasks, each with
+its own copy of those.
 
 Decoding joins ids with the table of pieces, whose size is that of the
 vocabulary, on the map side; the bytes are decoded as UTF-8 with replacements.
@@ -56,6 +57,7 @@ from .token_counts import byte_of_char
 HEAD, HEAD_BYTES = 600_000, 64
 TABLE_WORDS = 300_000
 PLACE_BYTES = 4
+HOT_SHARE, HOT_PARTS = 1000, 32
 #: Ranges of code points whose letter, number and space classes
 #: the library's tables and Python's agree on.
 SAFE = ((0x0, 0x557), (0x900, 0xC5B), (0xD00, 0x208E), (0x20A0, 0xA7CD), (0xAC00, 0xD7FF), (0xE000, 0xFFFF))
@@ -339,6 +341,15 @@ def _lengths(lists: pa.Array) -> np.ndarray:
     return pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False).astype(np.int64)
 
 
+def hot_texts(keys: DataFrame) -> DataFrame:
+    """``key1, key2, hot``: texts that more than one in ``HOT_SHARE`` rows have.
+    There are fewer than ``HOT_SHARE`` of them, so the table can be broadcast."""
+    counts = keys.groupBy("key1", "key2").agg(F.count(F.lit(1)).alias("n"))
+    many = counts.where(F.col("n") > F.lit(max(1, keys.count() // HOT_SHARE))).select("key1", "key2")
+    rows = [(r["key1"], r["key2"], True) for r in many.collect()]
+    return F.broadcast(keys.sparkSession.createDataFrame(rows, "key1 long, key2 long, hot boolean"))
+
+
 def encode(docs: DataFrame, path: str, text: str = "text", head: int = HEAD) -> DataFrame:
     """``docs`` without its text, with ``ids`` (array of int)."""
     spark = docs.sparkSession
@@ -364,7 +375,12 @@ def encode(docs: DataFrame, path: str, text: str = "text", head: int = HEAD) ->
     found = looked.groupBy("key1", "key2").agg(F.sort_array(F.collect_set("placed")).alias("found"))
 
     streams = source.mapInArrow(_stream_rows(numbers), StructType([source.schema["rest"], *keys, StructField("stream", BinaryType())]))
-    both = streams.join(found.hint("merge"), ["key1", "key2"], "left")
+    hot = hot_texts(source.select("key1", "key2"))
+    # the copies of a hot text are dealt to HOT_PARTS parts, each with its own copy of the text's few words
+    parts = F.when(F.col("hot"), HOT_PARTS).otherwise(1)
+    streams = streams.join(hot, ["key1", "key2"], "left").withColumn("part", F.monotonically_increasing_id() % parts)
+    found = found.join(hot, ["key1", "key2"], "left").withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), (parts - 1).cast("long"))))
+    both = streams.drop("hot").join(found.drop("hot").hint("merge"), ["key1", "key2", "part"], "left")
     out = StructType([source.schema["rest"], StructField("ids", ArrayType(IntegerType()))])
     return both.select("rest", "stream", "found").mapInArrow(_fill_rows(places), out).select(*(["rest.*"] if rest else []), "ids")
 
