@@ -79,9 +79,32 @@ def test_malformed_expressions(expression):
         ("a SPDX-License-Identifier: MIT. b SPDX-License-Identifier: GPL-2.0 */ c", "gpl,mit", 0.3, []),
         ("SPDX-License-Identifier: MIT OR -->", "", None, ["MIT OR -->"]),
         ("SPDX-License-Identifier: (MIT x", "", None, ["(MIT x"]),
+        ("SPDX-License-Identifier: MIT and more text follows", "mit", 1.0, []),
+        ("SPDX-License-Identifier: MIT or later versions apply", "mit", 1.0, []),
+        ("SPDX-License-Identifier: MIT and (see below)", "mit", 1.0, []),
+        ("SPDX-License-Identifier: MIT with care", "mit", 1.0, []),
+        ("SPDX-License-Identifier: MIT and", "mit", 1.0, []),
+        ("SPDX-License-Identifier: MIT And ISC", "mit", 1.0, []),
+        ("SPDX-License-Identifier: MIT or isc or so", "isc,mit", 1.0, []),
+        ("SPDX-License-Identifier: see below", "", None, ["see"]),
+        ("SPDX-License-Identifier: MIT OR Foo-1.0 x", "", None, ["MIT OR Foo-1.0"]),
+        ("SPDX-License-Identifier: gpl-2.0 WITH care", "", None, ["gpl-2.0 WITH care"]),
     ],
 )
 def test_tags_with_something_after_the_expression(text, labels, permission, bad):
     row = L.scan(text, L.build_automaton(), L.word_table())
     assert (row["labels"], row["permission"], row["bad_expressions"]) == (labels, permission, bad)
     assert row["score"] == (0.0 if bad else 1.0)
+
+
+@pytest.mark.parametrize("text", ["SPDX-License-Identifier: NOASSERTION", "SPDX-License-Identifier: NONE", "License: MIT"])
+def test_no_licence_is_stated(text):
+    row = L.scan(text, L.build_automaton(), L.word_table())
+    assert (row["labels"], row["score"], row["permission"], row["bad_expressions"]) == ("", 0.0, None, [])
+
+
+def test_known_ids():
+    known = "MIT ISC 0BSD GPL-2.0 GPL-3.0-or-later LGPL-2.1+ BSD-3-Clause BSD-2-Clause-Patent Apache-2.0 CC-BY-NC-SA-4.0 CC0-1.0 MPL-2.0 "
+    known += "LicenseRef-own DocumentRef-a:LicenseRef-b Zlib MIT-0 EUPL-1.2 Python-2.0 PHP-3.01"
+    assert all(map(L.is_licence, known.split()))
+    assert not any(map(L.is_licence, "more see later GPL BSD Apache mit-or-so 2.0 licenseref- unknown-1.0".split()))

@@ -7,7 +7,9 @@ One automaton over the words, joined by single spaces, finds every phrase of
 it finds an SPDX tag, the expression after the tag is parsed, up to the first
 token that can't continue it: AND takes all
 licences (the least permission), OR offers a choice (the greatest), WITH adds
-an exception (copyleft becomes weak).
+an exception (copyleft becomes weak). Operators are in upper case or all lower;
+a lower-case one that no licence or exception follows is prose, and the
+expression ends before it. Licences are SPDX ids (``is_licence``).
 
 ``score`` is how sure it is that the text states a licence: 0 without a
 finding, 1 with a well-formed tag, else ``1 - 2**-k`` for k distinct phrases.
@@ -15,8 +17,9 @@ finding, 1 with a well-formed tag, else ``1 - 2**-k`` for k distinct phrases.
 all findings.
 
 Defined results: null and empty texts have no words and no labels; a malformed
-expression adds no label and is kept in ``bad_expressions``; unknown licence
-ids get their own lower-case label and permission 0.5; rows are scanned one by
+expression, or one with an unknown id, adds no label and is kept in
+``bad_expressions``; NONE and NOASSERTION state no licence and add nothing; ids
+without a permission of their own get 0.5; rows are scanned one by
 one, so null and repeated ids give a row each; an empty table gives an empty
 result; only id and text are read.
 """
@@ -67,6 +70,22 @@ PERMISSION = {
 WITH_EXCEPTION = 0.6
 UNKNOWN = 0.5
 
+# Families of SPDX ids that carry a version, and whole ids.
+VERSIONED = """
+    aal afl agpl apache apsl artistic blueoak bsd bsl busl catosl cc-by cc-by-nc cc-by-nc-nd cc-by-nc-sa cc-by-nd cc-by-sa cc-pddc
+    cc0 cddl cecill cecill-b cecill-c cern-ohl-p cern-ohl-s cern-ohl-w cnri-python cpal cpl ecl efl epl eudatagrid eupl gfdl gpl
+    hpnd ipa ipl lal lgpl lgpllr lpl lppl mit mpl mulanpsl nasa nbpl nosl npl oclc ocl odbl odc-by ofl ogl-uk ogc oldap
+    opl osl php plexus psf python qpl rpl rpsl saxpath sgi-b sissl spl sspl tapr-ohl tcl unicode-dfs upl vsl w3c watcom ypl zpl
+""".split()
+WHOLE = """
+    0bsd aal beerware blessing cc-pddc curl fair fsfap ftl glide gl2ps hpnd icu ijg imagemagick info-zip intel isc json lal
+    libpng libtiff mit mit-0 mit-cmu mit-feh mit-modern-variant miros ms-pl ms-rl mtll naumen ncsa ngpl nlpl nokia ntp openssl pddl-1.0
+    postgresql ruby simpl-2.0 sleepycat smlnj ssh-openssh tcl unlicense upl-1.0 vim w3c wtfpl x11 xnet xpp zlib zlib-acknowledgement
+""".split()
+NO_LICENCE = ("none", "noassertion")
+# SPDX exceptions whose names don't contain "exception".
+EXCEPTIONS = ("linux-syscall-note", "gpl-cc-1.0", "shl-2.0", "shl-2.1")
+
 TAG = "spdx license identifier"
 _TAG = re.compile(r"SPDX-License-Identifier[\"'`]?[ \t]*:[ \t]*[\"'`]?", re.IGNORECASE)
 _NEXT = re.compile(r"[ \t]*([()]|[A-Za-z0-9](?:[A-Za-z0-9.+:]|-(?!-))*(?<=[A-Za-z0-9+]))")
@@ -81,6 +100,25 @@ def label_of(identifier: str) -> str:
     return family
 
 
+def is_licence(identifier: str) -> bool:
+    """Whether it is an SPDX id: one of ``WHOLE``, a family of ``VERSIONED`` with
+    a version, or an own ``LicenseRef-`` (of a ``DocumentRef-`` or not)."""
+    name = identifier.lower()
+    if re.fullmatch(r"(documentref-[a-z0-9.-]+:)?licenseref-[a-z0-9.-]+", name):
+        return True
+    bare = name.rstrip("+")
+    return bare in WHOLE or (re.search(r"-v?[0-9]", bare) is not None and label_of(bare) in VERSIONED)
+
+
+def is_exception(identifier: str) -> bool:
+    name = identifier.lower()
+    return "exception" in name or name in EXCEPTIONS or name.startswith("additionref-")
+
+
+def is_operator(token: str) -> bool:
+    return token.lower() in _PRECEDENCE and token in (token.lower(), token.upper())
+
+
 def evaluate(expression: str) -> tuple[frozenset[str], float] | None:
     """(labels, permission) of a licence expression; None if it is malformed."""
     tokens = _TOKEN.findall(expression)
@@ -106,7 +144,7 @@ def evaluate(expression: str) -> tuple[frozenset[str], float] | None:
     operand = True  # an operand is due next
     for token in tokens:
         word = token.lower()
-        if word in _PRECEDENCE:
+        if is_operator(token):
             if operand:
                 return None
             while waiting and waiting[-1] != "(" and _PRECEDENCE[waiting[-1]] >= _PRECEDENCE[word]:
@@ -131,7 +169,11 @@ def evaluate(expression: str) -> tuple[frozenset[str], float] | None:
             if not operand:
                 return None
             if waiting and waiting[-1] == "with":
+                if not is_exception(token):
+                    return None
                 output.append(word)  # an exception's name
+            elif not is_licence(token):
+                return None
             else:
                 label = label_of(token)
                 output.append((frozenset([label]), PERMISSION.get(label, UNKNOWN)))
@@ -146,22 +188,31 @@ def evaluate(expression: str) -> tuple[frozenset[str], float] | None:
 def leading_expression(line: str) -> str:
     """The longest beginning of a line that is a complete expression or, if what
     it starts with is cut off in the middle, the whole line. It ends before the
-    first token that can't continue it, a comment's closer or a quote."""
+    first token that can't continue it, a comment's closer or a quote, and
+    before a lower-case operator that no licence or exception follows."""
     at, depth, operand, exception = 0, 0, True, False
+    prose: int | None = None  # where a lower-case operator begins whose operand is not seen yet
     while m := _NEXT.match(line, at):
-        token = m[1].lower()
+        token = m[1]
         if operand:
-            if token in _PRECEDENCE or token == ")" or (token == "(" and exception):
+            if is_operator(token) or token == ")" or (token == "(" and exception):
+                break
+            if token == "(":
+                depth += 1
+            elif prose is not None and not (is_exception if exception else is_licence)(token):
                 break
-            depth += token == "("
-            operand = token == "("
-        elif token in _PRECEDENCE:
-            operand, exception = True, token == "with"
+            else:
+                operand, prose = False, None
+        elif is_operator(token):
+            operand, exception = True, token.lower() == "with"
+            prose = at if token.islower() and not depth else None
         elif token == ")" and depth:
             depth -= 1
         else:
             break
         at = m.end()
+    if operand and prose is not None:
+        return line[:prose]
     return line if operand or depth else line[:at]
 
 
@@ -226,6 +277,8 @@ def scan(text: str, automaton, table: bytes) -> dict:
     score = 1 - 0.5**evidence
     if TAG in found:
         for expression in tagged_expressions(text):
+            if expression.strip().lower() in NO_LICENCE:
+                continue
             value = evaluate(expression)
             if value is None:
                 row["bad_expressions"].append(expression)
