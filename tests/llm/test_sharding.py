@@ -83,3 +83,10 @@ def test_edge_rows(spark, monkeypatch):
 def test_no_python_in_the_plan(spark):
     plan = S.shard(edge_docs(spark))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_bases_sum_over_blocks_of_buckets(spark, monkeypatch):
+    monkeypatch.setattr(S, "BUCKETS_PER_BLOCK", 3)
+    sizes = [(b, (b * 7) % 5 + 1) for b in range(20) if b not in (4, 9, 10, 11)]
+    got = {r["_bucket"]: r["_base"] for r in S.bases(spark.createDataFrame(sizes, "_bucket long, _n long")).collect()}
+    assert got == {b: sum(n for c, n in sizes if c < b) for b, _ in sizes}

@@ -31,6 +31,8 @@ ROUNDS = 6
 #: below 1 in sqrt(N), and for N < 4096 the walk ends within ``a`` steps anyway.
 WALK = 64
 ROWS_PER_BUCKET = 4096
+#: Buckets summed together first: one task meets a row per 16 million documents.
+BUCKETS_PER_BLOCK = 4096
 COPIES_PER_CHUNK = 1 << 16
 PRIME = 2147483647  # 2**31 - 1
 
@@ -77,16 +79,25 @@ def permuted(number: Column, n: int, seed: int) -> Column:
     return let(walk, lambda p: F.when(p < size, p).otherwise(F.raise_error(F.lit("the cycle walk was too short")).cast("long")))
 
 
+def bases(sizes: DataFrame) -> DataFrame:
+    """``_bucket, _base`` of buckets with ``_n`` rows each: the rows in all
+    buckets before. Blocks of buckets are summed, the blocks' sums run over all
+    blocks, and the buckets' sums inside their block."""
+    sizes = sizes.withColumn("_block", F.floor(F.col("_bucket") / BUCKETS_PER_BLOCK))
+    before = lambda w: F.coalesce(F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    blocks = sizes.groupBy("_block").agg(F.sum("_n").alias("_n"))
+    blocks = blocks.select("_block", before(Window.orderBy("_block")).alias("_start"))
+    inside = sizes.withColumn("_inside", before(Window.partitionBy("_block").orderBy("_bucket")))
+    return inside.join(blocks, "_block").select("_bucket", (F.col("_start") + F.col("_inside")).alias("_base"))
+
+
 def numbered(rows: DataFrame, keys: list[str], n: int) -> DataFrame:
     """``rows`` (columns ``keys``) with ``row_number``, 0..n-1 in an order that
     depends on the values only, not on files or partitions."""
     copies = rows.groupBy(*keys).agg(F.count("*").alias("_copies"))
     buckets = max(1, -(-n // ROWS_PER_BUCKET))
     copies = materialise(copies.withColumn("_bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("long")), "numbers")
-    up_to = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    base = copies.groupBy("_bucket").agg(F.sum("_copies").alias("_n")).select(
-        "_bucket", F.coalesce(F.sum("_n").over(up_to), F.lit(0)).alias("_base")
-    )
+    base = bases(copies.groupBy("_bucket").agg(F.sum("_copies").alias("_n")))
     inside = Window.partitionBy("_bucket").orderBy(*keys).rowsBetween(Window.unboundedPreceding, -1)
     placed = copies.withColumn("_before", F.coalesce(F.sum("_copies").over(inside), F.lit(0))).join(base, "_bucket")
     chunk = F.sequence(F.lit(0).cast("long"), F.col("_copies") - 1, F.lit(COPIES_PER_CHUNK).cast("long"))
