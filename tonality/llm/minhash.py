@@ -363,7 +363,7 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, text: str = "
     lead = band.groupBy("band").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("last")).where("a < last").drop("last")
     shared = materialise(band.join(materialise(lead, "lead").hint("merge"), "band"), "shared")
     concerned = materialise(shared.select("doc_id").distinct(), "concerned").hint("merge")
-    low = materialise(own.select("doc_id", "low").join(concerned, "doc_id"), "low")
+    low = materialise(own.select("doc_id", "low").join(concerned, "doc_id").distinct(), "low")
     texts = materialise(source.select("doc_id", "text").join(concerned, "doc_id").distinct(), "texts")
 
     pairs = shared.where("doc_id > a").select("a", F.col("doc_id").alias("b")).distinct()
