@@ -1,8 +1,19 @@
 """A training corpus from raw documents: five stages, each on all that its
-predecessor kept. Every stage but the last returns the columns of documents."""
+predecessor kept. Every stage but the last returns the columns of documents.
+
+Defined results, for every stage: a null text counts as empty, and quality rules
+reject it; near dedup keeps rows without an id, and substring dedup, mixing and
+packing take them like others; the first document of a group is the one with the
+smallest id, and rows that share an id stay or go together there; repeated rows
+are cut alike, as no passage is judged against a document of the same id; very
+long texts are processed whole; an empty table gives an empty result; extra
+columns pass through under their names, whatever those are, up to packing, which
+returns pieces.
+"""
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -31,8 +42,10 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without passages of 50 words that occur in an earlier document.
     A text that loses nothing stays as it is; one that loses all its words goes."""
-    cut = remove_repeats(docs.withColumn("_text", F.col("text")))
-    text = F.when(F.col("n_removed") == 0, F.col("rest._text")).otherwise(F.col("kept_text"))
+    taken = {c.lower() for c in docs.columns}
+    whole = next(name for i in itertools.count() if (name := f"text_{i}") not in taken)
+    cut = remove_repeats(docs.select("*", F.col("text").alias(whole)))
+    text = F.when(F.col("n_removed") == 0, F.col("rest")[whole]).otherwise(F.col("kept_text"))
     rows = cut.where("n_removed = 0 OR n_removed < n_words")
     present = [
         text.alias(c)
