@@ -45,6 +45,36 @@ def test_each_stage_does_its_work(spark):
     assert [r.doc_id for r in gone.collect()] == [1]
 
 
+def test_every_stage_takes_awkward_rows_and_names(spark):
+    """Null ids and texts, repeated rows, long texts; columns named like those
+    that the stages use inside."""
+    import corpus_pipeline as C
+
+    from .helpers import EXTRA, ROWS
+
+    values = (1, "r", "w", 2, 3, 4, 5, 0.5, "mine", "own", 6)
+    names = f"doc_id long, text string, {EXTRA}, _text string, text_0 string, p_toxic int"
+    docs = spark.createDataFrame([(d, t, *values) for d, t in ROWS], names)
+    for name, stage in C.STAGES:
+        out = stage(spark, docs, SF)
+        if name == "packing":
+            # every row is packed: pieces without an id come from the two null ids
+            assert {r.doc_id for r in out.select("doc_id").collect()} == {d for d, _ in ROWS}
+            continue
+        assert out.columns == docs.columns, name
+        rows = out.collect()
+        assert rows and all(tuple(r)[2:] == values for r in rows), name
+        texts = {}
+        for d, t in ROWS:
+            texts.setdefault(d, []).append(t)
+        if name == "substring dedup":
+            kept = {r.doc_id: r.text for r in rows}
+            assert kept[1] == ROWS[0][1] and kept[4] is None and kept[10] == dict(ROWS)[10]
+            assert 2 not in kept and len(kept[9].split()) == 60 and sum(r.doc_id == 13 for r in rows) == 2
+        else:
+            assert all(r.text in texts[r.doc_id] for r in rows), name
+
+
 def test_every_stage_takes_an_empty_table(spark):
     import corpus_pipeline as C
 
