@@ -9,10 +9,20 @@
    Projected-gradient least squares from x = 1 fits rates x >= 0 to the target
    totals T: x <- max(0, x - p_i . s), s = G^-1 (A x - T), G = sum_i n_i p_i p_i',
    the gradient in the metric where a document weighs as many tokens as it
-   has, with step 1. Each step is one aggregate over (n, p); a document's rate
-   follows from its posteriors and the few vectors s alone.
-3. A rate becomes floor(rate + u) copies, u a uniform hash of the row, so that
-   the expected number of copies is the rate.
+   has, with step 1. A document's rate follows from its posteriors and the few
+   vectors of the steps alone.
+   That step never raises the loss, but crawls where most rows stand at a bound.
+   So each step also tries directions with G taken over the rows that are free to
+   move (plus ``DAMPING`` of the whole G), and the direction with the least loss
+   is taken; all are measured in one aggregate. The fit ends when every domain is
+   within ``REACHED`` of its target, or, where no rates reach the targets (a
+   domain that every document has a little of can't get 0), when two steps in a
+   row gain less than ``GAIN`` of the loss each: the least loss itself would put
+   all tokens on the few documents with the least of that domain. There is no
+   limit to the number of steps.
+3. A rate becomes floor(rate + u) copies, u a uniform hash of the row and of its
+   place in the written posteriors, so that the expected number of copies is the
+   rate, and equal rows are drawn one by one.
 
 Defined results: null and empty texts have no tokens and the posteriors of a
 text without words; rows are weighed one by one, so null and repeated ids
@@ -25,7 +35,7 @@ through, but for those named like an added column, which are replaced.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping
+from collections.abc import Iterable, Iterator, Mapping
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +43,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
-from .common import bounded_batches, materialise
+from .common import bounded_batches, let, materialise
 from .kernels import Powers, Words, is_word_byte_table, slices, string_parts, sums_before
 from .licenses import word_table
 from .token_counts import lower_ascii
@@ -45,8 +55,8 @@ PREFIX = 5
 DENSE = 6
 MIN_DOCUMENTS, MIN_DEVIATION = 3, 4.0
 EPOCHS, BATCH, RATE, DECAY = 12, 64, 1.0, 1e-4
-STEPS = 60
-TOLERANCE = 1e-9
+DAMPING = (1e-1, 1e-3, 1e-5)
+REACHED, ABSOLUTE, GAIN = 1e-3, 1e-6, 0.05
 SYMBOLS = b"#*$%&|<>"
 ADDED = ("n_tokens", *(f"p_{d}" for d in DOMAINS))
 
@@ -225,14 +235,34 @@ def with_posteriors(docs: DataFrame, model: dict[str, np.ndarray], text: str = "
     return source.mapInArrow(run, schema).select("row.*", *ADDED)
 
 
+def vectors(values: Iterable[Iterable[float]]) -> Column:
+    """A constant array of vectors. Rows meet it in lambdas, so that Spark's
+    generated code is the same, and compiled once, for the values of all steps."""
+    return F.array(*[F.array(*[F.lit(float(v)) for v in row]) for row in values])
+
+
+def along(vector: Column, at: int = 0) -> Column:
+    """The posteriors times the vector's entries from ``at`` on."""
+    return sum((F.col(f"p_{d}") * vector[at + i] for i, d in enumerate(DOMAINS)), F.lit(0.0))
+
+
+def moved(x: Column, step: Column, most: float) -> Column:
+    """A row's rate after a step (the move's vector, then the gradient's): a row
+    at a bound that the gradient pushes against stays."""
+    move = F.when(held(x, along(step, len(DOMAINS)), most), 0.0).otherwise(along(step))
+    return F.least(F.lit(most), F.greatest(F.lit(0.0), x - move))
+
+
+def held(x: Column, gradient: Column, most: float) -> Column:
+    return ((x <= 0) & (gradient > 0)) | ((x >= most) & (gradient < 0))
+
+
 def rate(steps: list[list[float]], most: float = float("inf")) -> Column:
     """The rate of a row (at most ``most``) from its posteriors and the steps taken."""
     x = F.lit(1.0)
     if not steps:
         return x
-    taken = F.array(*[F.array(*[F.lit(float(v)) for v in s]) for s in steps])
-    move = lambda s: sum((F.col(f"p_{d}") * s[i] for i, d in enumerate(DOMAINS)), F.lit(0.0))
-    return F.aggregate(taken, x, lambda a, s: F.least(F.lit(most), F.greatest(F.lit(0.0), a - move(s))))
+    return F.aggregate(vectors(steps), x, lambda a, s: moved(a, s, most))
 
 
 def totals(rows: DataFrame, steps: list[list[float]], most: float = float("inf")) -> np.ndarray:
@@ -240,28 +270,45 @@ def totals(rows: DataFrame, steps: list[list[float]], most: float = float("inf")
     return weighed(rows, rate(steps, most))
 
 
-def weighed(rows: DataFrame, rate_: Column) -> np.ndarray:
-    weight = F.col("n_tokens") * rate_
-    row = rows.agg(*[F.coalesce(F.sum(weight * F.col(f"p_{d}")), F.lit(0.0)) for d in DOMAINS]).first()
-    return np.array([float(v) for v in row])
+def weighed(rows: DataFrame, *rates: Column) -> np.ndarray:
+    """Expected tokens of each domain, for one rate or (a row each) for several."""
+    sums = [F.coalesce(F.sum(F.col("n_tokens") * r * F.col(f"p_{d}")), F.lit(0.0)) for r in rates for d in DOMAINS]
+    found = np.array([float(v) for v in rows.agg(*sums).first()])
+    return found if len(rates) == 1 else found.reshape(len(rates), -1)
+
+
+def gram(rows: DataFrame, weight: Column) -> np.ndarray:
+    """sum_i n_i w_i p_i p_i'."""
+    p = [F.col(f"p_{d}") for d in DOMAINS]
+    sums = [F.coalesce(F.sum(F.col("n_tokens") * weight * a * b), F.lit(0.0)) for a in p for b in p]
+    return np.array([float(v) for v in rows.agg(*sums).first()]).reshape(len(DOMAINS), -1)
 
 
 def fit_rates(rows: DataFrame, targets: np.ndarray, most: float = float("inf")) -> list[list[float]]:
     """Steps of projected-gradient least squares towards the target totals."""
-    pairs = [(a, b) for a in range(len(DOMAINS)) for b in range(len(DOMAINS))]
-    p = [F.col(f"p_{d}") for d in DOMAINS]
-    row = rows.agg(*[F.coalesce(F.sum(F.col("n_tokens") * p[a] * p[b]), F.lit(0.0)) for a, b in pairs]).first()
-    gram = np.array([float(v) for v in row]).reshape(len(DOMAINS), -1)
-    inverse = np.linalg.pinv(gram, rcond=1e-9, hermitian=True)
+    whole = gram(rows, F.lit(1.0))
+    inverse = np.linalg.pinv(whole, rcond=1e-9, hermitian=True)
+    loss_of = lambda r: float(r @ inverse @ r)
     steps: list[list[float]] = []
-    last = np.inf
-    for _ in range(STEPS):
-        residual = totals(rows, steps, most) - targets
-        loss = float(residual @ inverse @ residual)
-        if loss <= TOLERANCE * max(1.0, targets.sum()) or last - loss <= 1e-4 * loss:
+    slow = 0
+    residual = totals(rows, steps, most) - targets
+    while (np.abs(residual) > REACHED * targets + ABSOLUTE * targets.sum()).any():
+        gradient = inverse @ residual
+        now = rows.withColumn("x", rate(steps, most))
+        free = gram(now.withColumn("w", let(vectors([gradient])[0], lambda g: F.when(held(F.col("x"), along(g), most), 0.0).otherwise(1.0))), F.col("w"))
+        moves = [gradient, *(np.linalg.pinv(free + mu * whole, rcond=1e-12, hermitian=True) @ residual for mu in DAMPING)]
+        tried = [[*map(float, m), *map(float, gradient)] for m in moves]
+        placed = now.withColumn("y", F.transform(vectors(tried), lambda t: moved(F.col("x"), t, most)))
+        found = weighed(placed, *[F.col("y")[i] for i in range(len(tried))]) - targets
+        best = min(range(len(tried)), key=lambda i: loss_of(found[i]))
+        before, after = loss_of(residual), loss_of(found[best])
+        if after >= before:
+            break
+        steps.append(tried[best])
+        residual = found[best]
+        slow = slow + 1 if before - after <= GAIN * before else 0
+        if slow == 2:
             break
-        last = loss
-        steps.append((inverse @ residual).tolist())
     return steps
 
 
@@ -295,20 +342,21 @@ def mix(docs: DataFrame, labels: DataFrame, shares: Mapping[str, float], text: s
     """``doc_id, n_tokens, p_<domain>, rate, copies`` of each row of ``docs``."""
     model = fit_classifier(docs, labels, text=text)
     source = docs.select("doc_id", F.col(text).alias("text"))
-    rows = materialise(with_posteriors(source, model).withColumn("hash", F.xxhash64("text")).drop("text"), "posteriors")
+    numbered = with_posteriors(source, model).withColumn("row", F.monotonically_increasing_id()).drop("text")
+    rows = materialise(numbered, "posteriors")
     steps = fit_rates(rows, target_totals(rows, shares=shares))
     placed = rows.withColumn("rate", rate(steps))
-    return placed.withColumn("copies", copies(F.col("rate"), "doc_id", "hash")).drop("hash")
+    return placed.withColumn("copies", copies(F.col("rate"), "doc_id", "row")).drop("row")
 
 
 def thin(docs: DataFrame, labels: DataFrame, keep: Mapping[str, float], text: str = "text") -> DataFrame:
     """The rows of ``docs`` drawn at rates from 0 to 1, fitted to the domain
     totals of rows kept at their top domain's ``keep``; each at most once, with
-    the columns of ``docs``."""
+    the columns of ``docs``. The judged rows are written once: the steps read
+    the posteriors alone, the draw reads all."""
     model = fit_classifier(docs, labels, text=text)
     source = docs.select(F.struct("*").alias("whole"), F.col(text).alias("text"))
-    judged = with_posteriors(source, model)
-    rows = materialise(judged.select(*ADDED), "posteriors")
+    judged = with_posteriors(source, model).select("whole", *ADDED, F.monotonically_increasing_id().alias("row"))
+    rows = materialise(judged, "judged")
     steps = fit_rates(rows, kept_totals(rows, keep), most=1.0)
-    drawn = judged.where(copies(rate(steps, 1.0), "whole.doc_id", "text") >= 1)
-    return drawn.select("whole.*")
+    return rows.where(copies(rate(steps, 1.0), "row", "whole.doc_id") >= 1).select("whole.*")
