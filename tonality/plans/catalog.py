@@ -24,7 +24,7 @@ from ..functions.labels import (
 )
 from ..functions.preview import hover_3d, preview_2d, preview_3d
 from ..functions.text import content_tokens, is_empty, ml_tokens, preview_source
-from ..operators import evaluate, features, landmarks, models, naive_bayes, nb_store, projection
+from ..operators import evaluate, features, landmarks, models, naive_bayes, nb_store, projection, uncertainty
 from ..operators.batched_grid import grid_search_batched
 from ..operators.preprocess import preprocess
 from ..operators.scoring import drop_blank, embed_texts, score_texts
@@ -37,6 +37,7 @@ from ..streaming.score_stream import OUTPUT_COLUMNS, run_available
 SEED = 42
 TRAIN_PCT = 80
 SAMPLE_N = 3000
+BOOTSTRAP_LEVEL, BOOTSTRAP_REPLICATES = 0.9, 64
 DIGITS = 6
 
 
@@ -295,6 +296,31 @@ def q_accuracy(spark, sf):
     return evaluate.accuracy(scored).select("n", r6(F.col("accuracy")).alias("accuracy"))
 
 
+def _nb_hits(spark, sf):
+    """Held-out rows with the hits of Naive Bayes and of the most frequent class."""
+    model, scored = _nb_fit_score(spark, sf)
+    most = model.classes[int(np.argmax(model.priors))]  # ties: the lower class
+    label = F.col("label")
+    return scored, {"naive_bayes": uncertainty.hit(label, F.col("prediction")), "majority": uncertainty.hit(label, F.lit(most))}
+
+
+def q_accuracy_interval(spark, sf):
+    scored, hits = _nb_hits(spark, sf)
+    found = uncertainty.accuracy_interval(scored, "doc_id", hits, BOOTSTRAP_LEVEL, BOOTSTRAP_REPLICATES, SEED)
+    return found.select("model", "n", *[r6(F.col(c)).alias(c) for c in ("accuracy", "low", "high")])
+
+
+def q_accuracy_bootstrap(spark, sf):
+    scored, hits = _nb_hits(spark, sf)
+    return uncertainty.bootstrap(scored, "doc_id", hits, BOOTSTRAP_REPLICATES, SEED)
+
+
+def q_paired_test(spark, sf):
+    scored, hits = _nb_hits(spark, sf)
+    found = uncertainty.paired_test(scored, hits["naive_bayes"], hits["majority"])
+    return found.select("n", "only_first", "only_second", *[r6(F.col(c)).alias(c) for c in ("statistic", "p_value")])
+
+
 def q_confusion_matrix(spark, sf):
     _, scored = _nb_fit_score(spark, sf)
     return evaluate.confusion_matrix(scored)
@@ -595,6 +621,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "nb_score": q_nb_score,
     "accuracy": q_accuracy,
     "confusion_matrix": q_confusion_matrix,
+    "accuracy_interval": q_accuracy_interval,
+    "accuracy_bootstrap": q_accuracy_bootstrap,
+    "paired_test": q_paired_test,
     "nb_pipeline": q_nb_pipeline,
     "lr_train_score": q_lr_train_score,
     "rf_train_score": q_rf_train_score,

@@ -8,6 +8,8 @@ or on a stream (model fits, PCA, grid search, scoring) have no entry.
 
 from __future__ import annotations
 
+import math
+
 from ..functions.labels import sql_decode, sql_encode_label, sql_sentiment_from_flags
 from ..functions.preview import (
     HOVER_COMMENT,
@@ -25,7 +27,7 @@ from ..functions.text import WS_RE2, sql_clean, sql_content_tokens, sql_process,
 from ..operators.models import GRID
 from ..operators.split import sql_bucket, sql_hash_key, sql_split
 from ..schema import CLASSES
-from .catalog import SAMPLE_N, SEED, TRAIN_PCT
+from .catalog import BOOTSTRAP_LEVEL, BOOTSTRAP_REPLICATES, SAMPLE_N, SEED, TRAIN_PCT
 
 VOCAB = 5000
 DIM = 384
@@ -193,6 +195,39 @@ def oracle_sql() -> dict[str, str]:
         + ", ".join(f"coalesce(cm.pred_{n}, 0) AS pred_{n}" for n in names.values())
         + f" FROM {_class_values()} LEFT JOIN cm ON dim.label = cm.label"
     )
+    hits = (
+        f"{nb}, base AS (SELECT label AS b FROM cls ORDER BY n_docs DESC, label LIMIT 1), "
+        "hits AS (SELECT doc_id, CAST(CAST(label AS DOUBLE) = prediction AS INTEGER) AS naive_bayes, "
+        "CAST(label = b AS INTEGER) AS majority FROM preds, base)"
+    )
+    # the share of a Poisson(1) variable at most k, in steps of 1 / 65536
+    limits = [round(sum(math.exp(-1) / math.factorial(i) for i in range(k + 1)) * 65536) for k in range(20)]
+    drawn = " + ".join(f"CAST(step >= {t} AS INTEGER)" for t in limits if t < 65536)
+    replicates = (
+        f"{hits}, stepped AS (SELECT r, naive_bayes, majority, CAST(('0x' || substr(md5('{SEED}:' || (r // 8) || ':' || doc_id), "
+        f"CAST(4 * (r % 8) + 1 AS INTEGER), 4)) AS INTEGER) AS step FROM hits, range({BOOTSTRAP_REPLICATES}) AS reps(r)), "
+        f"drawn AS (SELECT r, naive_bayes, majority, {drawn} AS w FROM stepped), "
+        "boot AS (SELECT CAST(r AS INTEGER) AS replicate, CAST(sum(w) AS BIGINT) AS rows, "
+        "CAST(sum(w * naive_bayes) AS BIGINT) AS naive_bayes, CAST(sum(w * majority) AS BIGINT) AS majority FROM drawn GROUP BY r)"
+    )
+    q["accuracy_bootstrap"] = f"{replicates} SELECT replicate, rows, naive_bayes, majority FROM boot"
+    place = lambda p: f"list_sort(list({{m}} / rows))[1 + CAST(floor((count(*) - 1) * {p} + 0.5) AS INTEGER)]"
+    tail = (1 - BOOTSTRAP_LEVEL) / 2
+    model = (
+        "SELECT '{m}' AS model, (SELECT count(*) FROM hits) AS n, (SELECT round(avg({m}), 6) FROM hits) AS accuracy, "
+        f"round({place(tail)}, 6) AS low, round({place(1 - tail)}, 6) AS high FROM boot WHERE rows > 0"
+    )
+    q["accuracy_interval"] = f"{replicates} " + " UNION ALL ".join(model.replace("{m}", m) for m in ("naive_bayes", "majority"))
+    q["paired_test"] = (
+        f"{hits}, c AS (SELECT count(*) AS n, count(*) FILTER (WHERE naive_bayes = 1 AND majority = 0) AS only_first, "
+        "count(*) FILTER (WHERE naive_bayes = 0 AND majority = 1) AS only_second FROM hits), "
+        "s AS (SELECT *, CASE WHEN only_first + only_second > 0 THEN "
+        "pow(greatest(abs(only_first - only_second) - 1, 0), 2) / (only_first + only_second) ELSE 0.0 END AS statistic FROM c), "
+        "t AS (SELECT *, 1 / (1 + 0.3275911::DOUBLE * sqrt(statistic / 2)) AS t FROM s) "
+        "SELECT n, only_first, only_second, round(statistic, 6) AS statistic, round(CASE WHEN statistic = 0 THEN 1.0 ELSE "
+        "t * (0.254829592::DOUBLE + t * (-0.284496736::DOUBLE + t * (1.421413741::DOUBLE + t * (-1.453152027::DOUBLE "
+        "+ t * 1.061405429::DOUBLE)))) * exp(-statistic / 2) END, 6) AS p_value FROM t"
+    )
     q["planar_projection"] = (
         f"WITH {_sample_cte()}, s AS (SELECT vec_id, {sql_decode('label')} AS sentiment, x, y, z FROM smp) "
         "SELECT vec_id, sentiment, 'XY' AS plane, round(x, 6) AS a, round(y, 6) AS b FROM s UNION ALL "
