@@ -3,7 +3,10 @@
 import os
 import shutil
 
-from tonality.plans.catalog import sentiment_model
+import pytest
+
+from tonality.plans.catalog import QUERIES, sentiment_model
+from tonality.schema import CONVERSATIONS
 from tonality.streaming.score_stream import OUTPUT_COLUMNS, run_available
 from tonality.operators.scoring import drop_blank, score_texts
 from tonality.sources.comments import conversation_texts
@@ -61,3 +64,22 @@ def test_stream_picks_up_only_new_files(spark, tmp_dir):
     assert n1 == drop_blank(first).count()
     assert out.count() == blank
     assert out.select("conv_id", "turn").distinct().count() == blank
+
+
+@pytest.mark.parametrize("parts", [None, 3])
+def test_scored_stream_reads_a_table_of_one_file_or_of_many(spark, tmp_dir, parts):
+    """A folder of part files next to tables with similar names."""
+    words = ["good fine day", "bad awful mess", "plain table text"]
+    docs = [(i, f"{words[i % 3]} number{i % 7}") for i in range(90)]
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{tmp_dir}/documents.parquet")
+    labels = [(i, int(i % 3 == 0), int(i % 3 == 1)) for i in range(90)]
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_dir}/labels.parquet")
+    texts = [(i // 4, i % 4, "user", None if i == 5 else " " if i == 6 else words[i % 3]) for i in range(40)]
+    talk = spark.createDataFrame(texts, CONVERSATIONS)
+    if parts is None:
+        talk.toPandas().to_parquet(f"{tmp_dir}/conversations.parquet")
+    else:
+        talk.repartition(parts).write.parquet(f"{tmp_dir}/conversations.parquet")
+    talk.limit(3).write.parquet(f"{tmp_dir}/conversations_old.parquet")
+    assert QUERIES["score_stream"](spark, tmp_dir).count() == 38
+    assert tuple(QUERIES["stream_check"](spark, f"{tmp_dir}/").first()) == (38, 0, 0)

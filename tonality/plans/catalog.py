@@ -584,8 +584,10 @@ def _scored_batch(model, spark, sf) -> DataFrame:
 
 
 def _scored_stream(model, spark, sf) -> DataFrame:
+    """The table may be one file or a folder of files; a stream takes either
+    only by a glob, which here matches nothing but the table."""
     sink = scratch_path(spark, "score-stream-out")
-    run_available(model, spark, sf, sink, scratch_path(spark, "score-stream-ckpt"), pattern="conversations*.parquet")
+    run_available(model, spark, f"{sf.rstrip('/')}/conversations.parque[t]", sink, scratch_path(spark, "score-stream-ckpt"))
     return spark.read.parquet(sink).select(*OUTPUT_COLUMNS)
 
 
