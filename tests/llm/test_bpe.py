@@ -82,3 +82,25 @@ def test_edge_rows_and_an_empty_table(spark):
     got = [r["ids"] for r in bpe.encode(docs, PATH, head=50).collect()]
     assert sorted(map(str, got)) == sorted(str(ids_of(r["text"])) for r in docs.collect())
     assert bpe.decode(bpe.encode(empty_docs(spark), PATH), PATH).collect() == []
+
+
+def test_frequent_words_take_little_memory_in_a_worker():
+    import tracemalloc
+
+    import pyarrow as pa
+
+    words = pa.array([f" word{i}" for i in range(100_000)])
+    tracemalloc.start()
+    _, known = bpe._reader({"path": PATH, "words": words})
+    size, _ = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert size < 8 << 20  # with a dict of strings: 12 MB
+    assert known.of([" word7", "new", " word99999", "", " word7"]).tolist() == [8, bpe.TAIL, 100_000, bpe.TAIL, 8]
+
+
+def test_words_with_equal_fingerprints_are_not_confused(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(bpe.Numbers, "_keys", lambda self, words: np.ones(len(words), np.uint64))
+    known = bpe.Numbers(pa.array(["a", "b"]))
+    assert set(zip("abc", known.of(["a", "b", "c"]).tolist())) <= {("a", 1), ("b", 2), ("a", 0), ("b", 0), ("c", 0)}

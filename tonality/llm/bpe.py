@@ -51,13 +51,15 @@ from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, Stri
 
 from ..operators.topk import most_frequent
 from .common import bounded_batches, materialise, without
-from .kernels import SLICE_BYTES, slices, string_parts, sums_before
+from .kernels import SLICE_BYTES, Powers, mix, slices, string_parts, sums_before
 from .token_counts import byte_of_char
 
 HEAD, HEAD_BYTES = 600_000, 64
 TABLE_WORDS = 300_000
 PLACE_BYTES = 4
 HOT_SHARE, HOT_PARTS = 1000, 32
+NUMBERED = 20_000
+DECODED = 100_000
 #: Ranges of code points whose letter, number and space classes
 #: the library's tables and Python's agree on.
 SAFE = ((0x0, 0x557), (0x900, 0xC5B), (0xD00, 0x208E), (0x20A0, 0xA7CD), (0xAC00, 0xD7FF), (0xE000, 0xFFFF))
@@ -94,7 +96,11 @@ class Splitter:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.library = Tokenizer.from_file(path).pre_tokenizer
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        # splitting needs no vocabulary, which would stay in each worker's memory
+        self.library = Tokenizer.from_str(json.dumps({**spec, "added_tokens": [], "post_processor": None, "model": {**spec["model"], "vocab": {}, "merges": []}})).pre_tokenizer
+        del spec
         letter, number, space = _ranges(r"\p{L}"), _ranges(r"\p{N}"), _ranges(r"\s")
         # fixed values: the library's pattern, its alternatives in an order that tries letters first
         self.words = re.compile(
@@ -241,21 +247,61 @@ TAIL = 0  # in a stream: the next number is 1 + the place of a word of the tail
 FIRST = 1  # the number of the most frequent word
 
 
-class Numbers(dict):
-    """Word -> its number among the frequent words; TAIL for all others."""
+class Numbers:
+    """Numbers of the frequent words, most frequent first; TAIL for all others.
 
-    def __missing__(self, word: str) -> int:
-        return TAIL
+    The words stay packed in one Arrow array (a table of Python strings would
+    take ten times the memory in each worker). A word is found by its 64-bit
+    fingerprint and counts as found only if its characters are equal."""
+
+    def __init__(self, words: pa.Array):
+        self.powers, key = Powers(), np.zeros(0, np.uint64)
+        for at in range(0, len(words), NUMBERED):  # in steps, as the working arrays are larger than the words
+            key = np.concatenate([key, self._keys(words.slice(at, NUMBERED))])
+        self.words, self.place = words, np.argsort(key, kind="stable").astype(np.int32)
+        self.key = key[self.place]
+
+    def _keys(self, words: pa.Array) -> np.ndarray:
+        raw, off = string_parts(words)
+        up, down = self.powers.upto(len(raw) + 1)
+        run = sums_before((raw.astype(np.uint64) + np.uint64(1)) * up[:-1])
+        return mix((run[off[1:]] - run[off[:-1]]) * down[off[:-1]])
+
+    def of(self, words: list[str]) -> np.ndarray:
+        coded = pa.array(words, pa.string()).dictionary_encode()
+        out = np.full(len(coded.dictionary), TAIL, np.uint32)
+        if len(self.key):
+            key = self._keys(coded.dictionary)
+            at = np.minimum(np.searchsorted(self.key, key), len(self.key) - 1)
+            same = np.flatnonzero(self.key[at] == key)
+            at = self.place[at[same]]
+            equal = pc.equal(self.words.take(pa.array(at)), coded.dictionary.take(pa.array(same))).to_numpy(zero_copy_only=False)
+            out[same[equal]] = at[equal] + FIRST
+        return out[coded.indices.to_numpy()]
 
 
 def _reader(value: dict) -> tuple[Splitter, Numbers]:
-    words = value.pop("words")
-    return Splitter(value["path"]), Numbers(zip(words, range(FIRST, FIRST + len(words)), strict=True))
+    return Splitter(value["path"]), Numbers(value["words"])
+
 
+def _numbered(part: pa.RecordBatch, split: Splitter, known: Numbers) -> tuple[np.ndarray, np.ndarray, list[list[str]]]:
+    """(numbers of the words of all texts, words before each text, each text's
+    words that are not frequent, one by one)."""
+    flat: list[str] = []
+    first = [0]
+    for text in part.column("text").to_pylist():
+        flat += split(text)
+        first.append(len(flat))
+    values = known.of(flat)
+    rare = np.flatnonzero(values == TAIL)
+    at = np.searchsorted(rare, first).tolist()
+    others = [flat[i] for i in rare.tolist()]
+    return values, np.array(first, np.int64), [others[a:b] for a, b in zip(at[:-1], at[1:], strict=True)]
 
-def tail_of(words: set[str], known: dict) -> list[str]:
+
+def tail_of(words: list[str]) -> list[str]:
     """A text's words that are not frequent, in order; places count from 0."""
-    return sorted(w for w in words if w not in known)
+    return sorted(set(words))
 
 
 def _tail_rows(shared):
@@ -263,7 +309,7 @@ def _tail_rows(shared):
         split, known = _once(shared, _reader)
         for batch in batches:
             for part in slices(batch):
-                tails = [tail_of(set(split(t)), known) for t in part.column("text").to_pylist()]
+                tails = [tail_of(w) for w in _numbered(part, split, known)[2]]
                 yield pa.RecordBatch.from_arrays(
                     [part.column("key1"), part.column("key2"), pa.array(tails, pa.list_(pa.string()))], ["key1", "key2", "tail"]
                 )
@@ -276,22 +322,18 @@ def _stream_rows(shared):
         from zstandard import ZstdCompressor
 
         split, known = _once(shared, _reader)
-        number, compress = known.__getitem__, ZstdCompressor(level=3).compress
+        compress = ZstdCompressor(level=3).compress
         for batch in batches:
             for part in slices(batch):
-                each = [split(t) for t in part.column("text").to_pylist()]
-                first = sums_before(np.array([len(w) for w in each], np.int64))
-                values = np.array([n for words in each for n in map(number, words)], np.uint32)
-                rare = np.flatnonzero(values == TAIL)
-                at = np.searchsorted(rare, first)
+                values, first, others = _numbered(part, split, known)
                 places: list[int] = []
-                for words, begin, a, b in zip(each, first.tolist(), at[:-1].tolist(), at[1:].tolist(), strict=False):
-                    own = [words[i - begin] for i in rare[a:b].tolist()]
-                    place = {w: i + 1 for i, w in enumerate(sorted(set(own)))}
+                for own in others:
+                    place = {w: i + 1 for i, w in enumerate(tail_of(own))}
                     places += [place[w] for w in own]
-                values = np.insert(values, rare + 1, places)
+                values = np.insert(values, np.flatnonzero(values == TAIL) + 1, places)
                 data, before = to_bytes(values)
-                raw, cut = data.tobytes(), before[first + at].tolist()
+                ends = first + sums_before(np.array([len(own) for own in others], np.int64))
+                raw, cut = data.tobytes(), before[ends].tolist()
                 streams = [compress(raw[a:b]) for a, b in zip(cut[:-1], cut[1:], strict=True)]
                 yield pa.RecordBatch.from_arrays(
                     [part.column("rest"), part.column("key1"), part.column("key2"), pa.array(streams, pa.binary())],
@@ -307,9 +349,9 @@ def _fill_rows(shared):
 
         head, before = shared.value["ids"], shared.value["before"]
         unit, unpack = head.dtype.itemsize, ZstdDecompressor().decompress
-        skip = PLACE_BYTES // unit
+        skip, head_length = PLACE_BYTES // unit, np.diff(before)
         for batch in batches:
-            for part in slices(batch, "stream", SLICE_BYTES // 4):
+            for part in slices(batch, "stream", SLICE_BYTES // 8):
                 data = [unpack(x) for x in part.column("stream").to_pylist()]
                 numbers, stop = from_bytes(np.frombuffer(b"".join(data), np.uint8))
                 ends = np.searchsorted(stop, np.cumsum([len(x) for x in data]), "right")
@@ -319,7 +361,7 @@ def _fill_rows(shared):
                 own = np.frombuffer(raw.tobytes(), head.dtype)
                 pool = np.concatenate([head, own])
                 begin = np.concatenate([before[:-1], len(head) + offsets[:-1] // unit + skip])
-                length = np.concatenate([np.diff(before), np.diff(offsets) // unit - skip])
+                length = np.concatenate([head_length, np.diff(offsets) // unit - skip])
                 tail_at = len(before) - 1 + sums_before(_lengths(found))[:-1]
                 # a TAIL and the place after it are one word
                 mark = np.flatnonzero(numbers == TAIL)
@@ -350,6 +392,12 @@ def hot_texts(keys: DataFrame) -> DataFrame:
     return F.broadcast(keys.sparkSession.createDataFrame(rows, "key1 long, key2 long, hot boolean"))
 
 
+def words_of(known: pa.Table) -> pa.Array:
+    """The words of a table as one array of their own (a slice would be sent with all it is cut from)."""
+    words = known.column("word")
+    return pa.concat_arrays([c.cast(pa.string()) for c in words.chunks]) if words.num_chunks else pa.array([], pa.string())
+
+
 def encode(docs: DataFrame, path: str, text: str = "text", head: int = HEAD) -> DataFrame:
     """``docs`` without its text, with ``ids`` (array of int)."""
     spark = docs.sparkSession
@@ -358,7 +406,7 @@ def encode(docs: DataFrame, path: str, text: str = "text", head: int = HEAD) ->
     known = most_frequent(short, "n", head).toArrow().sort_by([("n", "descending"), ("word", "ascending")])  # at most ``head`` rows of bounded words
     packed, offsets = string_parts(known.column("ids").combine_chunks() if known.num_rows else pa.array([], pa.binary()))
     kind = id_kind(path)
-    numbers = spark.sparkContext.broadcast({"path": path, "words": known.column("word").to_pylist()})
+    numbers = spark.sparkContext.broadcast({"path": path, "words": words_of(known)})
     places = spark.sparkContext.broadcast({"ids": np.frombuffer(packed.tobytes(), kind), "before": offsets // kind.itemsize})
 
     rest = [c for c in without(docs, "ids").columns if c != text]
@@ -395,18 +443,23 @@ def _decode_rows(shared, text: str):
         table, before = shared.value["bytes"], shared.value["before"]
         length = np.diff(before)
         for batch in batches:
-            lists = batch.column("ids")
-            ids = lists.flatten()
-            first = sums_before(_lengths(lists))
-            ids = ids.fill_null(-1).to_numpy()
-            known = (ids >= 0) & (ids < len(length))
-            at = np.where(known, ids, 0)
-            n = np.where(known, length[at], 0)
-            so_far = sums_before(n)
-            raw = table[np.arange(so_far[-1]) + np.repeat(before[at] - so_far[:-1], n)].tobytes()
-            cut = so_far[first].tolist()
-            out = [raw[a:b].decode("utf-8", "replace") for a, b in zip(cut[:-1], cut[1:], strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column("rest"), pa.array(out, pa.string())], ["rest", text])
+            n_ids = sums_before(_lengths(batch.column("ids")))
+            at = 0
+            while at < batch.num_rows:  # runs of rows with about DECODED ids, so that the working arrays stay small
+                to = max(at + 1, int(np.searchsorted(n_ids, n_ids[at] + DECODED, "right")) - 1)
+                part, at = batch.slice(at, to - at), to
+                lists = part.column("ids")
+                ids = lists.flatten()
+                first = sums_before(_lengths(lists))
+                ids = ids.fill_null(-1).to_numpy()
+                known = (ids >= 0) & (ids < len(length))
+                number = np.where(known, ids, 0)
+                n = np.where(known, length[number], 0)
+                so_far = sums_before(n)
+                raw = table[np.arange(so_far[-1]) + np.repeat(before[number] - so_far[:-1], n)].tobytes()
+                cut = so_far[first].tolist()
+                out = [raw[a:b].decode("utf-8", "replace") for a, b in zip(cut[:-1], cut[1:], strict=True)]
+                yield pa.RecordBatch.from_arrays([part.column("rest"), pa.array(out, pa.string())], ["rest", text])
 
     return run
 
