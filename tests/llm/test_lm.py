@@ -142,3 +142,45 @@ def test_every_learning_document_trains_the_model(spark, monkeypatch, tmp_path):
     lm.score(docs_of(spark, rows), tokenizer_path()).count()
     read = sorted(int(line) for f in tmp_path.iterdir() for line in f.read_text().splitlines())
     assert read == [n + 1 for n, d in enumerate(ids) if not held_out(d)]
+
+
+def test_words_are_cut_into_the_longest_pieces_to_their_end():
+    vocab = lm.vocabulary(tokenizer_path())
+    number, pieces = {p: i for i, p in enumerate(vocab)}, lm.Pieces(vocab)
+    r = np.random.default_rng(3)
+    words = [b"unbelievable", b"x", "日本語é".encode(), b"a" * 300, *(bytes(r.integers(0, 256, r.integers(1, 20)).tolist()) for _ in range(200))]
+    for word in words:
+        symbols, begin, expected = (*word, lm.END), 0, []
+        while begin < len(symbols):
+            to = next((e for e in range(min(len(symbols), begin + 200), begin, -1) if symbols[begin:e] in number), None)
+            expected.append(number[symbols[begin:to]] if to else pieces.lone_end if symbols[begin] == lm.END else pieces.unknown)
+            begin = to or begin + 1
+        assert pieces.find(word) == expected
+    assert lm.Pieces([(97,)]).find(b"aba") == [0, 2, 0, 1]
+
+
+def test_the_model_reads_and_scores_every_subword_id(spark):
+    """Words that start with the same piece but go on differently."""
+    from types import SimpleNamespace
+
+    import pyarrow as pa
+
+    vocab = lm.vocabulary(tokenizer_path())
+    pieces = lm.Pieces(vocab)
+    class_of = np.arange(len(pieces))
+    shared = {"key": np.zeros(0, np.uint64), "log_c": np.zeros(0), "class_of": class_of, "classes": len(pieces) + 2, "log_unseen": 0.0}
+    texts = ["xqzxqz17 XQZ99 \n", "", "one two onetwothreefour"]
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array([1, 2, 3]), pa.array([False] * 3), pa.array([0] * 3, pa.int32()), pa.array(texts)], ["doc_id", "held_out", "round", "text"]
+    )
+    (out,) = lm._encode_rows(SimpleNamespace(value=pieces), SimpleNamespace(value=shared))(iter([batch]))
+    got = [np.frombuffer(c, lm.CODE).tolist() for c in out.column("classes").to_pylist()]
+    assert got == [[i for w in ascii_words(t) for i in pieces.find(w.lower())] + [len(pieces) + 1] for t in texts]
+    assert len(got[0]) > 3 and out.column("n_tokens").to_pylist() == [3, 1, 4]
+
+    learn = [i for i in range(500) if not held_out(i)]
+    rows = [(i, f"zq{'ab' if i % 2 else 'cd'}x7 end" + " of it" * 20) for i in learn[:300]]
+    test = [next(i for i in range(900, 999) if held_out(i)), next(i for i in range(1000, 1099) if held_out(i))]
+    tests = [(test[0], "zqabx7 end of it of it"), (test[1], "zqvvx7 end of it of it")]  # its word starts alike, its later pieces were never seen there
+    score = {r.doc_id: r.score for r in lm.score(docs_of(spark, rows + tests), tokenizer_path()).collect()}
+    assert score[test[0]] > score[test[1]]

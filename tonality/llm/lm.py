@@ -5,20 +5,19 @@ token. Documents whose crc32(id as text) mod 5 is 1 are held out; the others
 are learnt from.
 
 * Base score: log10 of (c + 0.5) / (N + 0.5 (V + 1)) for each token.
-* Model: log10 P(token | before) = log10 P(class | classes before) +
-  log10 P(token | class). A token's class is its leading subword id, i.e. the
-  longest piece of a public vocabulary that the word starts with. Every id that
-  leads a learnt word is a class of its own, whatever their number K; words
-  without one share a class, and the end token has its own. A causal
-  self-attention layer in numpy predicts the class from up to ``WINDOW`` classes
-  before; P(token | class) is (c + 0.5) / (N_class + 0.5 (V_class + 1)). So the
-  score is the logarithm of a probability over all known words and one unknown
-  word per class.
+* Model: the text as subword ids: each word is cut into the longest pieces of a
+  public vocabulary from left to right (pieces that end a word say so), and the
+  end token stands last. A causal self-attention layer in numpy predicts every id
+  from up to ``WINDOW`` ids before it; the score is the sum of log10 P(id | ids
+  before), the logarithm of a probability over all texts cut in this way. Every
+  id that a learnt text has is a class of its own, whatever their number K; the
+  others share one class, in which they are equally likely; the end token has its
+  own.
 * Two-level softmax: classes by falling frequency are cut into groups of about
-  sqrt K; P(class) = P(group) P(class | group), so a token costs about 2 sqrt K
+  sqrt K; P(class) = P(group) P(class | group), so an id costs about 2 sqrt K
   exponentials. Logits are held within ``LIMIT``.
-* Overlapping windows: each starts ``STRIDE`` tokens after the one before; a
-  token is scored once, with at least ``WINDOW - STRIDE`` tokens of context
+* Overlapping windows: each starts ``STRIDE`` ids after the one before; an
+  id is scored once, with at least ``WINDOW - STRIDE`` ids of context
   (fewer only at the start of the text). The output layers are computed for the
   scored places only.
 * Counts cover all learning documents: each task sums its words, Spark sums
@@ -28,13 +27,12 @@ are learnt from.
 * Training: one pass over all learning documents, dealt by a hash of id and
   text to ``TRAIN_EVERY`` rounds; in a round each task runs Adam over its share
   of the round's documents, in windows that follow each other without overlap
-  (each token is learnt from once), and the weights are averaged by tokens seen.
+  (each id is learnt from once), and the weights are averaged by ids seen.
   So the weights, and the model's score, depend on how rows fall into tasks.
 
 Defined results: null and empty texts are the end token alone; a null id
 counts as the empty string for the hold-out rule; repeated rows are scored and
-counted each; without learning documents every probability of a word is that
-of the unknown; an empty table gives an empty result; other columns are not
+counted each; without learning documents all ids share one class; an empty table gives an empty result; other columns are not
 read.
 """
 
@@ -56,6 +54,7 @@ WINDOW, STRIDE = 32, 24
 WIDTH, HIDDEN = 16, 32
 HEAD = 200_000
 TRAIN_EVERY, BATCH, RATE = 3, 64, 0.01
+LEAST, STEPS = 8, 64
 SCORE_BATCH = 128
 PIECES_KEPT = 500_000
 LIMIT = np.float32(60)
@@ -67,40 +66,60 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(F.encode(text, "UTF-8")) % 5 == 1
 
 
-class LeadingPiece:
-    """Number of the longest piece that a word (with its end mark) starts with;
-    -1 if there is none."""
+class Pieces:
+    """Subword ids of words: the longest piece that matches (with the word's end
+    mark), then the longest that follows, to the end. An end mark that is left
+    alone is an id of its own, ``len(pieces)``; a byte that no piece starts with
+    is ``len(pieces) + 1``."""
 
     def __init__(self, pieces: list[tuple[int, ...]]):
         self.step = Automaton(pieces).step
-        self.piece_at: dict[int, int] = {}
+        self.piece_at = [-1] * (1 + max(self.step.values(), default=0))
         for number, piece in enumerate(pieces):
             at = 0
             for s in piece:
                 at = self.step[at * 257 + s]
             self.piece_at[at] = number
-        self.known: dict[int, int] = {}
-
-    def find(self, word: bytes) -> int:
-        at, best = 0, -1
-        for s in (*word, END):
-            at = self.step.get(at * 257 + s)
-            if at is None:
-                break
-            best = self.piece_at.get(at, best)
-        return best
-
-    def of(self, w: Words, key: np.ndarray, at: np.ndarray) -> np.ndarray:
-        """Pieces of the words at positions ``at`` with fingerprints ``key``."""
+        self.lone_end, self.unknown = len(pieces), len(pieces) + 1
+        self.kind = np.dtype(np.uint16 if len(pieces) + 2 <= 1 << 16 else np.uint32)
+        self.known: dict[int, bytes] = {}
+
+    def __len__(self) -> int:
+        return self.unknown + 1
+
+    def find(self, word: bytes) -> list[int]:
+        step, piece_at = self.step.get, self.piece_at
+        symbols, out, begin = (*word, END), [], 0
+        n = len(symbols)
+        while begin < n:
+            best, i = -1, begin
+            at = step(symbols[i])
+            while at is not None:
+                i += 1
+                if piece_at[at] >= 0:
+                    best, stop = piece_at[at], i
+                if i == n:
+                    break
+                at = step(at * 257 + symbols[i])
+            if best < 0:
+                best, stop = self.lone_end if symbols[begin] == END else self.unknown, begin + 1
+            out.append(best)
+            begin = stop
+        return out
+
+    def of(self, w: Words, key: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the words at positions ``at`` with fingerprints ``key``, one
+        word after another, and the ids before each word."""
         if len(self.known) + len(key) > PIECES_KEPT:
             self.known.clear()
         out = []
         for k, i in zip(key.tolist(), at.tolist(), strict=True):
             p = self.known.get(k)
             if p is None:
-                p = self.known[k] = self.find(w.word(i))
+                p = self.known[k] = np.array(self.find(w.word(i)), self.kind).tobytes()
             out.append(p)
-        return np.array(out, np.int32)
+        before = sums_before(np.array([len(p) for p in out], np.int64) // self.kind.itemsize)
+        return np.frombuffer(b"".join(out), self.kind).astype(np.int64), before
 
 
 # --- the model -------------------------------------------------------------
@@ -111,8 +130,8 @@ def group_size(classes: int) -> int:
 
 
 def shapes(classes: int) -> dict[str, tuple[int, ...]]:
-    """Shapes of the weights for ``classes`` classes, the last two for words
-    without a leading piece and for the end token. The last row of each matrix
+    """Shapes of the weights for ``classes`` classes, the last two for ids
+    that no learnt text has and for the end token. The last row of each matrix
     of ``member`` is its bias."""
     m = group_size(classes)
     groups = -(-classes // m)
@@ -323,76 +342,88 @@ def with_ends(values: np.ndarray, first: np.ndarray, end: int) -> tuple[np.ndarr
 
 
 def _count_rows(pieces):
-    """(fingerprint, leading piece, count) of the words, summed per task."""
+    """(fingerprint, null, count) of the words and (null, id, count) of their
+    subword ids, summed per task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        leading = pieces.value
+        subwords = pieces.value
         powers, inside, lower = Powers(), is_word_byte_table(), lower_ascii()
-        held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-        size = 0
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        size, ids = 0, np.zeros(len(subwords), np.int64)
 
-        def summed() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-            key, piece, n = (np.concatenate(x) for x in zip(*held, strict=True))
-            key, at, inverse = np.unique(key, return_index=True, return_inverse=True)
-            return key, piece[at], np.bincount(inverse, weights=n, minlength=len(key)).astype(np.int64)
+        def summed() -> tuple[np.ndarray, np.ndarray]:
+            key, n = (np.concatenate(x) for x in zip(*held, strict=True))
+            key, inverse = np.unique(key, return_inverse=True)
+            return key, np.bincount(inverse, weights=n, minlength=len(key)).astype(np.int64)
 
         def rows(key, piece, n):
-            return pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(piece), pa.array(n)], ["key", "piece", "n"])
+            return pa.RecordBatch.from_arrays([key, piece, pa.array(n)], ["key", "piece", "n"])
+
+        def words(key, n):
+            return rows(pa.array(key.view(np.int64)), pa.nulls(len(key), pa.int32()), n)
 
         for batch in batches:
             for part in slices(batch):
                 w = Words(part.column("text"), powers, inside, lower)
                 key, at, n = np.unique(w.key, return_index=True, return_counts=True)
-                held.append((key, leading.of(w, key, at), n))
+                found, before = subwords.of(w, key, at)
+                ids += np.bincount(found, weights=np.repeat(n, np.diff(before)), minlength=len(ids)).astype(np.int64)
+                held.append((key, n))
                 size += len(key)
                 if size > 1_500_000:
                     held = [summed()]
                     size = len(held[0][0])
                     if size > 750_000:
-                        yield rows(*held[0])
+                        yield words(*held[0])
                         held, size = [], 0
         if held:
-            yield rows(*summed())
+            yield words(*summed())
+        seen = np.flatnonzero(ids)
+        yield rows(pa.nulls(len(seen), pa.int64()), pa.array(seen.astype(np.int32)), ids[seen])
 
     return run
 
 
-def _classes_of(w: Words, head: dict, leading: LeadingPiece, class_of: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(class, place in the head table, is in it) of each word."""
+def _in_head(w: Words, head: dict) -> tuple[np.ndarray, np.ndarray]:
+    """(place in the head table, is in it) of each word."""
     keys = head["key"]
     place = np.minimum(np.searchsorted(keys, w.key), max(0, len(keys) - 1))
-    known = keys[place] == w.key if len(keys) else np.zeros(len(w), bool)
-    classes = np.full(len(w), class_of[-1], np.int64)
-    if len(keys):
-        classes[known] = head["class"][place[known]]
-    rare = np.flatnonzero(~known)
-    key, at, inverse = np.unique(w.key[rare], return_index=True, return_inverse=True)
-    classes[rare] = class_of[leading.of(w, key, rare[at])][inverse] if len(rare) else 0
-    return classes, place, known
+    return place, keys[place] == w.key if len(keys) else np.zeros(len(w), bool)
+
+
+def _classes_of(w: Words, subwords: Pieces, class_of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Classes of all subword ids of the texts, in order, and the ids before each word."""
+    key, at, inverse = np.unique(w.key, return_index=True, return_inverse=True)
+    ids, before = subwords.of(w, key, at)
+    first = sums_before(np.diff(before)[inverse])
+    place = np.arange(first[-1]) + np.repeat(before[inverse] - first[:-1], np.diff(first))
+    return class_of[ids][place], first
 
 
 ENCODED_SCHEMA = (
-    "doc_id long, held_out boolean, round int, n_tokens long, n_head long, log_head double, log_class double, classes binary, "
+    "doc_id long, held_out boolean, round int, n_tokens long, n_head long, log_head double, log_unseen double, classes binary, "
     "rare array<long>, rare_n array<int>"
 )
 
 
 def _encode_rows(pieces, shared):
-    """Each text's class sequence, sums over its frequent words, and its other
-    words with their counts."""
+    """Each text's subword ids as classes, sums over its frequent words, and its
+    other words with their counts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, leading = shared.value, pieces.value
-        stop = len(model["log_class"]) - 1
+        model, subwords = shared.value, pieces.value
+        stop = model["classes"] - 1
         powers, inside, lower = Powers(), is_word_byte_table(), lower_ascii()
         span = lambda values, first: np.diff(sums_before(values)[first])  # noqa: E731  sums per text
         for batch in batches:
             for part in slices(batch):
                 words = Words(part.column("text"), powers, inside, lower)
                 n = part.num_rows
-                classes, place, known = _classes_of(words, model, leading, model["class_of"])
+                place, known = _in_head(words, model)
                 log_c = np.where(known, model["log_c"][place], 0.0) if len(model["key"]) else np.zeros(len(words))
-                sequence, first = with_ends(classes, words.first, stop)
+                classes, ids_before = _classes_of(words, subwords, model["class_of"])
+                sequence, first = with_ends(classes, ids_before[words.first], stop)
+                unseen = span((sequence == stop - 1).astype(np.int64), first)
                 rare = np.flatnonzero(~known)
                 owner = words.text_of_word()[rare]
                 order = np.lexsort((words.key[rare], owner))
@@ -409,15 +440,15 @@ def _encode_rows(pieces, shared):
                         part.column("doc_id"),
                         part.column("held_out"),
                         part.column("round"),
-                        pa.array(np.diff(first).astype(np.int64)),
+                        pa.array((np.diff(words.first) + 1).astype(np.int64)),
                         pa.array(span(known.astype(np.int64), words.first)),
                         pa.array(span(log_c, words.first)),
-                        pa.array(span(model["log_class"][sequence], first)),
+                        pa.array(unseen * model["log_unseen"]),
                         pa.Array.from_buffers(pa.binary(), n, [None, ends, code]),
                         pa.ListArray.from_arrays(offsets, pa.array(key[at].view(np.int64))),
                         pa.ListArray.from_arrays(offsets, pa.array(times)),
                     ],
-                    ["doc_id", "held_out", "round", "n_tokens", "n_head", "log_head", "log_class", "classes", "rare", "rare_n"],
+                    ["doc_id", "held_out", "round", "n_tokens", "n_head", "log_head", "log_unseen", "classes", "rare", "rare_n"],
                 )
 
     return run
@@ -438,8 +469,9 @@ def _train_rows(weights, classes: int):
             for _, sequence, first in _sequences(batch):
                 inputs, targets, counted, _ = windows(sequence, first, classes, WINDOW)
                 order = np.random.default_rng(len(inputs)).permutation(len(inputs))
-                for at in range(0, len(order), BATCH):
-                    pick = order[at : at + BATCH]
+                size = min(BATCH, max(LEAST, len(order) // STEPS))  # few windows: smaller steps, not too few
+                for at in range(0, len(order), size):
+                    pick = order[at : at + size]
                     adam.step(w, gradients(w, inputs[pick], targets[pick], counted[pick], past))
                     seen += int(counted[pick].sum())
         if seen:
@@ -490,24 +522,23 @@ def score(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
     ).withColumn("round", F.pmod(F.xxhash64("doc_id", "text", F.lit("train")), F.lit(TRAIN_EVERY)).cast("int"))
     learn = rows.where("NOT held_out")
     vocab = vocabulary(path)
-    pieces = spark.sparkContext.broadcast(LeadingPiece(vocab))  # as large as the vocabulary
+    pieces = spark.sparkContext.broadcast(Pieces(vocab))  # as large as the vocabulary
 
     counted = learn.select("text").mapInArrow(_count_rows(pieces), "key long, piece int, n long")
-    counts = materialise(counted.groupBy("key").agg(F.sum("n").alias("c"), F.min("piece").alias("piece")), "counts")
+    both_counts = materialise(counted.groupBy("key", "piece").agg(F.sum("n").alias("c")), "counts")
+    counts = both_counts.where("key IS NOT NULL").select("key", "c")
     n_learn = learn.count()
+    sums = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
+    total, distinct = sums["n"] + n_learn, sums["v"] + int(n_learn > 0)
 
     # at most one row per piece of the vocabulary
-    by_piece = counts.groupBy("piece").agg(F.sum("c").alias("n"), F.count("*").alias("v")).toArrow()
-    piece, n_piece, v_piece = (by_piece.column(c).to_numpy().astype(np.int64) for c in ("piece", "n", "v"))
-    order = np.lexsort((piece, -n_piece))
-    own = order[piece[order] >= 0]
-    classes = len(own) + 2  # and one for words without a piece, one for the end
-    class_of = np.full(len(vocab) + 1, classes - 2, np.int64)  # index -1, the last: no piece
+    by_piece = both_counts.where("key IS NULL").select("piece", "c").toArrow()
+    piece, n_piece = (by_piece.column(c).to_numpy().astype(np.int64) for c in ("piece", "c"))
+    own = np.lexsort((piece, -n_piece))
+    classes = len(own) + 2  # and one for the ids that no learnt text has, one for the end
+    class_of = np.full(len(vocab) + 2, classes - 2, np.int64)
     class_of[piece[own]] = np.arange(len(own))
-    n_class = np.bincount(class_of[piece], weights=n_piece, minlength=classes)
-    v_class = np.bincount(class_of[piece], weights=v_piece, minlength=classes)
-    n_class[-1], v_class[-1] = n_learn, int(n_learn > 0)
-    total, distinct = int(n_piece.sum()) + n_learn, int(v_piece.sum()) + int(n_learn > 0)
+    n_class = np.concatenate([n_piece[own], [0, n_learn]])
 
     head = frequent(counts).toArrow()  # at most HEAD rows
     key = head.column("key").to_numpy().view(np.uint64)
@@ -516,9 +547,9 @@ def score(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
         {
             "key": key[by_key],
             "log_c": np.log10(head.column("c").to_numpy()[by_key] + 0.5),
-            "class": class_of[head.column("piece").to_numpy()[by_key]],
             "class_of": class_of,
-            "log_class": np.log10(n_class + 0.5 * (v_class + 1)),
+            "classes": classes,
+            "log_unseen": -math.log10(max(1, len(class_of) - len(own))),  # these ids are equally likely
         }
     )
 
@@ -557,5 +588,5 @@ def score(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
         (F.col("n_head") + F.coalesce("n_rare", F.lit(0)) + F.lit(int(n_learn > 0))).cast("long").alias("n_known"),
         F.lit(total).cast("long").alias("train_tokens"),
         (log_c - F.col("n_tokens") * F.lit(float(np.log10(total + 0.5 * (distinct + 1))))).alias("base_score"),
-        (log_c - F.col("log_class") + F.col("log_model")).alias("score"),
+        (F.col("log_unseen") + F.col("log_model")).alias("score"),
     )
