@@ -62,6 +62,41 @@ def test_a_text_that_half_of_all_rows_have(spark):
     assert got == {d: ids_of(t) for d, t in rows}
 
 
+def test_words_and_streams_meet_with_one_shuffle_each(spark, capsys):
+    """What frequent words' ids and an exchange between grouping and joining take on disk grows with the texts."""
+    df = spark.createDataFrame([(i, f"some some some words word{i}") for i in range(50)], "doc_id long, text string")
+    words = bpe.word_table(df, PATH)
+    known = bpe.most_frequent(words, "n", 4).toArrow()
+    every, others = ({r["word"] for r in w.collect()} for w in (words, bpe.other_words(words, known)))
+    assert known.num_rows == 4 and others == every - set(known.column("word").to_pylist())
+    assert bpe.other_words(words, known.slice(0, 0)).count() == words.count()
+    long = spark.createDataFrame([("x" * 65, 9), ("y", 9)], "word string, n long")
+    assert [r["word"][0] for r in bpe.other_words(long, long.where("word = 'y'").toArrow()).collect()] == ["x"]
+    bpe.encode(df, PATH, head=3).explain()
+    assert capsys.readouterr().out.count("Exchange hashpartitioning(key1") == 2  # the grouped words, the streams
+
+
+def test_hot_texts_are_dealt_by_their_share(spark):
+    times = {1: 300, 2: 40, 3: 5, 4: 4}
+    rows = [(k, 0) for k, n in times.items() for _ in range(n)] + [(100 + i, 0) for i in range(4000 - sum(times.values()))]
+    hot = bpe.hot_texts(spark.createDataFrame(rows, "key1 long, key2 long")).collect()
+    assert {r["key1"]: r["parts"] for r in hot} == {1: bpe.HOT_PARTS, 2: 10, 3: 2}
+
+
+def test_a_task_sends_the_tail_of_a_hot_text_once():
+    from types import SimpleNamespace
+
+    import pyarrow as pa
+
+    shared = SimpleNamespace(value={"path": PATH, "words": pa.array(["a"])})
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array([1, 1, 2, 2]), pa.array([5, 5, 6, 6]), pa.array([3, 3, 1, 1], pa.int32()), pa.array(["a b"] * 2 + ["a c"] * 2)],
+        ["key1", "key2", "parts", "text"],
+    )
+    got = [r for b in bpe._tail_rows(shared)(iter([batch, batch])) for r in b.to_pylist()]
+    assert [(r["key1"], r["parts"], r["tail"]) for r in got] == [(1, 3, [" b"])] + [(2, 1, [" c"])] * 4
+
+
 def test_decode_takes_any_ids(spark):
     rows = [(1, [50256, 13, 99999, -1, None, 220]), (2, None), (3, []), (4, [447]), (5, [447, 247])]
     got = {r["i"]: r["text"] for r in bpe.decode(spark.createDataFrame(rows, "i int, ids array<int>"), PATH).collect()}

@@ -15,8 +15,8 @@ Encoding, as the ``tokenizers`` library does without added special tokens:
 Only the stream of numbers is shuffled, at about a quarter of the text's bytes.
 It is joined by two 64-bit fingerprints of the text, not by a generated row
 number, so a task that runs again gives the same rows. Equal texts share their
-words' rows; a text that very many rows have is dealt to several tasks, each with
-its own copy of those.
+words' rows; a text that very many rows have is dealt to several parts, each with
+its own copy of those: a task that splits texts sends them once to each part.
 
 Decoding joins ids with the table of pieces, whose size is that of the
 vocabulary, on the map side; the bytes are decoded as UTF-8 with replacements.
@@ -304,14 +304,27 @@ def tail_of(words: list[str]) -> list[str]:
     return sorted(set(words))
 
 
+def _unsent(batch: pa.RecordBatch, sent: set[tuple[int, int]]) -> pa.RecordBatch:
+    """The rows but those of a text of several parts whose tail the task has sent.
+    ``sent`` holds hot texts only, fewer than ``HOT_SHARE``."""
+    new = np.ones(batch.num_rows, bool)
+    for i in np.flatnonzero(batch.column("parts").to_numpy() > 1).tolist():
+        key = (batch.column("key1")[i].as_py(), batch.column("key2")[i].as_py())
+        new[i] = key not in sent
+        sent.add(key)
+    return batch if new.all() else batch.filter(pa.array(new))
+
+
 def _tail_rows(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         split, known = _once(shared, _reader)
+        sent: set[tuple[int, int]] = set()
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(_unsent(batch, sent)):
                 tails = [tail_of(w) for w in _numbered(part, split, known)[2]]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("key1"), part.column("key2"), pa.array(tails, pa.list_(pa.string()))], ["key1", "key2", "tail"]
+                    [part.column("key1"), part.column("key2"), part.column("parts"), pa.array(tails, pa.list_(pa.string()))],
+                    ["key1", "key2", "parts", "tail"],
                 )
 
     return run
@@ -384,12 +397,14 @@ def _lengths(lists: pa.Array) -> np.ndarray:
 
 
 def hot_texts(keys: DataFrame) -> DataFrame:
-    """``key1, key2, hot``: texts that more than one in ``HOT_SHARE`` rows have.
-    There are fewer than ``HOT_SHARE`` of them, so the table can be broadcast."""
+    """``key1, key2, parts``: texts that more than one in ``HOT_SHARE`` rows have,
+    and into how many parts their rows are dealt: a part for each such share, up
+    to ``HOT_PARTS``. There are fewer than ``HOT_SHARE`` of them, so the table can
+    be broadcast."""
     counts = keys.groupBy("key1", "key2").agg(F.count(F.lit(1)).alias("n"))
-    many = counts.where(F.col("n") > F.lit(max(1, keys.count() // HOT_SHARE))).select("key1", "key2")
-    rows = [(r["key1"], r["key2"], True) for r in many.collect()]
-    return F.broadcast(keys.sparkSession.createDataFrame(rows, "key1 long, key2 long, hot boolean"))
+    share = max(1, keys.count() // HOT_SHARE)
+    rows = [(r["key1"], r["key2"], min(HOT_PARTS, -(-r["n"] // share))) for r in counts.where(F.col("n") > F.lit(share)).collect()]
+    return F.broadcast(keys.sparkSession.createDataFrame(rows, "key1 long, key2 long, parts int"))
 
 
 def words_of(known: pa.Table) -> pa.Array:
@@ -398,6 +413,14 @@ def words_of(known: pa.Table) -> pa.Array:
     return pa.concat_arrays([c.cast(pa.string()) for c in words.chunks]) if words.num_chunks else pa.array([], pa.string())
 
 
+def other_words(words: DataFrame, known: pa.Table) -> DataFrame:
+    """The words that are not in the table of frequent ones, which has all short
+    words down to its lowest count."""
+    if not known.num_rows:
+        return words
+    return words.where((F.octet_length("word") > HEAD_BYTES) | (F.col("n") < F.lit(pc.min(known.column("n")).as_py())))
+
+
 def encode(docs: DataFrame, path: str, text: str = "text", head: int = HEAD) -> DataFrame:
     """``docs`` without its text, with ``ids`` (array of int)."""
     spark = docs.sparkSession
@@ -414,21 +437,24 @@ def encode(docs: DataFrame, path: str, text: str = "text", head: int = HEAD) ->
     source = docs.select(
         (F.struct(*rest) if rest else F.lit(0)).alias("rest"), t.alias("text"), F.xxhash64(t).alias("key1"), F.xxhash64(F.lit(1), t).alias("key2")
     )
+    hot = hot_texts(source.select("key1", "key2"))
+    parts = F.coalesce("parts", F.lit(1))
+
     keys = [StructField("key1", LongType()), StructField("key2", LongType())]
-    tails = source.select("key1", "key2", "text").mapInArrow(_tail_rows(numbers), StructType([*keys, StructField("tail", ArrayType(StringType()))]))
-    rare = tails.select("key1", "key2", F.posexplode("tail").alias("place", "word"))
+    tail = StructType([*keys, StructField("parts", IntegerType()), StructField("tail", ArrayType(StringType()))])
+    tails = source.select("key1", "key2", "text").join(hot, ["key1", "key2"], "left").withColumn("parts", parts).mapInArrow(_tail_rows(numbers), tail)
+    # dealt to parts before the rows are grouped, so that groups and streams meet without another shuffle
+    dealt = tails.select("key1", "key2", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "tail")
+    rare = dealt.select("key1", "key2", "part", F.posexplode("tail").alias("place", "word"))
     # the place, as bytes that sort like it, and the ids: equal texts give equal values, which the set keeps once
     placed = F.concat(F.unhex(F.lpad(F.hex("place"), 2 * PLACE_BYTES, "0")), F.col("ids"))
-    looked = rare.join(words.select("word", "ids"), "word").select("key1", "key2", placed.alias("placed"))
-    found = looked.groupBy("key1", "key2").agg(F.sort_array(F.collect_set("placed")).alias("found"))
+    looked = rare.join(other_words(words, known).select("word", "ids"), "word").select("key1", "key2", "part", placed.alias("placed"))
+    found = looked.groupBy("key1", "key2", "part").agg(F.sort_array(F.collect_set("placed")).alias("found"))
 
     streams = source.mapInArrow(_stream_rows(numbers), StructType([source.schema["rest"], *keys, StructField("stream", BinaryType())]))
-    hot = hot_texts(source.select("key1", "key2"))
-    # the copies of a hot text are dealt to HOT_PARTS parts, each with its own copy of the text's few words
-    parts = F.when(F.col("hot"), HOT_PARTS).otherwise(1)
-    streams = streams.join(hot, ["key1", "key2"], "left").withColumn("part", F.monotonically_increasing_id() % parts)
-    found = found.join(hot, ["key1", "key2"], "left").withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), (parts - 1).cast("long"))))
-    both = streams.drop("hot").join(found.drop("hot").hint("merge"), ["key1", "key2", "part"], "left")
+    dealt_to = F.pmod(F.xxhash64(F.monotonically_increasing_id()), parts).cast("int")
+    streams = streams.join(hot, ["key1", "key2"], "left").withColumn("part", dealt_to)
+    both = streams.drop("parts").join(found.hint("merge"), ["key1", "key2", "part"], "left")
     out = StructType([source.schema["rest"], StructField("ids", ArrayType(IntegerType()))])
     return both.select("rest", "stream", "found").mapInArrow(_fill_rows(places), out).select(*(["rest.*"] if rest else []), "ids")
 
