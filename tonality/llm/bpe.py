@@ -185,21 +185,27 @@ def _count_rows(shared):
 
 
 def _encode_rows(path: str):
+    own, kind = specials(path), id_kind(path)
+    char = {b: c for c, b in byte_of_char().items()}
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        model, own, kind = Tokenizer.from_file(path).model, specials(path), id_kind(path)
-        char = {b: c for c, b in byte_of_char().items()}
+        model = Tokenizer.from_file(path).model
         for batch in batches:
-            ids = []
+            ids: list[int] = []
+            ends = [0]
             for word in batch.column("word").to_pylist():
                 if word in own:
-                    found = [own[word]]
+                    ids.append(own[word])
                 else:
-                    found = [t.id for t in model.tokenize(word.encode().decode("latin-1").translate(char))]
-                ids.append(np.array(found, kind).tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column("word"), batch.column("n"), pa.array(ids, pa.binary())], ["word", "n", "ids"])
+                    ids += [t.id for t in model.tokenize(word.encode().decode("latin-1").translate(char))]
+                ends.append(len(ids))
+            packed = pa.py_buffer(np.array(ids, kind).tobytes())
+            offsets = pa.py_buffer((np.array(ends, np.int64) * kind.itemsize).astype(np.int32).tobytes())
+            column = pa.Array.from_buffers(pa.binary(), batch.num_rows, [None, offsets, packed])
+            yield pa.RecordBatch.from_arrays([batch.column("word"), batch.column("n"), column], ["word", "n", "ids"])
 
     return run
 
@@ -373,17 +379,22 @@ def _fill_rows(shared):
                 raw, offsets = string_parts(found.flatten())
                 own = np.frombuffer(raw.tobytes(), head.dtype)
                 pool = np.concatenate([head, own])
-                begin = np.concatenate([before[:-1], len(head) + offsets[:-1] // unit + skip])
-                length = np.concatenate([head_length, np.diff(offsets) // unit - skip])
-                tail_at = len(before) - 1 + sums_before(_lengths(found))[:-1]
+                tail_at = sums_before(_lengths(found))[:-1]
                 # a TAIL and the place after it are one word
                 mark = np.flatnonzero(numbers == TAIL)
                 word = numbers.astype(np.int64) - FIRST
-                word[mark + 1] = tail_at[row[mark]] + word[mark + 1]
-                word, row = np.delete(word, mark), np.delete(row, mark)
-                n = length[word]
+                of_tail = tail_at[row[mark]] + word[mark + 1]
+                in_tail = np.zeros(len(word), bool)
+                in_tail[mark + 1] = True
+                keep = np.ones(len(word), bool)
+                keep[mark] = False
+                word, row, in_tail = word[keep], row[keep], in_tail[keep]
+                word[in_tail] = 0  # begin and length of these come from the text's own words
+                begin, n = (before[word], head_length[word]) if len(head_length) else (word, word.copy())
+                begin[in_tail] = len(head) + offsets[of_tail] // unit + skip
+                n[in_tail] = (offsets[of_tail + 1] - offsets[of_tail]) // unit - skip
                 so_far = sums_before(n)
-                place = np.arange(so_far[-1]) + np.repeat(begin[word] - so_far[:-1], n)
+                place = np.arange(so_far[-1]) + np.repeat(begin - so_far[:-1], n)
                 first = so_far[np.searchsorted(row, np.arange(part.num_rows + 1))]
                 out = pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), pa.array(pool[place].astype(np.int32)))
                 yield pa.RecordBatch.from_arrays([part.column("rest"), out], ["rest", "ids"])

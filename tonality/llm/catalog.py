@@ -100,7 +100,7 @@ def op13_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     path = byte_bpe_path()
     encoded = encode(table(spark, sf_dir, "documents").select("doc_id", "text"), path)
-    digest = F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256)
+    digest = F.sha2(F.btrim(F.to_json("ids"), F.lit("[]")), 256)  # without a string for each id
     counted = encoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), digest.alias("ids_sha256"), "ids")
     return decode(counted, path).select("doc_id", "n_tokens", "ids_sha256", F.sha2("text", 256).alias("decoded_sha256"))
 
