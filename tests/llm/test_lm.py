@@ -184,3 +184,48 @@ def test_the_model_reads_and_scores_every_subword_id(spark):
     tests = [(test[0], "zqabx7 end of it of it"), (test[1], "zqvvx7 end of it of it")]  # its word starts alike, its later pieces were never seen there
     score = {r.doc_id: r.score for r in lm.score(docs_of(spark, rows + tests), tokenizer_path()).collect()}
     assert score[test[0]] > score[test[1]]
+
+
+def test_words_are_cut_together_as_they_are_alone():
+    """Many at a time, whatever their lengths; words that the cache holds too."""
+    import pyarrow as pa
+
+    r = np.random.default_rng(5)
+    words = [b"unbelievable", b"x", "日本語é".encode(), b"a" * 300, b"b" * 64, *(bytes(r.integers(97, 123, r.integers(1, 80)).tolist()) for _ in range(300))]
+    raw, ends = b"".join(words), np.cumsum([len(w) for w in words])
+    for vocab in (lm.vocabulary(tokenizer_path()), [(97,)], [(97, lm.END), (98, 98, 98)], []):
+        pieces = lm.Pieces(vocab)
+        expected = [pieces.find(w) for w in words]
+        if vocab:
+            ids, before = pieces.find_all(np.frombuffer(raw, np.uint8), ends - [len(w) for w in words], ends)
+            assert [ids[a:b].tolist() for a, b in zip(before[:-1], before[1:], strict=True)] == expected
+        w = lm.Words(pa.array([b" ".join(words)], pa.binary()), lm.Powers(), lm.is_word_byte_table(), lm.lower_ascii())
+        for at in (np.arange(0, len(words), 2), np.arange(len(words))):
+            ids, before = pieces.of(w, w.key[at], at)
+            assert [ids[a:b].tolist() for a, b in zip(before[:-1], before[1:], strict=True)] == [expected[i] for i in at]
+
+
+def test_distinct_keys_equal_numpy_unique():
+    r = np.random.default_rng(6)
+    for key in (r.integers(0, 50, 1000).astype(np.uint64), np.zeros(0, np.uint64), np.full(3, 2**64 - 1, np.uint64)):
+        value, at, inverse = lm.distinct(key)
+        expected, expected_inverse = np.unique(key, return_inverse=True)
+        assert value.tolist() == expected.tolist() == key[at].tolist()
+        assert inverse.tolist() == expected_inverse.tolist()
+
+
+def test_pieces_of_the_weights_take_the_same_adam_steps(monkeypatch):
+    monkeypatch.setattr(lm, "PIECE", 100)
+    r = np.random.default_rng(7)
+    w = lm.first_weights(r.integers(0, 1000, CLASSES))
+    old, m, s = {k: v.copy() for k, v in w.items()}, dict.fromkeys(w, np.float32(0)), dict.fromkeys(w, np.float32(0))
+    adam = lm.Adam(w)
+    for t in range(1, 6):
+        g = {k: r.normal(0, 1, v.shape).astype(np.float32) for k, v in w.items()}
+        adam.step({k: v.copy() for k, v in g.items()})
+        for k in old:
+            m[k] = m[k] + np.float32(0.1) * (g[k] - m[k])
+            s[k] = s[k] + np.float32(0.01) * (g[k] ** 2 - s[k])
+            step = m[k] / (np.sqrt(s[k] / np.float32(1 - 0.99**t)) + np.float32(1e-8))
+            old[k] = old[k] - np.float32(lm.RATE / (1 - 0.9**t)) * step
+    assert all(np.array_equal(w[k], old[k]) for k in old)

@@ -38,6 +38,7 @@ read.
 
 from __future__ import annotations
 
+import itertools
 import math
 from collections.abc import Iterator
 
@@ -47,7 +48,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import bounded_batches, materialise, text_or_empty
-from .kernels import Powers, Words, is_word_byte_table, slices, string_parts, sums_before
+from .kernels import Powers, Words, distinct, is_word_byte_table, slices, string_parts, sums_before
 from .token_counts import END, Automaton, lower_ascii, vocabulary
 
 WINDOW, STRIDE = 32, 24
@@ -56,8 +57,9 @@ HEAD = 200_000
 TRAIN_EVERY, BATCH, RATE = 3, 64, 0.01
 LEAST, STEPS = 8, 64
 SCORE_BATCH = 128
-PIECES_KEPT = 500_000
+PIECES_KEPT, SHORT = 500_000, 64
 LIMIT = np.float32(60)
+PIECE = 1 << 14
 CODE, CODE_SLICE = np.dtype("<u4"), 1 << 19
 
 
@@ -83,6 +85,9 @@ class Pieces:
         self.lone_end, self.unknown = len(pieces), len(pieces) + 1
         self.kind = np.dtype(np.uint16 if len(pieces) + 2 <= 1 << 16 else np.uint32)
         self.known: dict[int, bytes] = {}
+        moves = sorted(self.step.items())  # the same steps for many words at once
+        self.move, self.to = (np.array([m[i] for m in moves], np.int64) for i in (0, 1))
+        self.piece_of = np.array(self.piece_at, np.int64)
 
     def __len__(self) -> int:
         return self.unknown + 1
@@ -107,18 +112,48 @@ class Pieces:
             begin = stop
         return out
 
+    def find_all(self, raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """``find`` of the words ``raw[start:end]``, all a symbol at a time: ids
+        of one word after another, and the ids before each word."""
+        word, begin, i, stop = np.arange(len(start)), start.copy(), start.copy(), start.copy()
+        at, best, found = np.zeros(len(start), np.int64), np.full(len(start), -1), []
+        while len(word):
+            key = at * 257 + np.where(i < end, raw[np.minimum(i, len(raw) - 1)].astype(np.int64), END)
+            move = np.minimum(np.searchsorted(self.move, key), len(self.move) - 1)
+            goes = (self.move[move] == key) & (i <= end)
+            at = np.where(goes, self.to[move], 0)
+            i += goes
+            piece = np.where(goes, self.piece_of[at], -1)
+            best, stop = np.where(piece >= 0, piece, best), np.where(piece >= 0, i, stop)
+            halt = np.flatnonzero(~goes)
+            none = halt[best[halt] < 0]
+            best[none], stop[none] = np.where(begin[none] == end[none], self.lone_end, self.unknown), begin[none] + 1
+            found.append((word[halt], best[halt]))
+            best[halt], begin[halt], i[halt] = -1, stop[halt], stop[halt]
+            left = begin <= end
+            if not left.all():
+                word, begin, i, stop, at, best, end = (x[left] for x in (word, begin, i, stop, at, best, end))
+        owner, ids = (np.concatenate(x) for x in zip(*found, strict=True))
+        return ids[np.argsort(owner, kind="stable")], sums_before(np.bincount(owner, minlength=len(start)))
+
     def of(self, w: Words, key: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the words at positions ``at`` with fingerprints ``key``, one
         word after another, and the ids before each word."""
         if len(self.known) + len(key) > PIECES_KEPT:
             self.known.clear()
-        out = []
-        for k, i in zip(key.tolist(), at.tolist(), strict=True):
-            p = self.known.get(k)
-            if p is None:
-                p = self.known[k] = np.array(self.find(w.word(i)), self.kind).tobytes()
-            out.append(p)
-        before = sums_before(np.array([len(p) for p in out], np.int64) // self.kind.itemsize)
+        keys = key.tolist()
+        out = list(map(self.known.get, keys))
+        new = np.array([n for n, p in enumerate(out) if p is None], np.int64)
+        short = w.end[at[new]] - w.start[at[new]] <= (SHORT if len(self.move) else -1)
+        for n in new[~short].tolist():
+            out[n] = self.known[keys[n]] = np.array(self.find(w.word(at[n])), self.kind).tobytes()
+        new = new[short]
+        if len(new):
+            ids, before = self.find_all(w.raw, w.start[at[new]], w.end[at[new]])
+            ids, before = ids.astype(self.kind).tobytes(), (before * self.kind.itemsize).tolist()
+            for n, (a, b) in zip(new.tolist(), itertools.pairwise(before), strict=True):
+                out[n] = self.known[keys[n]] = ids[a:b]
+        before = sums_before(np.fromiter(map(len, out), np.int64, len(out)) // self.kind.itemsize)
         return np.frombuffer(b"".join(out), self.kind).astype(np.int64), before
 
 
@@ -171,10 +206,11 @@ def flat(w: dict[str, np.ndarray]) -> np.ndarray:
 
 
 def unflat(x: np.ndarray, classes: int) -> dict[str, np.ndarray]:
+    """The weights as views of ``x``."""
     out, at = {}, 0
     for k, s in shapes(classes).items():
         n = math.prod(s)
-        out[k] = x[at : at + n].reshape(s).astype(np.float32)
+        out[k] = x[at : at + n].reshape(s)
         at += n
     return out
 
@@ -185,7 +221,13 @@ def _past() -> np.ndarray:
 
 
 def _held(x: np.ndarray) -> np.ndarray:
-    return np.clip(x, -LIMIT, LIMIT, out=x)
+    """``x`` within the limit; to look for its ends is cheaper than to clip it."""
+    return x if x.size and -LIMIT <= x.min() and x.max() <= LIMIT else np.clip(x, -LIMIT, LIMIT, out=x)
+
+
+def _by_radix(x: np.ndarray, below: int) -> np.ndarray:
+    """The stable order of ``x``; numpy sorts numbers of 16 bits by radix."""
+    return np.argsort(x.astype(np.uint16) if below <= 1 << 16 else x, kind="stable")
 
 
 def _sums(x: np.ndarray) -> np.ndarray:
@@ -197,7 +239,7 @@ def forward(w: dict[str, np.ndarray], inputs: np.ndarray, past: np.ndarray, want
     """``y``, the features of the places numbered ``wanted`` of the windows
     (n, WINDOW), and what their gradients need."""
     n = len(inputs)
-    x = w["token"].take(inputs, axis=0)
+    x = w["token"].take(inputs.ravel(), axis=0).reshape(n, WINDOW, WIDTH)
     x += w["place"]
     qkv = (x.reshape(-1, WIDTH) @ w["qkv"]).reshape(n, WINDOW, 3 * WIDTH)
     q, k, v = qkv[..., :WIDTH], qkv[..., WIDTH : 2 * WIDTH], qkv[..., 2 * WIDTH :]
@@ -218,25 +260,26 @@ def forward(w: dict[str, np.ndarray], inputs: np.ndarray, past: np.ndarray, want
 def two_levels(w: dict[str, np.ndarray], y: np.ndarray, targets: np.ndarray) -> dict[str, np.ndarray]:
     """Unnormalised probabilities of the groups, and of the members of each
     target's group; rows of the second stand in the order ``order``, in which
-    group g takes ``bounds[g]`` to ``bounds[g + 1]``."""
+    group g takes rows a to b for each (g, a, b) of ``spans``."""
     groups, _, m = w["member"].shape
     group, member = np.divmod(targets, m)
     top = y @ w["group"]
     top += w["group_bias"]
-    order = np.argsort(group.astype(np.uint16 if groups < 1 << 16 else np.int64), kind="stable")
+    order = _by_radix(group, groups)
     bounds = sums_before(np.bincount(group, minlength=groups))
     ys = np.ones((len(y), WIDTH + 1), y.dtype)
     ys[:, :WIDTH] = y.take(order, axis=0)
     inner = np.empty((len(y), m), y.dtype)
-    for g in np.flatnonzero(np.diff(bounds)).tolist():
-        a, b = bounds[g], bounds[g + 1]
-        np.matmul(ys[a:b], w["member"][g], out=inner[a:b])
+    spans = [(g, a, b) for g, (a, b) in enumerate(itertools.pairwise(bounds.tolist())) if a < b]
+    for g, a, b in spans:
+        np.dot(ys[a:b], w["member"][g], inner[a:b])
+    _held(inner[bounds[groups - 1] :])  # its places that no class has
     row, member = np.arange(len(y)), member[order]
     picked_top, picked_inner = _held(top)[row, group], _held(inner)[row, member]
     np.exp(top, out=top)
     np.exp(inner, out=inner)
     return {
-        "group": group, "member": member, "order": order, "bounds": bounds, "ys": ys, "top": top, "inner": inner,
+        "group": group, "member": member, "order": order, "spans": spans, "ys": ys, "top": top, "inner": inner,
         "top_sum": _sums(top), "inner_sum": _sums(inner), "picked_top": picked_top, "picked_inner": picked_inner,
     }
 
@@ -256,7 +299,7 @@ def gradients(w: dict[str, np.ndarray], inputs: np.ndarray, targets: np.ndarray,
     f = forward(w, inputs, past, wanted)
     t = two_levels(w, f["y"], targets.ravel()[wanted])
     n, each, row = len(inputs), f["y"].dtype.type(1 / max(1, len(wanted))), np.arange(len(wanted))
-    top, inner, order, bounds, ys = (t[k] for k in ("top", "inner", "order", "bounds", "ys"))
+    top, inner, order, spans, ys = (t[k] for k in ("top", "inner", "order", "spans", "ys"))
     top *= each / t["top_sum"]
     top[row, t["group"]] -= each
     inner *= each / t["inner_sum"]
@@ -264,10 +307,9 @@ def gradients(w: dict[str, np.ndarray], inputs: np.ndarray, targets: np.ndarray,
     g = {"group": f["y"].T @ top, "group_bias": top.sum(axis=0), "member": np.zeros_like(w["member"])}
     dy = top @ w["group"].T
     dys = np.empty((len(ys), WIDTH), ys.dtype)
-    for i in np.flatnonzero(np.diff(bounds)).tolist():
-        a, b = bounds[i], bounds[i + 1]
-        np.matmul(ys[a:b].T, inner[a:b], out=g["member"][i])
-        np.matmul(inner[a:b], w["member"][i, :WIDTH].T, out=dys[a:b])
+    for i, a, b in spans:
+        np.dot(ys[a:b].T, inner[a:b], g["member"][i])
+        np.dot(inner[a:b], w["member"][i, :WIDTH].T, dys[a:b])
     dy[order] += dys
     g["down"] = f["z"].T @ dy
     dz = dy @ w["down"].T
@@ -275,18 +317,20 @@ def gradients(w: dict[str, np.ndarray], inputs: np.ndarray, targets: np.ndarray,
     g["up"], g["up_bias"] = f["h"].T @ dz, dz.sum(axis=0)
     dy += dz @ w["up"].T
     g["out"] = f["o"].T @ dy
-    do, dh = np.zeros((2, n * WINDOW, WIDTH), dy.dtype)
-    do[wanted], dh[wanted] = dy @ w["out"].T, dy
+    at = np.full(n * WINDOW, len(wanted))  # of a place that is not counted: the zeros after the others
+    at[wanted] = row
+    none = np.zeros((1, WIDTH), dy.dtype)
+    do, dh = (np.concatenate([x, none]).take(at, axis=0) for x in (dy @ w["out"].T, dy))
     do = do.reshape(n, WINDOW, WIDTH)
     da = np.matmul(do, f["v"].transpose(0, 2, 1))
     dv = np.matmul(f["a"].transpose(0, 2, 1), do)
-    ds = f["a"] * da
+    ds = np.multiply(f["a"], da, out=da)
     ds -= f["a"] * _sums(ds)
     ds *= np.float32(WIDTH**-0.5)
     dqkv = np.concatenate([np.matmul(ds, f["k"]), np.matmul(ds.transpose(0, 2, 1), f["q"]), dv], axis=2).reshape(-1, 3 * WIDTH)
     g["qkv"] = f["x"].reshape(-1, WIDTH).T @ dqkv
     dh += dqkv @ w["qkv"].T
-    by_token = np.argsort(inputs.ravel(), kind="stable")
+    by_token = _by_radix(inputs.ravel(), len(w["token"]))
     token = inputs.ravel()[by_token]
     starts = np.flatnonzero(np.diff(token, prepend=-1))
     g["token"] = np.zeros_like(w["token"])
@@ -296,20 +340,34 @@ def gradients(w: dict[str, np.ndarray], inputs: np.ndarray, targets: np.ndarray,
 
 
 class Adam:
+    """Steps of the weights ``w``, which become views of one vector; a piece of
+    it at a time, so that what a step makes stays in the processor's cache."""
+
     def __init__(self, w: dict[str, np.ndarray], rate: float = RATE):
-        self.rate, self.t = rate, 0
-        self.m = {k: np.zeros_like(v) for k, v in w.items()}
-        self.s = {k: np.zeros_like(v) for k, v in w.items()}
+        self.rate, self.t, self.x = rate, 0, flat(w)
+        self.m, self.s, self.held = np.zeros_like(self.x), np.zeros_like(self.x), np.empty(PIECE, self.x.dtype)
+        w |= unflat(self.x, len(w["token"]) - 1)
 
-    def step(self, w: dict[str, np.ndarray], g: dict[str, np.ndarray]) -> None:
+    def step(self, g: dict[str, np.ndarray]) -> None:
         self.t += 1
-        for k in w:
-            m, s = self.m[k], self.s[k]
-            m += np.float32(0.1) * (g[k] - m)
-            s += np.float32(0.01) * (g[k] ** 2 - s)
-            step = np.sqrt(s / np.float32(1 - 0.99**self.t))
-            step += np.float32(1e-8)
-            w[k] -= np.float32(self.rate / (1 - 0.9**self.t)) * (m / step)
+        rate, of_s = np.float32(self.rate / (1 - 0.9**self.t)), np.float32(1 - 0.99**self.t)
+        slope = flat(g)
+        for at in range(0, len(slope), PIECE):
+            x, m, s, d = (v[at : at + PIECE] for v in (self.x, self.m, self.s, slope))
+            h = self.held[: len(d)]
+            np.subtract(d, m, out=h)
+            h *= np.float32(0.1)
+            m += h
+            d *= d
+            d -= s
+            d *= np.float32(0.01)
+            s += d
+            np.divide(s, of_s, out=h)
+            np.sqrt(h, out=h)
+            h += np.float32(1e-8)
+            np.divide(m, h, out=h)
+            h *= rate
+            x -= h
 
 
 def windows(codes: np.ndarray, first: np.ndarray, classes: int, stride: int = STRIDE) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -353,7 +411,7 @@ def _count_rows(pieces):
 
         def summed() -> tuple[np.ndarray, np.ndarray]:
             key, n = (np.concatenate(x) for x in zip(*held, strict=True))
-            key, inverse = np.unique(key, return_inverse=True)
+            key, _, inverse = distinct(key)
             return key, np.bincount(inverse, weights=n, minlength=len(key)).astype(np.int64)
 
         def rows(key, piece, n):
@@ -365,7 +423,8 @@ def _count_rows(pieces):
         for batch in batches:
             for part in slices(batch):
                 w = Words(part.column("text"), powers, inside, lower)
-                key, at, n = np.unique(w.key, return_index=True, return_counts=True)
+                key, at, inverse = distinct(w.key)
+                n = np.bincount(inverse, minlength=len(key))
                 found, before = subwords.of(w, key, at)
                 ids += np.bincount(found, weights=np.repeat(n, np.diff(before)), minlength=len(ids)).astype(np.int64)
                 held.append((key, n))
@@ -384,16 +443,16 @@ def _count_rows(pieces):
     return run
 
 
-def _in_head(w: Words, head: dict) -> tuple[np.ndarray, np.ndarray]:
-    """(place in the head table, is in it) of each word."""
+def _in_head(key: np.ndarray, head: dict) -> tuple[np.ndarray, np.ndarray]:
+    """(place in the head table, is in it) of each fingerprint."""
     keys = head["key"]
-    place = np.minimum(np.searchsorted(keys, w.key), max(0, len(keys) - 1))
-    return place, keys[place] == w.key if len(keys) else np.zeros(len(w), bool)
+    place = np.minimum(np.searchsorted(keys, key), max(0, len(keys) - 1))
+    return place, keys[place] == key if len(keys) else np.zeros(len(key), bool)
 
 
-def _classes_of(w: Words, subwords: Pieces, class_of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Classes of all subword ids of the texts, in order, and the ids before each word."""
-    key, at, inverse = np.unique(w.key, return_index=True, return_inverse=True)
+def _classes_of(w: Words, subwords: Pieces, class_of: np.ndarray, key: np.ndarray, at: np.ndarray, inverse: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Classes of all subword ids of the texts, in order, and the ids before
+    each word; the last three are the distinct words."""
     ids, before = subwords.of(w, key, at)
     first = sums_before(np.diff(before)[inverse])
     place = np.arange(first[-1]) + np.repeat(before[inverse] - first[:-1], np.diff(first))
@@ -419,14 +478,16 @@ def _encode_rows(pieces, shared):
             for part in slices(batch):
                 words = Words(part.column("text"), powers, inside, lower)
                 n = part.num_rows
-                place, known = _in_head(words, model)
-                log_c = np.where(known, model["log_c"][place], 0.0) if len(model["key"]) else np.zeros(len(words))
-                classes, ids_before = _classes_of(words, subwords, model["class_of"])
+                key, at, inverse = distinct(words.key)
+                place, known = _in_head(key, model)
+                log_c = np.where(known, model["log_c"][place], 0.0)[inverse] if len(model["key"]) else np.zeros(len(words))
+                known = known[inverse]
+                classes, ids_before = _classes_of(words, subwords, model["class_of"], key, at, inverse)
                 sequence, first = with_ends(classes, ids_before[words.first], stop)
                 unseen = span((sequence == stop - 1).astype(np.int64), first)
                 rare = np.flatnonzero(~known)
                 owner = words.text_of_word()[rare]
-                order = np.lexsort((words.key[rare], owner))
+                order = np.argsort(owner * len(key) + inverse[rare])  # by text, then by fingerprint
                 key, owner = words.key[rare][order], owner[order]
                 new = np.ones(len(key), bool)
                 new[1:] = (key[1:] != key[:-1]) | (owner[1:] != owner[:-1])
@@ -463,7 +524,7 @@ def _sequences(batch: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, np.ndarr
 
 def _train_rows(weights, classes: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        past, w = _past(), unflat(weights.value, classes)
+        past, w = _past(), unflat(weights.value.astype(np.float32), classes)
         adam, seen = Adam(w), 0
         for batch in batches:
             for _, sequence, first in _sequences(batch):
@@ -472,7 +533,7 @@ def _train_rows(weights, classes: int):
                 size = min(BATCH, max(LEAST, len(order) // STEPS))  # few windows: smaller steps, not too few
                 for at in range(0, len(order), size):
                     pick = order[at : at + size]
-                    adam.step(w, gradients(w, inputs[pick], targets[pick], counted[pick], past))
+                    adam.step(gradients(w, inputs[pick], targets[pick], counted[pick], past))
                     seen += int(counted[pick].sum())
         if seen:
             x = np.append(flat(w).astype(np.float64) * seen, seen)
@@ -483,7 +544,7 @@ def _train_rows(weights, classes: int):
 
 def _score_rows(weights, classes: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        past, w = _past(), unflat(weights.value, classes)
+        past, w = _past(), unflat(weights.value.astype(np.float32), classes)
         for batch in batches:
             for part, sequence, first in _sequences(batch):
                 inputs, targets, counted, text = windows(sequence, first, classes)
